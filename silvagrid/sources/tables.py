@@ -1,0 +1,112 @@
+"""Test inputs derived by Spark from the given tables (see FIXTURES.md)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from silvagrid.functions.grid import clamp, idiv
+from silvagrid.sources import schemas
+from silvagrid.sources.tiles import tiles_to_pixels
+
+TILE = 8
+ZONES = 25
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    schema = getattr(schemas, name.upper())
+    return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8x8 tiles, 100 per scene, with the truth class and zone of the tile."""
+    v = F.col("vec_id")
+    dn = F.transform("embedding", lambda x: clamp(F.floor((x.cast("double") + 0.5) * 255).cast("int"), 0, 255))
+    return table(spark, sf_dir, "embeddings").select(
+        idiv(v, 100).cast("int").alias("scene_id"),
+        idiv(v % 100, 10).cast("int").alias("tile_r"),
+        (v % 10).cast("int").alias("tile_c"),
+        F.lit(TILE).alias("h"),
+        F.lit(TILE).alias("w"),
+        dn.alias("dn"),
+        (F.col("label") >= 5).cast("int").alias("truth"),
+        (v % ZONES).cast("int").alias("zone_id"),
+    )
+
+
+def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``scene_id, r, c, dn, truth, zone_id``."""
+    return tiles_to_pixels(tiles(spark, sf_dir), TILE)
+
+
+def with_date(df: DataFrame) -> DataFrame:
+    """Acquisition date: one scene every 90 days from 1962-06-01."""
+    return df.withColumn("acq_date", F.expr("date_add(DATE '1962-06-01', scene_id * 90)"))
+
+
+def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping acquisitions on a 128x128 grid."""
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") % 128).cast("int").alias("r"),
+        (F.col("l_partkey") % 128).cast("int").alias("c"),
+        (F.col("l_quantity") * 5).cast("int").alias("dn"),
+        F.col("l_shipdate").alias("acq_ts"),
+        (F.col("l_suppkey") % 10).cast("int").alias("strip"),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+    )
+
+
+def arrivals_of(events: DataFrame) -> DataFrame:
+    """Tile arrivals; works on a batch or a streaming ``events`` table."""
+    return events.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("user_id").alias("source_id"),
+        F.col("event_type").alias("kind"),
+        (F.col("user_id") % ZONES).cast("int").alias("zone_id"),
+        "value",
+        "props",
+    )
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arrivals_of(table(spark, sf_dir, "events"))
+
+
+def control_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control points of a known affine transform plus noise."""
+    k = F.col("c_custkey")
+    c, r, noise = (k % 80).cast("double"), ((k * 7) % 80).cast("double"), F.col("c_acctbal") / 1000
+    return table(spark, sf_dir, "customer").select(
+        (k % 5).cast("int").alias("scene_id"),
+        r.alias("r"),
+        c.alias("c"),
+        (2.0 * c - 0.5 * r + 100 + noise).alias("x"),
+        (0.5 * c + 2.0 * r + 200 - noise).alias("y"),
+    )
+
+
+def zone_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone, its name and the region it belongs to."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").alias("zone_id"), F.col("n_name").alias("zone"), F.col("r_name").alias("region")
+    )
+
+
+def zone_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One triangle per nation as three directed edges in pixel coordinates."""
+    n = F.col("n_nationkey")
+    y0, x0 = (n * 7 % 80).cast("double"), (n * 11 % 80).cast("double")
+    corners = [(y0, x0), (y0 + 30, x0 + 5), (y0 + 10, x0 + 40)]
+    edges = F.array(*[
+        F.struct(a[1].alias("x1"), a[0].alias("y1"), b[1].alias("x2"), b[0].alias("y2"))
+        for a, b in zip(corners, corners[1:] + corners[:1])
+    ])
+    return (
+        table(spark, sf_dir, "nation")
+        .select(n.alias("zone_id"), F.explode(edges).alias("e"))
+        .select("zone_id", "e.*")
+    )
