@@ -353,3 +353,16 @@ on_pixels("tile_entropy", lambda px: extend.tile_entropy(px, 16))
 @query()
 def tile_px(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extend.tile_px(tables.tiles(spark, sf_dir), tables.TILE)
+
+
+def _zoneless(fn: Query) -> Query:
+    """Give instants as zone-free wall-clock times, as the given tables have them."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = fn(spark, sf_dir)
+        return df.select(*[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes])
+
+    return run
+
+
+QUERIES.update({name: _zoneless(fn) for name, fn in QUERIES.items()})
