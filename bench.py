@@ -59,6 +59,8 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+        # small test tables: keep all cores busy instead of merging to 1 MB partitions
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -1,12 +1,15 @@
 """User functions on tiles. A function sees one tile as a numpy array; Spark
-partitions the tiles and moves them in Arrow batches."""
+partitions the tiles and moves them as Arrow batches. Keep
+``spark.sql.execution.arrow.maxRecordsPerBatch`` low enough for the tile size
+(100 for 256 x 256 tiles is 25 MB per batch).
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import idiv
@@ -16,102 +19,139 @@ TILE_COLUMNS = [f.name for f in TILES]
 TILE_DDL = "scene_id int, tile_r int, tile_c int, h int, w int, dn array<int>"
 
 
+def _arrays_of() -> tuple[Callable, Callable]:
+    """Arrow list column -> one float array per row (NaN for NULL), and back.
+
+    Nested functions, so that they travel to the workers with their callers.
+    """
+
+    def unpack(column):
+        import numpy as np
+
+        cells = column.flatten().to_numpy(zero_copy_only=False).astype(float)
+        sizes = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(int)
+        return np.split(cells, np.cumsum(sizes)[:-1])
+
+    def pack(arrays):
+        import numpy as np
+        import pyarrow as pa
+
+        flat = np.concatenate(arrays) if arrays else np.empty(0)
+        gone = np.isnan(flat)
+        ends = np.cumsum([0, *map(len, arrays)]).astype("int32")
+        values = pa.array(np.where(gone, 0, flat).astype("int32"), mask=gone)
+        return pa.ListArray.from_arrays(pa.array(ends), values)
+
+    return unpack, pack
+
+
 def tile_map(tiles: DataFrame, fn: Callable) -> DataFrame:
     """Apply ``fn(array (h, w) of float, NaN nodata) -> array (h, w)`` to each tile."""
+    unpack, pack = _arrays_of()
 
     def over(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
+        import pyarrow as pa
 
-        for pdf in batches:
-            out = []
-            for h, w, dn in zip(pdf["h"], pdf["w"], pdf["dn"]):
-                image = np.asarray(pd.to_numeric(pd.Series(dn), errors="coerce"), dtype=float).reshape(h, w)
-                done = fn(image).ravel()
-                out.append([None if np.isnan(x) else int(x) for x in done])
-            yield pdf.assign(dn=out)
+        for batch in batches:
+            kept = [batch.column(x) for x in ("scene_id", "tile_r", "tile_c", "h", "w")]
+            sizes = zip(kept[3].to_pylist(), kept[4].to_pylist())
+            out = [fn(x.reshape(h, w)).ravel() for x, (h, w) in zip(unpack(batch.column("dn")), sizes)]
+            yield pa.RecordBatch.from_arrays([*kept, pack(out)], ["scene_id", "tile_r", "tile_c", "h", "w", "dn"])
 
-    return tiles.select(*TILE_COLUMNS).mapInPandas(over, TILE_DDL)
+    return tiles.select(*TILE_COLUMNS).mapInArrow(over, TILE_DDL)
 
 
 def apply_model_tiles(tiles: DataFrame, model: Callable) -> DataFrame:
-    """Class per cell from a user's model ``fn(array (n_cells,)) -> array of int``,
-    called once per Arrow batch on all its cells together."""
+    """Class per cell from a user's model ``fn(array (n_cells,)) -> array``, called
+    once per Arrow batch on the cells of all its tiles."""
+    unpack, pack = _arrays_of()
 
     def over(batches: Iterator) -> Iterator:
         import numpy as np
+        import pyarrow as pa
 
-        for pdf in batches:
-            sizes = pdf["dn"].map(len).to_numpy()
-            cells = np.concatenate(pdf["dn"].to_numpy()) if len(pdf) else np.empty(0)
-            parts = np.split(np.asarray(model(cells)).astype("int32"), np.cumsum(sizes)[:-1]) if len(pdf) else []
-            yield pdf.drop(columns="dn").assign(cls=list(parts))
+        for batch in batches:
+            kept = [batch.column(x) for x in ("scene_id", "tile_r", "tile_c", "h", "w")]
+            parts = unpack(batch.column("dn"))
+            scores = np.asarray(model(np.concatenate(parts)), dtype=float) if parts else np.empty(0)
+            out = np.split(scores, np.cumsum([len(x) for x in parts])[:-1]) if parts else []
+            yield pa.RecordBatch.from_arrays([*kept, pack(out)], ["scene_id", "tile_r", "tile_c", "h", "w", "cls"])
 
-    return tiles.select(*TILE_COLUMNS).mapInPandas(
-        over, "scene_id int, tile_r int, tile_c int, h int, w int, cls array<int>"
-    )
+    return tiles.select(*TILE_COLUMNS).mapInArrow(over, TILE_DDL.replace("dn array", "cls array"))
+
+
+def _strip(i: int, j: int, radius: int) -> tuple[Column, Column]:
+    """The part of a tile that its neighbour at ``(i, j)`` needs, row-major, and its width."""
+
+    def span(step: int, n: Column) -> tuple[Column, Column]:
+        size = n if step == 0 else F.least(n, F.lit(radius))
+        return (n - size if step == 1 else F.lit(0)), size
+
+    (r0, rows), (c0, cols) = span(i, F.col("h")), span(j, F.col("w"))
+    lines = F.sequence(r0, r0 + rows - 1)
+    return F.flatten(F.transform(lines, lambda y: F.slice("dn", y * F.col("w") + c0 + 1, cols))), cols
 
 
 def tile_map_halo(tiles: DataFrame, fn: Callable, radius: int, size: int) -> DataFrame:
     """Apply ``fn(padded) -> array (h, w)`` where ``padded`` is the tile with a border
     of ``radius`` cells from its neighbours, NaN where there is none.
 
-    Each tile sends strips, not cells: itself plus at most eight edge pieces, so a
-    group is one tile and its border. ``size`` is the tile pitch; only the last
-    tile row and column of a scene may be smaller.
+    Each tile sends itself and eight edge strips. The strips meet in one grouping
+    on the tile key, at most nine rows per tile; only then are the rows handed to
+    Python, many tiles per Arrow batch. Only the last tile row and column of a
+    scene may be smaller than ``size``.
     """
     if not 0 < radius <= size:
         raise ValueError("radius must be at most the tile side")
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    h, w = F.col("h"), F.col("w")
-
-    def part(step, n, tail: bool):
-        """First and past-last index of what the neighbour at ``step`` needs."""
-        start = F.when(step == 1, F.greatest(n - radius, F.lit(0))).otherwise(0)
-        stop = F.when(step == -1, F.least(F.lit(radius), n)).otherwise(n)
-        return stop if tail else start
-
-    sent = tiles.select(*TILE_COLUMNS, F.explode(steps).alias("s"))
-    i, j = F.col("s.i"), F.col("s.j")
-    sent = sent.select(
-        "scene_id",
-        (F.col("tile_r") + i).alias("to_r"),
-        (F.col("tile_c") + j).alias("to_c"),
-        F.when((i == 0) & (j == 0), 1).otherwise(0).alias("own"),
-        (F.col("tile_r") * size + part(i, h, False)).alias("r0"),
-        (F.col("tile_c") * size + part(j, w, False)).alias("c0"),
-        (part(j, w, True) - part(j, w, False)).alias("width"),
-        F.flatten(
-            F.transform(
-                F.sequence(part(i, h, False), part(i, h, True) - 1),
-                lambda y: F.slice("dn", y * w + part(j, w, False) + 1, part(j, w, True) - part(j, w, False)),
-            )
-        ).alias("dn"),
+    steps = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+    # a strip sent in direction (i, j) is the receiver's border on the opposite side
+    def send(i: int, j: int) -> Column:
+        own = (i, j) == (0, 0)
+        cells, width = (F.col("dn"), F.col("w")) if own else _strip(i, j, radius)
+        return F.struct(
+            (F.col("tile_r") + i).alias("tile_r"),
+            (F.col("tile_c") + j).alias("tile_c"),
+            F.lit(3 * (1 - i) + (1 - j)).alias("side"),
+            (F.col("h") if own else F.lit(None).cast("int")).alias("h"),
+            width.alias("w"),
+            cells.alias("dn"),
+        )
+
+    sent = F.array(*[send(i, j) for i, j in steps])
+    pieces = tiles.select("scene_id", F.explode(sent).alias("p")).select("scene_id", "p.*")
+    framed = (
+        pieces.groupBy("scene_id", "tile_r", "tile_c")
+        .agg(
+            F.max("h").alias("h"),
+            *[F.max(F.when(F.col("side") == k, F.col("w"))).alias(f"w{k}") for k in range(9)],
+            *[F.first(F.when(F.col("side") == k, F.col("dn")), ignorenulls=True).alias(f"p{k}") for k in range(9)],
+        )
+        .filter("h is not null")
     )
+    unpack, pack = _arrays_of()
 
-    def per_tile(key: tuple, pieces):
+    def over(batches: Iterator) -> Iterator:
         import numpy as np
-        import pandas as pd
-
-        mine = pieces[pieces["own"] == 1]
-        if mine.empty:
-            return pd.DataFrame(columns=["scene_id", "tile_r", "tile_c", "h", "w", "dn"])
-        scene, tile_r, tile_c = key
-        width = int(mine["width"].iloc[0])
-        height = len(mine["dn"].iloc[0]) // width
-        padded = np.full((height + 2 * radius, width + 2 * radius), np.nan)
-        for r0, c0, span, dn in zip(pieces["r0"], pieces["c0"], pieces["width"], pieces["dn"]):
-            piece = np.asarray(pd.to_numeric(pd.Series(dn), errors="coerce"), dtype=float).reshape(-1, span)
-            y, x = r0 - tile_r * size + radius, c0 - tile_c * size + radius
-            y1, x1 = min(y + piece.shape[0], padded.shape[0]), min(x + piece.shape[1], padded.shape[1])
-            if y1 > y and x1 > x:
-                padded[y:y1, x:x1] = piece[: y1 - y, : x1 - x]
-        out = [None if np.isnan(v) else int(v) for v in fn(padded).ravel()]
-        return pd.DataFrame(
-            {"scene_id": [scene], "tile_r": [tile_r], "tile_c": [tile_c], "h": [height], "w": [width], "dn": [out]}
-        )
+        import pyarrow as pa
 
-    return sent.groupBy("scene_id", F.col("to_r"), F.col("to_c")).applyInPandas(per_tile, TILE_DDL)
+        for batch in batches:
+            kept = [batch.column(x) for x in ("scene_id", "tile_r", "tile_c", "h", "w4")]
+            pieces = [unpack(batch.column(f"p{k}")) for k in range(9)]
+            widths = [batch.column(f"w{k}").to_pylist() for k in range(9)]
+            out = []
+            for at, h in enumerate(kept[3].to_pylist()):
+                w = widths[4][at]
+                padded = np.full((h + 2 * radius, w + 2 * radius), np.nan)
+                starts = [(0, radius, radius + n) for n in (h, w)]
+                for k in range(9):
+                    if widths[k][at] is not None:
+                        piece = pieces[k][at].reshape(-1, widths[k][at])
+                        y, x = starts[0][k // 3], starts[1][k % 3]
+                        padded[y : y + piece.shape[0], x : x + piece.shape[1]] = piece
+                out.append(fn(padded).ravel())
+            yield pa.RecordBatch.from_arrays([*kept, pack(out)], ["scene_id", "tile_r", "tile_c", "h", "w", "dn"])
+
+    return framed.mapInArrow(over, TILE_DDL)
 
 
 def square_function(kind: str, radius: int) -> Callable:
