@@ -15,9 +15,10 @@ from silvagrid.functions.grid import CELL, cell_hash, idiv
 from silvagrid.plans.joins import top_n
 
 
-def stratified_sample(px: DataFrame, n: int, by: str = "truth") -> DataFrame:
-    """Exactly ``n`` cells per class (all if fewer), the same ones on every run."""
-    hashed = px.select(*CELL, by, cell_hash(F.col("r"), F.col("c"), F.col("scene_id")).alias("h"))
+def stratified_sample(px: DataFrame, n: int, by: str = "truth", keep: Sequence[str] = ()) -> DataFrame:
+    """Exactly ``n`` cells per class (all if fewer), the same ones on every run,
+    with the columns named in ``keep``."""
+    hashed = px.select(*CELL, by, *keep, cell_hash(F.col("r"), F.col("c"), F.col("scene_id")).alias("h"))
     return top_n(hashed, [by], [F.col("h"), *map(F.col, CELL)], n, spread=CELL, rank="place")
 
 

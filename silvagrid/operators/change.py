@@ -52,7 +52,7 @@ def forest_stable(classes: DataFrame) -> DataFrame:
     return was.intersect(now)
 
 
-def pixel_series(obs: DataFrame, ties: Sequence[str] = OBS_KEY, days: int = 90) -> DataFrame:
+def pixel_series(obs: DataFrame, ties: Sequence[str] = OBS_KEY) -> DataFrame:
     """Every observation with the cell's previous grey level, the difference and
     the running mean, in time order."""
     order = ["acq_ts", *ties]
@@ -62,8 +62,6 @@ def pixel_series(obs: DataFrame, ties: Sequence[str] = OBS_KEY, days: int = 90)
         order,
         last={"prev_dn": F.col("dn")},
         sums={"_sum": F.col("dn"), "n_so_far": F.when(F.col("dn").isNotNull(), 1).otherwise(0)},
-        ts="acq_ts",
-        days=days,
         inclusive=False,
     )
     return series.select(
@@ -86,7 +84,7 @@ def first_loss(classes: DataFrame) -> DataFrame:
     return a.join(b, ["scene_id", "r", "c"]).groupBy("r", "c").agg(F.min("acq_date").alias("first_loss"))
 
 
-def asof_scene(requests: DataFrame, scenes: DataFrame, key: str = "zone_id", days: int = 1) -> DataFrame:
+def asof_scene(requests: DataFrame, scenes: DataFrame, key: str = "zone_id") -> DataFrame:
     """For each request the latest acquisition of its zone at or before its time.
 
     Both tables carry ``key, ts, event_id``; the result keeps all requests and
@@ -106,7 +104,7 @@ def asof_scene(requests: DataFrame, scenes: DataFrame, key: str = "zone_id", day
     )
     # a scene of the same instant sorts before the request
     order = ["ts", "_side", "event_id"]
-    seen = running(both, [key], order, last={"_last": F.col("_scene")}, sums={}, ts="ts", days=days, inclusive=True)
+    seen = running(both, [key], order, last={"_last": F.col("_scene")}, sums={}, inclusive=True)
     return seen.filter("_side = 1").select(
         "event_id", key, "ts", F.col("_last.event_id").alias("scene_event"), F.col("_last.ts").alias("scene_ts")
     )

@@ -327,3 +327,9 @@ def top_regions(stats: DataFrame, k: int) -> DataFrame:
     """The ``k`` largest regions per scene, with their place."""
     order = [F.col("n_px").desc(), F.col("region_id")]
     return top_n(stats, ["scene_id"], order, k, spread=["region_id"], rank="place")
+
+
+def largest_regions(stats: DataFrame, k: int) -> DataFrame:
+    """The ``k`` largest regions over all scenes; every task sends at most ``k`` rows."""
+    order = [F.col("n_px").desc(), F.col("scene_id"), F.col("region_id")]
+    return stats.select("scene_id", "region_id", "n_px").orderBy(*order).limit(k)

@@ -1,10 +1,10 @@
-"""Running windows over time for groups that may be very large.
+"""Running windows over time for groups of which a few may be very large.
 
-A plain window sorts all rows of a key in one task. Here time is cut into
-chunks: each (key, chunk) is summarised with a combining aggregate, a window
-over the few chunks of a key gives what is carried into each chunk, and the
-row-level window runs inside ``(key, chunk)``. The join that brings the carry in
-and the window share one partitioning.
+A window sorts all rows of a key in one task. Keys with too many rows for that
+are found with a combining count; their time is cut into bins, each bin is
+summarised with a combining aggregate, a window over the bins gives what is
+carried into each, and the row-level window then runs inside ``(key, bin)``.
+All other keys take the plain window. The result is the same either way.
 """
 
 from __future__ import annotations
@@ -14,10 +14,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from silvagrid.plans.joins import BROADCAST_ROWS, HOT_ROWS
+from silvagrid.plans.staging import stage
 
-def chunk_of(ts: Column, days: int) -> Column:
-    """Number of the time chunk a timestamp or date falls in."""
-    return F.floor(F.datediff(ts.cast("date"), F.lit("1900-01-01").cast("date")) / F.lit(days)).cast("int")
+#: Time bins of a hot key.
+BINS = 10_000
+
+
+def _hot_spans(rows: DataFrame, key: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Row count and time span of the keys with more than ``hot_rows`` rows, fewer
+    than ``BROADCAST_ROWS`` of them; None if there is no such key."""
+    spans = rows.groupBy(*key).agg(F.count("*").alias("_n"), F.min("_t").alias("_t0"), F.max("_t").alias("_t1"))
+    hot = stage(spans.filter(F.col("_n") > hot_rows), "hot")
+    keys, held = hot.agg(F.count("*"), F.sum("_n")).first()
+    if keys == 0:
+        return None
+    return hot.filter(F.col("_n") > held // BROADCAST_ROWS)
 
 
 def running(
@@ -26,39 +38,54 @@ def running(
     order: Sequence[str],
     last: dict[str, Column],
     sums: dict[str, Column],
-    ts: str,
-    days: int,
     inclusive: bool,
+    hot_rows: int = HOT_ROWS,
+    bins: int = BINS,
 ) -> DataFrame:
-    """Add running columns along ``order`` (which starts with ``ts``) per ``key``.
+    """Add running columns per ``key`` along ``order``, which starts with a timestamp.
 
     ``last``: latest non-NULL value of the expression so far. ``sums``: total of
-    the expression so far. ``inclusive`` says whether the current row counts
-    for ``last``; it always counts for ``sums``.
+    the expression so far, 0 before its first value. ``inclusive`` says whether
+    the current row counts for ``last``; it always counts for ``sums``.
     """
-    rows = rows.withColumn("_chunk", chunk_of(F.col(ts), days))
-    ordered = F.struct(*order)
-    per_chunk = rows.groupBy(*key, "_chunk").agg(
-        *[F.max_by(e, F.when(e.isNotNull(), ordered)).alias(f"_{n}") for n, e in last.items()],
-        *[F.sum(e).alias(f"_{n}") for n, e in sums.items()],
+    columns = rows.columns
+    rows = rows.withColumn("_t", F.unix_micros(F.col(order[0]).cast("timestamp")))
+    hot = _hot_spans(rows, key, hot_rows)
+
+    def over(group: Sequence[str]) -> tuple[dict[str, Column], dict[str, Column]]:
+        within = Window.partitionBy(*group).orderBy(*order)
+        upto = within.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+        return (
+            {n: F.last(e, ignorenulls=True).over(upto) for n, e in last.items()},
+            {n: F.coalesce(F.sum(e).over(so_far), F.lit(0)) for n, e in sums.items()},
+        )
+
+    if hot is None:
+        lasts, totals = over(key)
+        return rows.select(*columns, *[e.alias(n) for n, e in {**lasts, **totals}.items()])
+
+    width = F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1) / bins))
+    bin_of = F.floor((F.col("_t") - F.col("_t0")) / width)
+    binned = rows.join(F.broadcast(hot), list(key), "left").withColumn("_bin", F.coalesce(bin_of, F.lit(-1)))
+    per_bin = (
+        binned.filter(F.col("_bin") >= 0)
+        .groupBy(*key, "_bin")
+        .agg(
+            *[F.max_by(e, F.when(e.isNotNull(), F.struct(*order))).alias(f"_{n}") for n, e in last.items()],
+            *[F.sum(e).alias(f"_{n}") for n, e in sums.items()],
+        )
     )
-    before = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select(
+    before = Window.partitionBy(*key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_bin.select(
         *key,
-        "_chunk",
+        "_bin",
         *[F.last(f"_{n}", ignorenulls=True).over(before).alias(f"_{n}") for n in last],
-        *[F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in sums],
+        *[F.sum(f"_{n}").over(before).alias(f"_{n}") for n in sums],
     )
-    within = Window.partitionBy(*key, "_chunk").orderBy(*order)
-    upto = within.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    total = within.rowsBetween(Window.unboundedPreceding, 0)
-    columns = rows.columns
-    return (
-        rows.join(carry, [*key, "_chunk"])
-        .select(
-            *columns,
-            *[F.coalesce(F.last(e, ignorenulls=True).over(upto), F.col(f"_{n}")).alias(n) for n, e in last.items()],
-            *[(F.sum(e).over(total) + F.col(f"_{n}")).alias(n) for n, e in sums.items()],
-        )
-        .drop("_chunk")
+    lasts, totals = over([*key, "_bin"])
+    return binned.join(carry, [*key, "_bin"], "left").select(
+        *columns,
+        *[F.coalesce(e, F.col(f"_{n}")).alias(n) for n, e in lasts.items()],
+        *[(e + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n, e in totals.items()],
     )

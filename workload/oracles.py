@@ -453,6 +453,15 @@ FROM px p LEFT JOIN open_cells k ON k.scene_id = p.scene_id AND k.r = p.r AND k.
 FROM areas QUALIFY place <= 5""",
         recursive=True,
     ),
+    "largest_regions": w(
+        PX,
+        CLS,
+        MASK,
+        components("mask", 1),
+        select="""SELECT scene_id, region_id, CAST(sum(c1 - c0 + 1) AS BIGINT) AS n_px FROM comp GROUP BY scene_id, region_id
+ORDER BY n_px DESC, scene_id, region_id LIMIT 20""",
+        recursive=True,
+    ),
     # zones
     "points_in_polygon": w(
         PX,

@@ -231,6 +231,7 @@ on_classes(
     "region_id",
     "n_px",
 )
+on_classes("largest_regions", lambda px: regions.largest_regions(regions.region_stats(px, 8, BLOCK), 20))
 
 
 # zones
@@ -284,8 +285,7 @@ on_pixels("threshold_sweep", accuracy.threshold_sweep)
 @query()
 def area_adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     px = classes(tables.pixels(spark, sf_dir))
-    chosen = accuracy.stratified_sample(px, 1000, by="cls")
-    return accuracy.area_adjusted(px.join(chosen.select(*CELL), CELL, "left_semi"), px)
+    return accuracy.area_adjusted(accuracy.stratified_sample(px, 1000, by="cls", keep=["truth"]), px)
 
 
 # streams
