@@ -51,7 +51,7 @@ HEADLINE = [
 ]
 
 
-def session(cpus: str) -> SparkSession:
+def session(cpus: str, ui: str = "false") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
@@ -61,7 +61,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
         # small test tables: keep all cores busy instead of merging to 1 MB partitions
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "32k")
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", ui)
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

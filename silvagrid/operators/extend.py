@@ -6,7 +6,7 @@ partitions the tiles and moves them as Arrow batches. Keep
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -92,9 +92,12 @@ def _strip(i: int, j: int, radius: int) -> tuple[Column, Column]:
     return F.flatten(F.transform(lines, lambda y: F.slice("dn", y * F.col("w") + c0 + 1, cols))), cols
 
 
-def tile_map_halo(tiles: DataFrame, fn: Callable, radius: int, size: int) -> DataFrame:
-    """Apply ``fn(padded) -> array (h, w)`` where ``padded`` is the tile with a border
-    of ``radius`` cells from its neighbours, NaN where there is none.
+def tile_map_halo(
+    tiles: DataFrame, fn: Callable, radius: int, size: int, params: Sequence[str] = ()
+) -> DataFrame:
+    """Apply ``fn(padded, *params) -> array (h, w)`` where ``padded`` is the tile with a
+    border of ``radius`` cells from its neighbours, NaN where there is none, and
+    ``params`` names further number columns of the tile.
 
     Each tile sends itself and eight edge strips. The strips meet in one grouping
     on the tile key, at most nine rows per tile; only then are the rows handed to
@@ -115,6 +118,7 @@ def tile_map_halo(tiles: DataFrame, fn: Callable, radius: int, size: int) -> Dat
             (F.col("h") if own else F.lit(None).cast("int")).alias("h"),
             width.alias("w"),
             cells.alias("dn"),
+            *[(F.col(x) if own else F.lit(None)).cast("double").alias(x) for x in params],
         )
 
     sent = F.array(*[send(i, j) for i, j in steps])
@@ -123,6 +127,7 @@ def tile_map_halo(tiles: DataFrame, fn: Callable, radius: int, size: int) -> Dat
         pieces.groupBy("scene_id", "tile_r", "tile_c")
         .agg(
             F.max("h").alias("h"),
+            *[F.max(x).alias(x) for x in params],
             *[F.max(F.when(F.col("side") == k, F.col("w"))).alias(f"w{k}") for k in range(9)],
             *[F.first(F.when(F.col("side") == k, F.col("dn")), ignorenulls=True).alias(f"p{k}") for k in range(9)],
         )
@@ -138,6 +143,7 @@ def tile_map_halo(tiles: DataFrame, fn: Callable, radius: int, size: int) -> Dat
             kept = [batch.column(x) for x in ("scene_id", "tile_r", "tile_c", "h", "w4")]
             pieces = [unpack(batch.column(f"p{k}")) for k in range(9)]
             widths = [batch.column(f"w{k}").to_pylist() for k in range(9)]
+            given = [batch.column(x).to_pylist() for x in params]
             out = []
             for at, h in enumerate(kept[3].to_pylist()):
                 w = widths[4][at]
@@ -148,36 +154,12 @@ def tile_map_halo(tiles: DataFrame, fn: Callable, radius: int, size: int) -> Dat
                         piece = pieces[k][at].reshape(-1, widths[k][at])
                         y, x = starts[0][k // 3], starts[1][k % 3]
                         padded[y : y + piece.shape[0], x : x + piece.shape[1]] = piece
-                out.append(fn(padded).ravel())
+                out.append(fn(padded, *[x[at] for x in given]).ravel())
             yield pa.RecordBatch.from_arrays([*kept, pack(out)], ["scene_id", "tile_r", "tile_c", "h", "w", "dn"])
 
     return framed.mapInArrow(over, TILE_DDL)
 
 
-def square_function(kind: str, radius: int) -> Callable:
-    """Square neighbourhood ``sum``, ``min``, ``max`` or lower ``median`` for ``tile_map_halo``."""
-
-    def fn(padded):
-        import numpy as np
-
-        side = 2 * radius + 1
-        views = np.lib.stride_tricks.sliding_window_view(padded, (side, side))
-        flat = views.reshape(*views.shape[:2], -1)
-        n = (~np.isnan(flat)).sum(axis=-1)
-        if kind == "sum":
-            out = np.nansum(flat, axis=-1)
-        elif kind == "median":
-            # NaN sorts last, so the lower median of n values is at (n - 1) // 2
-            at = np.maximum(n - 1, 0)[..., None] // 2
-            out = np.take_along_axis(np.sort(flat, axis=-1), at, axis=-1)[..., 0]
-        else:
-            fill, reduce = (np.inf, np.min) if kind == "min" else (-np.inf, np.max)
-            out = reduce(np.where(np.isnan(flat), fill, flat), axis=-1)
-        return np.where(n > 0, out, np.nan)
-
-    return fn
-
-
 def tile_entropy(px: DataFrame, side: int) -> DataFrame:
     """User aggregate on fixed blocks: Shannon entropy of the grey levels, in nats.
 

@@ -13,10 +13,11 @@ COEFFS = ["xc", "xr", "x0", "yc", "yr", "y0"]
 
 
 def apply_affine(px: DataFrame, coeffs: DataFrame) -> DataFrame:
-    """Add map coordinates ``x = xc*c + xr*r + x0``, ``y = yc*c + yr*r + y0``."""
+    """Add map coordinates ``x = xc*c + xr*r + x0``, ``y = yc*c + yr*r + y0``; NULL for
+    scenes without coefficients."""
     k = {name: F.col(name) for name in COEFFS}
     return (
-        attach(px, coeffs.select("scene_id", *COEFFS), ["scene_id"])
+        attach(px, coeffs.select("scene_id", *COEFFS), ["scene_id"], "left")
         .withColumn("x", affine(F.col("r"), F.col("c"), k["xc"], k["xr"], k["x0"]))
         .withColumn("y", affine(F.col("r"), F.col("c"), k["yc"], k["yr"], k["y0"]))
         .drop(*COEFFS)

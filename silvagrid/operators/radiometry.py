@@ -40,7 +40,7 @@ def percentile_stretch(px: DataFrame, low: int = 2, high: int = 98) -> DataFrame
 
     A percentile is the lowest grey level whose cumulative count reaches the share.
     """
-    return _rescale(attach(px, percentiles(px, low, high), ["scene_id"]))
+    return _rescale(attach(px, percentiles(px, low, high), ["scene_id"], "left"))
 
 
 def percentiles(px: DataFrame, low: int = 2, high: int = 98) -> DataFrame:

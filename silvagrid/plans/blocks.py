@@ -26,7 +26,9 @@ def to_blocks(cells: DataFrame, halo: int, block: int = BLOCK) -> DataFrame:
         x = F.col(axis)
         if halo == 0:
             return floor_div(x, block)
-        return F.explode(F.sequence(floor_div(x - halo, block), floor_div(x + halo, block)))
+        inner = F.pmod(x, F.lit(block)).between(halo, block - 1 - halo)
+        reach = F.sequence(floor_div(x - halo, block), floor_div(x + halo, block))
+        return F.explode(F.when(inner, F.array(floor_div(x, block))).otherwise(reach))
 
     return (
         cells.withColumn("_br", ids("r"))

@@ -6,13 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import CELL, idiv
+from silvagrid.operators.extend import TILE_COLUMNS
 from silvagrid.operators.focal import focal_pass
 from silvagrid.operators.morphology import morph_pass
-from silvagrid.operators.radiometry import percentile_stretch
+from silvagrid.operators.radiometry import histogram, percentile_stretch, percentiles
 from silvagrid.operators.regions import block_runs, sieve_runs, to_pixels
-from silvagrid.operators.threshold import is_forest, otsu_levels
+from silvagrid.operators.threshold import is_forest, otsu_from_histogram, otsu_levels
+from silvagrid.operators.tileform import stretched_mean, threshold_and_open, tile_runs
 from silvagrid.plans.blocks import BLOCK, own_cells, to_blocks
 from silvagrid.plans.joins import attach
+from silvagrid.plans.staging import stage
+from silvagrid.sources.tiles import tiles_to_pixels
 
 
 def smoothed(stretched: DataFrame, halo: int, radius: int, block: int) -> DataFrame:
@@ -48,12 +52,31 @@ def forest_extract(
     return to_pixels(sieve_runs(block_runs(opened), min_px, connectivity, block), "cls")
 
 
+def forest_extract_tiles(
+    tiles: DataFrame,
+    size: int,
+    polarity: str = "dark",
+    radius: int = 1,
+    min_px: int = 4,
+    connectivity: int = 8,
+) -> DataFrame:
+    """``forest_extract`` for scenes stored as tiles of pitch ``size``; same result.
+
+    Histograms and regions are the same Spark jobs; the two neighbourhood steps
+    work on arrays, and only border strips and runs are exchanged as rows.
+    """
+    tiles = tiles.select(*TILE_COLUMNS)
+    near = ("tile_r", "tile_c")
+    bounds = percentiles(tiles_to_pixels(tiles, size))
+    smooth = stage(stretched_mean(attach(tiles, bounds, ["scene_id"], "left", near), radius, size), "smooth")
+    levels = otsu_levels(tiles_to_pixels(smooth, size))
+    opened = threshold_and_open(attach(smooth, levels, ["scene_id"], "left", near), radius, size, polarity)
+    return to_pixels(sieve_runs(tile_runs(opened, size), min_px, connectivity, size), "cls")
+
+
 def forest_per_scene(px: DataFrame, polarity: str = "dark") -> DataFrame:
     """The minimum answer: Otsu threshold and forest share of each scene, all from
     the histogram."""
-    from silvagrid.operators.radiometry import histogram
-    from silvagrid.operators.threshold import otsu_from_histogram
-
     hist = histogram(px)
     forest = is_forest(F.col("dn"), F.col("threshold"), polarity)
     return (

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import CELL
-from silvagrid.operators import accuracy, change, extend, focal, morphology, radiometry, regions, threshold, zonal
+from silvagrid.operators import accuracy, change, extend, focal, morphology, radiometry, regions, threshold, tileform, zonal
 from silvagrid.plans import joins
+from silvagrid.plans.forest import forest_extract, forest_extract_tiles
 from silvagrid.plans.series import running
 from silvagrid.sources import tables, tiles
 from tests.conftest import SF_DIR
@@ -29,10 +30,27 @@ def test_pixel_form_equals_tile_form(grid, kind, radius):
         pixel_form = focal.focal_median(px, radius, 7).withColumnRenamed("f_median", "v")
     else:
         pixel_form = focal.focal(px, radius, block=7, v=kind)
-    tiled = extend.tile_map_halo(tiles.pixels_to_tiles(px, 5), extend.square_function(kind, radius), radius, 5)
+    tiled = tileform.focal_tiles(tiles.pixels_to_tiles(px, 5), kind, radius, 5)
     assert rows(tiles.tiles_to_pixels(tiled, 5), *CELL, "dn") == rows(pixel_form, *CELL, "v")
 
 
+@pytest.mark.parametrize("polarity,radius,size", [("dark", 1, 7), ("bright", 2, 8)])
+def test_flagship_forms_agree(grid, polarity, radius, size):
+    """Ragged edge tiles, nodata, a constant scene and a scene without data."""
+    px = grid(noise(11, 40, 33), noise(12, 23, 50, 90), [[5] * 9] * 9, [[None] * 9] * 9)
+    want = forest_extract(px, polarity, radius, 3, block=16)
+    got = forest_extract_tiles(tiles.pixels_to_tiles(px, size), size, polarity, radius, 3)
+    assert rows(got, *CELL, "cls") == rows(want, *CELL, "cls")
+    assert {r["cls"] for r in want.select("cls").distinct().collect()} == {0, 1, None}
+
+
+def test_runs_forms_agree(grid):
+    mask = threshold.threshold_fixed(grid(noise(13, 19, 23)), 120).select(*CELL, "cls")
+    made = tiles.pixels_to_tiles(mask.withColumnRenamed("cls", "dn"), 6)
+    columns = ["scene_id", "_br", "_bc", "r", "c0", "c1", "cls"]
+    assert rows(tileform.tile_runs(made, 6), *columns) == rows(regions.runs_of(mask, 6), *columns)
+
+
 @pytest.mark.parametrize("block", [3, 8, 256])
 def test_blocks_do_not_show(grid, block):
     px = grid(noise(3))

@@ -632,6 +632,7 @@ FROM arrivals a JOIN arrivals b ON a.source_id = b.source_id AND a.kind = 'click
     # user functions
     "tile_map": w(PX, select=f"SELECT {CELLS}, 255 - dn AS dn FROM px"),
     "tile_map_halo": focal(1, "CAST(sum(v) AS INT) AS f_sum"),
+    "tile_median": focal(1, "quantile_disc(v, 0.5) AS f_median"),
     "tile_entropy": w(
         PX,
         "n AS (SELECT scene_id, CAST(r // 16 AS INT) AS tile_r, CAST(c // 16 AS INT) AS tile_c, dn, count(*) AS n FROM px GROUP BY ALL)",
@@ -640,3 +641,6 @@ FROM arrivals a JOIN arrivals b ON a.source_id = b.source_id AND a.kind = 'click
     ),
     "tile_px": w(PX, select=f"SELECT {CELLS}, dn FROM px"),
 }
+
+# the tile form answers the same question
+ORACLES["forest_extract_tiles"] = ORACLES["forest_extract"]

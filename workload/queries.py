@@ -21,6 +21,7 @@ from silvagrid.operators import (
     regions,
     texture,
     threshold,
+    tileform,
     zonal,
 )
 from silvagrid.plans import forest
@@ -91,6 +92,14 @@ def affine_table(px: DataFrame) -> DataFrame:
 on_pixels("forest_extract", lambda px: forest.forest_extract(px, "dark", 1, MIN_PX, block=BLOCK))
 on_pixels("forest_per_scene", forest.forest_per_scene)
 
+
+@query()
+def forest_extract_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship on tiles as they are stored."""
+    return forest.forest_extract_tiles(tables.tiles(spark, sf_dir), tables.TILE, "dark", 1, MIN_PX)
+
+
+
 # sources, sinks, layout
 on_pixels("tiles_to_pixels", lambda px: px)
 on_pixels("pixels_to_tiles", lambda px: tiles.pixels_to_tiles(px, 16))
@@ -343,10 +352,17 @@ def tile_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def tile_map_halo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = extend.tile_map_halo(tables.tiles(spark, sf_dir), extend.square_function("sum", 1), 1, tables.TILE)
+    sums = tileform.focal_tiles(tables.tiles(spark, sf_dir), "sum", 1, tables.TILE)
     return tiles.tiles_to_pixels(sums, tables.TILE).select(*CELL, F.col("dn").alias("f_sum"))
 
 
+@query()
+def tile_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The non-separable case in tile form."""
+    medians = tileform.focal_tiles(tables.tiles(spark, sf_dir), "median", 1, tables.TILE)
+    return tiles.tiles_to_pixels(medians, tables.TILE).select(*CELL, F.col("dn").alias("f_median"))
+
+
 on_pixels("tile_entropy", lambda px: extend.tile_entropy(px, 16))
 
 
