@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import CELL, idiv
-from silvagrid.operators import focal, morphology, regions, threshold
-from silvagrid.plans.forest import forest_extract
-from silvagrid.plans.staging import new_path
+from silvagrid.operators import focal, morphology, regions, threshold, tileform
+from silvagrid.plans.blocks import BLOCK
+from silvagrid.plans.forest import forest_extract, forest_extract_tiles
+from silvagrid.plans.staging import new_path, stage
 from silvagrid.sources import tables
 from silvagrid.sources.parquet import read_scene_parquet, write_scene_parquet
-from silvagrid.sources.tiles import tiles_to_pixels
+from silvagrid.sources.tiles import pixels_to_tiles, tiles_to_pixels
 
 
 def raster(spark: SparkSession, sf_dir: str, scenes: int, side: int) -> DataFrame:
@@ -57,6 +58,15 @@ def plain_mean(px: DataFrame) -> DataFrame:
     return rows.select(*CELL, F.sum("s").over(col) / F.sum("n").over(col))
 
 
+def as_tiles(px: DataFrame) -> DataFrame:
+    return stage(pixels_to_tiles(px, BLOCK), "tiles")
+
+
+TILE_STEPS = {
+    "focal_sum_tiles": lambda tiles: tileform.focal_tiles(tiles, "sum", 1, BLOCK),
+    "forest_extract_tiles": lambda tiles: forest_extract_tiles(tiles, BLOCK),
+}
+
 STEPS = {
     "focal_mean": lambda px: focal.focal_mean(px),
     "focal_mean_plain": plain_mean,
@@ -78,12 +88,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     side = int(os.environ.get("BENCH_TILES", "128"))
     spark = session(os.environ.get("BENCH_CPUS", "8"), ui="true")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
     for scenes in map(int, os.environ.get("BENCH_SCENES", "1,4,16").split(",")):
         px = raster(spark, sf_dir, scenes, side)
         line = {"pixels": px.count(), "scenes": scenes}
-        for name, step in STEPS.items():
+        for name, step in {**STEPS, **TILE_STEPS}.items():
+            given = as_tiles(px) if name in TILE_STEPS else px
             before, start = shuffled(spark), time.perf_counter()
-            step(px).write.format("noop").mode("overwrite").save()
+            step(given).write.format("noop").mode("overwrite").save()
             line[name] = {
                 "sec": round(time.perf_counter() - start, 2),
                 "shuffle_mb": round((shuffled(spark) - before) / 1e6, 1),

@@ -33,3 +33,10 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete this application's staged tables; frames read from them end here."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import clamp, idiv
@@ -18,25 +18,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """8x8 tiles, 100 per scene, with the truth class and zone of the tile."""
+def _level(x: Column) -> Column:
+    """Grey level 0..255 of a vector entry."""
+    return clamp(F.floor((x.cast("double") + 0.5) * 255).cast("int"), 0, 255)
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8x8 tiles of raw entries, 100 per scene, with truth class and zone of the tile."""
     v = F.col("vec_id")
-    dn = F.transform("embedding", lambda x: clamp(F.floor((x.cast("double") + 0.5) * 255).cast("int"), 0, 255))
     return table(spark, sf_dir, "embeddings").select(
         idiv(v, 100).cast("int").alias("scene_id"),
         idiv(v % 100, 10).cast("int").alias("tile_r"),
         (v % 10).cast("int").alias("tile_c"),
         F.lit(TILE).alias("h"),
         F.lit(TILE).alias("w"),
-        dn.alias("dn"),
+        F.col("embedding").alias("dn"),
         (F.col("label") >= 5).cast("int").alias("truth"),
         (v % ZONES).cast("int").alias("zone_id"),
     )
 
 
+def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tile table: ``scene_id, tile_r, tile_c, h, w, dn, truth, zone_id``."""
+    return _placed(spark, sf_dir).withColumn("dn", F.transform("dn", _level))
+
+
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``scene_id, r, c, dn, truth, zone_id``."""
-    return tiles_to_pixels(tiles(spark, sf_dir), TILE)
+    """``scene_id, r, c, dn, truth, zone_id``; levels are computed after the arrays
+    are opened, inside generated code."""
+    return tiles_to_pixels(_placed(spark, sf_dir), TILE).withColumn("dn", _level(F.col("dn")))
 
 
 def with_date(df: DataFrame) -> DataFrame:

@@ -190,12 +190,12 @@ FROM op LEFT JOIN kept USING ({CELLS}) LEFT JOIN big ON big.scene_id = kept.scen
     "pixels_to_tiles": w(
         PX,
         select="""SELECT scene_id, CAST(r // 16 AS INT) AS tile_r, CAST(c // 16 AS INT) AS tile_c,
-  CAST(max(r % 16) + 1 AS INT) AS h, CAST(max(c % 16) + 1 AS INT) AS w, list(dn ORDER BY r, c) AS dn FROM px GROUP BY 1, 2, 3""",
+  CAST(max(r % 16) + 1 AS INT) AS h, CAST(max(c % 16) + 1 AS INT) AS w, string_agg(CAST(dn AS VARCHAR), ',' ORDER BY r, c) AS dn FROM px GROUP BY 1, 2, 3""",
     ),
     "scene_catalogue": w(
         PX,
         select=f"""SELECT scene_id, min(r) AS r0, max(r) AS r1, min(c) AS c0, max(c) AS c1, count(*) AS n_cells, count(dn) AS n_valid,
-  min(dn) AS dn_min, max(dn) AS dn_max, CAST(sum(dn) AS BIGINT) AS dn_sum, avg(dn) AS dn_mean, {DATE} AS acq_date FROM px GROUP BY scene_id""",
+  min(dn) AS dn_min, max(dn) AS dn_max, CAST(sum(dn) AS BIGINT) AS dn_sum, avg(dn) AS dn_mean, CAST({DATE} AS VARCHAR) AS acq_date FROM px GROUP BY scene_id""",
     ),
     "clip_bbox": w(PX, select=f"SELECT {CELLS}, dn FROM px WHERE r >= 10 AND r <= 59 AND c >= 5 AND c <= 44"),
     "densify": w(
@@ -522,7 +522,7 @@ JOIN cls b ON b.scene_id = a.scene_id + 1 AND b.r = a.r AND b.c = a.c GROUP BY A
         PX,
         CLS,
         f"steps AS (SELECT *, {DATE} AS d, lag(cls) OVER (PARTITION BY r, c ORDER BY scene_id) AS before FROM cls)",
-        select="SELECT r, c, min(d) AS first_loss FROM steps WHERE before = 1 AND cls = 0 GROUP BY r, c",
+        select="SELECT r, c, CAST(min(d) AS VARCHAR) AS first_loss FROM steps WHERE before = 1 AND cls = 0 GROUP BY r, c",
     ),
     "area_by_year": w(
         PX,

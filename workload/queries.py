@@ -101,7 +101,13 @@ def forest_extract_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # sources, sinks, layout
-on_pixels("tiles_to_pixels", lambda px: px)
+
+
+@query()
+def tiles_to_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiles.tiles_to_pixels(tables.tiles(spark, sf_dir), tables.TILE)
+
+
 on_pixels("pixels_to_tiles", lambda px: tiles.pixels_to_tiles(px, 16))
 on_pixels("scene_catalogue", lambda px: tables.with_date(catalogue.scene_catalogue(px)))
 on_pixels("clip_bbox", lambda px: catalogue.clip_bbox(px, 10, 59, 5, 44), *CELL, "dn")
@@ -371,14 +377,25 @@ def tile_px(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extend.tile_px(tables.tiles(spark, sf_dir), tables.TILE)
 
 
-def _zoneless(fn: Query) -> Query:
-    """Give instants as zone-free wall-clock times, as the given tables have them."""
+def _comparable(fn: Query) -> Query:
+    """Instants as zone-free wall-clock times, as the given tables have them; dates
+    and arrays as text, which every client prints alike."""
+
+    def plain(name: str, kind: str):
+        x = F.col(name)
+        if kind == "timestamp":
+            return x.cast("timestamp_ntz").alias(name)
+        if kind == "date":
+            return x.cast("string").alias(name)
+        if kind.startswith("array"):
+            return F.array_join(x.cast("array<string>"), ",", "null").alias(name)
+        return x
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = fn(spark, sf_dir)
-        return df.select(*[F.col(n).cast("timestamp_ntz").alias(n) if t == "timestamp" else F.col(n) for n, t in df.dtypes])
+        return df.select(*[plain(n, t) for n, t in df.dtypes])
 
     return run
 
 
-QUERIES.update({name: _zoneless(fn) for name, fn in QUERIES.items()})
+QUERIES.update({name: _comparable(fn) for name, fn in QUERIES.items()})
