@@ -22,6 +22,7 @@ from workload.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
     "forest_extract",
+    "forest_extract_tiles",
     "forest_per_scene",
     "pixels_to_tiles",
     "percentile_stretch",

@@ -19,12 +19,12 @@ from silvagrid.plans.staging import stage
 from silvagrid.sources.tiles import tiles_to_pixels
 
 
-def smoothed(stretched: DataFrame, halo: int, radius: int, block: int) -> DataFrame:
-    """Focal mean rounded to a whole grey level, left in block layout."""
-    blocks = to_blocks(stretched.select(*CELL, "dn"), halo, block)
-    sums = focal_pass(blocks, radius, _s=("sum", F.col("dn")), _k=("n", F.col("dn")))
+def smoothed(stretched: DataFrame, radius: int, block: int) -> DataFrame:
+    """``scene_id, r, c, smooth``: focal mean rounded to a whole grey level."""
+    blocks = to_blocks(stretched.select(*CELL, "dn"), radius, block)
+    sums = own_cells(focal_pass(blocks, radius, _s=("sum", F.col("dn")), _k=("n", F.col("dn"))), block)
     level = F.when(F.col("dn").isNotNull(), idiv(F.col("_s") * 2 + F.col("_k"), F.col("_k") * 2).cast("int"))
-    return sums.withColumn("smooth", level).drop("_s", "_k")
+    return sums.select(*CELL, level.alias("smooth"))
 
 
 def forest_extract(
@@ -38,17 +38,15 @@ def forest_extract(
     """Percentile stretch, focal mean, Otsu per scene, opening, sieve.
 
     Output ``scene_id, r, c, cls`` (1 forest, 0 other, NULL nodata), one row per
-    input pixel. The final pass copies borders once, for all three radii (mean,
-    erosion, dilation), and the runs are cut from the same partitions: pixels
-    cross the network once, after which only runs move.
+    input pixel. Pixels are exchanged twice: for the mean, whose result is staged
+    because both the threshold and the map read it, and for the opening, on whose
+    partitions the runs are cut. After that only runs move.
     """
     stretched = percentile_stretch(px.select(*CELL, "dn"))
-    levels = otsu_levels(own_cells(smoothed(stretched, radius, radius, block), block), "smooth")
-    smooth = attach(smoothed(stretched, 3 * radius, radius, block), levels, ["scene_id"], "left")
-    cut = smooth.select(
-        *CELL, "_br", "_bc", is_forest(F.col("smooth"), F.col("threshold"), polarity).alias("cls")
-    )
-    opened = own_cells(morph_pass(cut, radius, "min", "max"), block)
+    smooth = stage(smoothed(stretched, radius, block), "smooth")
+    cut = attach(smooth, otsu_levels(smooth, "smooth"), ["scene_id"], "left")
+    mask = cut.select(*CELL, is_forest(F.col("smooth"), F.col("threshold"), polarity).alias("cls"))
+    opened = own_cells(morph_pass(to_blocks(mask, 2 * radius, block), radius, "min", "max"), block)
     return to_pixels(sieve_runs(block_runs(opened), min_px, connectivity, block), "cls")
 
 
