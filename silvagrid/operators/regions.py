@@ -75,11 +75,13 @@ def _block_labeller(connectivity: int) -> Callable:
         lengths = c1 - c0 + 1
         cols = np.repeat(c0 - shift + 1 - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
         image[np.repeat(r, lengths), cols] = np.repeat(np.arange(len(runs)), lengths)
-        up, down = image[:-1, 1:-1], (image[1:, 1:-1], image[1:, :-2], image[1:, 2:])
+        here = image[:-1, 1:-1]
+        # runs cut at tile borders also touch along the row
+        near = (image[:-1, 2:], image[1:, 1:-1], image[1:, :-2], image[1:, 2:])
         pairs = [
-            np.stack([up[hit], low[hit]])
-            for low in down[: 1 if connectivity == 4 else 3]
-            for hit in [(up >= 0) & (low >= 0)]
+            np.stack([here[hit], other[hit]])
+            for other in near[: 2 if connectivity == 4 else 4]
+            for hit in [(here >= 0) & (other >= 0) & (here != other)]
         ]
         a, b = np.concatenate(pairs, axis=1)
         first = np.arange(len(runs))
@@ -143,9 +145,10 @@ def _border_edges(runs: DataFrame, connectivity: int, block: int) -> DataFrame:
     asks = cells.select("scene_id", F.col("node").alias("u"), F.explode(ahead).alias("p")).select(
         "scene_id", "u", "p.r", "p.c"
     )
-    met = asks.join(cells, CELL).filter("u <> node").select("scene_id", "u", F.col("node").alias("v"))
-    pair = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v"))))
-    return met.distinct().select("scene_id", pair.alias("p")).select("scene_id", "p.u", "p.v").distinct()
+    met = asks.join(cells, CELL).filter("u <> node")
+    once = met.select("scene_id", F.least("u", "node").alias("a"), F.greatest("u", "node").alias("b")).distinct()
+    both = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
+    return once.select("scene_id", F.explode(both).alias("p")).select("scene_id", "p.u", "p.v")
 
 
 def component_labels(edges: DataFrame, finish_edges: int = FINISH_EDGES) -> DataFrame:

@@ -111,8 +111,10 @@ def threshold_and_open(tiles: DataFrame, radius: int, size: int, polarity: str)
     return tile_map_halo(tiles, fn, 2 * radius, size, ["threshold"])
 
 
-def tile_runs(tiles: DataFrame, size: int) -> DataFrame:
-    """Runs of equal class in each tile: what ``block_runs`` gives for blocks of ``size``."""
+def tile_runs(tiles: DataFrame, size: int, per_block: int = 1) -> DataFrame:
+    """Runs of equal class in each tile: what ``block_runs`` gives for blocks of
+    ``size``. With ``per_block`` the block key names groups of that many tiles along
+    each side, so that small tiles are labelled together."""
 
     def over(batches: Iterator) -> Iterator:
         import numpy as np
@@ -129,7 +131,7 @@ def tile_runs(tiles: DataFrame, size: int) -> DataFrame:
                 fresh[:, 1:] = code[:, 1:] != code[:, :-1]
                 first = np.flatnonzero(fresh)
                 last = np.append(first[1:], code.size) - 1
-                place = [np.full(len(first), x) for x in (scene, tile_r, tile_c)]
+                place = [np.full(len(first), x) for x in (scene, tile_r // per_block, tile_c // per_block)]
                 where = [tile_r * size + first // w, tile_c * size + first % w, tile_c * size + last % w]
                 out.append(np.stack([*place, *where, cells[first]], axis=1))
             rows = np.concatenate(out)

@@ -69,7 +69,8 @@ def forest_extract_tiles(
     smooth = stage(stretched_mean(attach(tiles, bounds, ["scene_id"], "left", near), radius, size), "smooth")
     levels = otsu_levels(tiles_to_pixels(smooth, size))
     opened = threshold_and_open(attach(smooth, levels, ["scene_id"], "left", near), radius, size, polarity)
-    return to_pixels(sieve_runs(tile_runs(opened, size), min_px, connectivity, size), "cls")
+    per_block = max(1, BLOCK // size)
+    return to_pixels(sieve_runs(tile_runs(opened, size, per_block), min_px, connectivity, size * per_block), "cls")
 
 
 def forest_per_scene(px: DataFrame, polarity: str = "dark") -> DataFrame:

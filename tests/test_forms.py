@@ -51,6 +51,18 @@ def test_runs_forms_agree(grid):
     assert rows(tileform.tile_runs(made, 6), *columns) == rows(regions.runs_of(mask, 6), *columns)
 
 
+@pytest.mark.parametrize("connectivity", [4, 8])
+@pytest.mark.parametrize("per_block", [1, 2, 9])
+def test_tiles_labelled_together(grid, connectivity, per_block):
+    """Runs cut at tile borders join up again, inside a block and across blocks."""
+    mask = threshold.threshold_fixed(grid(noise(14, 19, 23)), 140).select(*CELL, "cls")
+    made = tiles.pixels_to_tiles(mask.withColumnRenamed("cls", "dn"), 4)
+    runs = tileform.tile_runs(made, 4, per_block).filter("cls = 1")
+    got = regions.to_pixels(regions.label_runs(runs, connectivity, 4 * per_block), "region_id")
+    want = regions.connected_components(mask, connectivity)
+    assert rows(got, *CELL, "region_id") == rows(want, *CELL, "region_id")
+
+
 @pytest.mark.parametrize("block", [3, 8, 256])
 def test_blocks_do_not_show(grid, block):
     px = grid(noise(3))
