@@ -1,5 +1,6 @@
 """What the plans must look like at scale."""
 
+import os
 import re
 
 import pytest
@@ -95,3 +96,14 @@ def test_zones_are_summed_before_grouping_sets(px, spark):
 def test_staging_folder_is_the_one_named(spark):
     assert staging.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert staging.new_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_staged_tables_can_be_cleared(spark, monkeypatch):
+    folder = staging.shared_dir(spark) + "/clear"
+    monkeypatch.setattr(staging, "shared_dir", lambda _: folder)
+    kept = staging.stage(spark.range(3), "x")
+    assert kept.count() == 3
+    path = f"{folder}/{spark.sparkContext.applicationId}".removeprefix("file:")
+    assert os.path.exists(path)
+    staging.clear_staged(spark)
+    assert not os.path.exists(path)
