@@ -94,11 +94,16 @@ def _hash_buffer(buffer: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     if not len(starts):
         return np.zeros(0, np.uint64), starts, ends
+    return span_hashes(raw, starts, ends, lower), starts, ends
+
+
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the spans of a byte array; equal spans anywhere have equal hashes."""
     up, down = _power_tables(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_byte_values(lower)[raw] * up[: len(raw)], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * down[starts]
-    return mix(hashes ^ ((ends - starts).astype(np.uint64) * GOLDEN)), starts, ends
+    return mix(hashes ^ ((ends - starts).astype(np.uint64) * GOLDEN))
 
 
 def hash_words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silvagrid.llm import media, packing, shards
+from silvagrid.llm import decontaminate, linededup, media, neardup, packing, shards
 from silvagrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,8 +45,25 @@ def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), byte_bpe()).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
+
+
+@query
+def op7_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the text that is left and what was taken out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linededup.drop_repeated_lines(docs)
