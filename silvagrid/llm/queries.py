@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silvagrid.llm import decontaminate, linededup, media, neardup, packing, shards
+from silvagrid.llm import decontaminate, linededup, media, neardup, packing, pages, shards
 from silvagrid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,11 @@ def op1_media_png(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
