@@ -86,15 +86,14 @@ def _pieces(data: bytes) -> Iterator[bytes]:
     yield data[at:]
 
 
-def _hash_buffer(buffer: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    raw = np.frombuffer(buffer, np.uint8)
+WordFn = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+
+
+def _word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     solid = np.zeros(len(raw) + 2, np.int8)
     solid[1:-1] = ~_SPACE[raw]
     step = np.diff(solid)
-    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    if not len(starts):
-        return np.zeros(0, np.uint64), starts, ends
-    return span_hashes(raw, starts, ends, lower), starts, ends
+    return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> np.ndarray:
@@ -106,30 +105,39 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     return mix(hashes ^ ((ends - starts).astype(np.uint64) * GOLDEN))
 
 
-def hash_words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words ``[^\\x20\\x09-\\x0D]+`` and the offsets of each text's words.
+def word_arrays(texts: list[bytes], fn: WordFn) -> tuple[np.ndarray, np.ndarray]:
+    """``fn(bytes, starts, ends)`` over all words ``[^\\x20\\x09-\\x0D]+``, and each text's offset.
 
-    ``lower`` folds A-Z only. Words are hashed by prefix sums over a whole buffer of
-    texts, not one by one.
+    Works on buffers of several texts, not word by word. ``fn`` gives a row per word and must not
+    look beyond a word, as very long texts are cut at white space.
     """
-    hashes, counts, i = [], np.zeros(len(texts) + 1, np.int64), 0
+    found, counts, i = [], np.zeros(len(texts) + 1, np.int64), 0
     while i < len(texts):
         if len(texts[i]) > 4 * PACK_BYTES:
-            parts = [_hash_buffer(p, lower)[0] for p in _pieces(texts[i])]
-            hashes.extend(parts)
-            counts[i + 1] = sum(map(len, parts))
+            for piece in _pieces(texts[i]):
+                raw = np.frombuffer(piece, np.uint8)
+                starts, ends = _word_spans(raw)
+                found.append(fn(raw, starts, ends))
+                counts[i + 1] += len(starts)
             i += 1
             continue
         j, size = i, 0
         while j < len(texts) and size + len(texts[j]) <= 4 * PACK_BYTES and (j == i or size < PACK_BYTES):
             size += len(texts[j]) + 1
             j += 1
-        found, starts, _ = _hash_buffer(b" ".join(texts[i:j]), lower)
-        hashes.append(found)
-        ends = np.cumsum([len(t) + 1 for t in texts[i:j]])
-        counts[i + 1 : j + 1] = np.diff(np.searchsorted(starts, ends), prepend=0)
+        raw = np.frombuffer(b" ".join(texts[i:j]), np.uint8)
+        starts, ends = _word_spans(raw)
+        found.append(fn(raw, starts, ends))
+        limits = np.cumsum([len(t) + 1 for t in texts[i:j]])
+        counts[i + 1 : j + 1] = np.diff(np.searchsorted(starts, limits), prepend=0)
         i = j
-    return (np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)), np.cumsum(counts)
+    none = np.zeros(0, np.uint8)
+    return (np.concatenate(found) if found else fn(none, none.astype(np.int64), none.astype(np.int64))), np.cumsum(counts)
+
+
+def hash_words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words and the offsets of each text's words; ``lower`` folds A-Z only."""
+    return word_arrays(texts, lambda raw, starts, ends: span_hashes(raw, starts, ends, lower))
 
 
 # ---------------------------------------------------------------- Arrow

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silvagrid.llm import decontaminate, linededup, media, neardup, packing, pages, shards
-from silvagrid.llm.common import table
+from silvagrid.llm import decontaminate, language, linededup, media, neardup, packing, pages, quality, shards
+from silvagrid.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +42,14 @@ def op2_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract_main_text(table(spark, sf_dir, "pages"))
 
 
+@query
+def op3_bidirectional_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit_language(docs)
+    held = (F.pmod(id_crc(), F.lit(5)) == 0).alias("held_out")
+    return language.identify(docs.select("doc_id", "text", held), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op4_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -67,6 +75,15 @@ def op7_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, quality.training_labels(table(spark, sf_dir, "labels")))
+    held = (F.pmod(id_crc(), F.lit(4)) == 2).alias("held_out")
+    scored = quality.score_quality(docs.select("doc_id", "text", held), model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int")).select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the text that is left and what was taken out."""
