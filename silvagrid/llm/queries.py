@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silvagrid.llm import decontaminate, language, linededup, media, neardup, packing, pages, quality, shards
+from silvagrid.llm import decontaminate, language, linededup, lm, media, neardup, packing, pages, quality, shards
 from silvagrid.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,15 @@ def op7_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = F.pmod(id_crc(), F.lit(5)) == 1
+    model = lm.fit(docs.where(~held))
+    scored = lm.score(docs.select("doc_id", "text", held.alias("held_out")), model)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 @query
 def op9_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
