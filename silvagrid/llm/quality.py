@@ -235,6 +235,17 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, Network], p: Quality
     return map_arrow(docs, run, schema)
 
 
+def keep_good(docs: DataFrame, model: tuple[np.ndarray, Network], least: float = ACCEPT, p: Quality = Quality(), text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is at least ``least``, with exactly the columns of ``docs``."""
+    vectors, net = model
+
+    def run(batch: pa.RecordBatch) -> dict:
+        good = pa.array(net.score(pool(byte_texts(batch.column(text)), vectors, p)) >= least)
+        return {n: c.filter(good) for n, c in zip(batch.schema.names, batch.columns)}
+
+    return map_arrow(docs, run, docs.schema)
+
+
 def training_labels(labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """Labelled rows whose crc32 of the id modulo 4 is not 2."""
     return labels.where(F.pmod(id_crc(key), F.lit(4)) != 2)
