@@ -19,6 +19,8 @@ class Chunking:
     long_line: int = 50
     min_lines: int = 2
     min_words: int = 20
+    #: Size of the bit maps that keep untouched texts out of shuffles.
+    bits: int = 24
 
 
 def _words(line: Column) -> Column:
@@ -34,6 +36,22 @@ def _slice(lines: Column, start: Column, n: Column) -> Column:
     return F.array_join(F.slice(lines, start + 1, n), "\n")
 
 
+def _bitmap(rows: DataFrame, column: str, bits: int) -> Column:
+    """An array of 64-bit words, the same size for any input, marked by the hashes of ``column``."""
+    place = F.shiftrightunsigned(F.xxhash64(column), 64 - bits)
+    words = rows.select(F.shiftright(place, 6).alias("w"), place.bitwiseAND(63).cast("int").alias("b"))
+    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("v"))
+    every = rows.sparkSession.range(1 << bits - 6).join(words, F.col("id") == F.col("w"), "left")
+    packed = every.agg(F.sort_array(F.collect_list(F.struct("id", F.coalesce("v", F.lit(0).cast("long")).alias("v")))).alias("x"))
+    return packed.select("x.v").scalar()
+
+
+def _marked(words: Column, column: str, bits: int) -> Column:
+    """Whether the hash of ``column`` is marked; some others are too, by chance."""
+    place = F.shiftrightunsigned(F.xxhash64(column), 64 - bits)
+    return F.bit_get(F.get(words, F.shiftright(place, 6).cast("int")), place.bitwiseAND(63).cast("int")) == 1
+
+
 def chunks(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, start, n, h, bytes): chunks of lines that may be removed; ``start`` counts lines from 0.
 
@@ -84,9 +102,9 @@ def repeated_chunks(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_i
     first = found.groupBy(*same).agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "start", "n")).alias("first"))
     first = stage(first.where("c > 1").select(*same, "first.key", "first.start", "first.n"), "first")
     named = first.withColumnsRenamed({"key": "f_key", "start": "f_start", "n": "f_n"})
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(
-        named, F.col("key").eqNullSafe(F.col("f_key"))
-    ).select(*same, "f_key", "f_start", _slice(_lines("text"), F.col("f_start"), F.col("f_n")).alias("chunk")).distinct()
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    texts = texts.where(_marked(_bitmap(first, "key", p.bits), "key", p.bits))
+    texts = texts.join(named, F.col("key").eqNullSafe(F.col("f_key"))).select(*same, "f_key", "f_start", _slice(_lines("text"), F.col("f_start"), F.col("f_n")).alias("chunk")).distinct()
     later = ~(F.col("key").eqNullSafe(F.col("f_key")) & (F.col("start") == F.col("f_start")))
     return found.join(texts, same).where(later).select("key", "start", "n", "chunk")
 
@@ -94,6 +112,7 @@ def repeated_chunks(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_i
 def drop_repeated_lines(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the lines of chunks that occurred before, anywhere in the corpus.
 
+    Only documents that lose lines, and a few more that a bit map lets through, are shuffled.
     A chunk goes only if its bytes equal those of the first occurrence. All rows, columns and
     their order stay; the text of a document whose every chunk is repeated becomes empty, NULL
     stays NULL. ``n_chars``, if there, is set to the new length where the text changed. Rows with
@@ -102,8 +121,9 @@ def drop_repeated_lines(docs: DataFrame, p: Chunking = Chunking(), key: str = "d
     spans = repeated_chunks(docs, p, key, text).groupBy("key").agg(
         F.collect_list(F.struct("start", "n", "chunk")).alias("_spans")
     )
-    spans = spans.withColumnRenamed("key", "_key")
-    joined = docs.join(spans, F.col(key).eqNullSafe(F.col("_key")), "left")
+    spans = stage(spans.withColumnRenamed("key", "_key"), "spans")
+    touched = _marked(_bitmap(spans, "_key", p.bits), key, p.bits)
+    joined = docs.where(touched).join(spans, F.col(key).eqNullSafe(F.col("_key")), "left")
     lines = _lines(text)
     equal = F.filter("_spans", lambda x: _slice(lines, x["start"], x["n"]) == x["chunk"])
     joined = joined.withColumn(
@@ -115,4 +135,4 @@ def drop_repeated_lines(docs: DataFrame, p: Chunking = Chunking(), key: str = "d
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out["n_chars"] = F.when(changed, F.length(left).cast(kind)).otherwise(F.col("n_chars"))
-    return joined.withColumns(out).select(*docs.columns)
+    return docs.where(~touched).unionByName(joined.withColumns(out).select(*docs.columns))
