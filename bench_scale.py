@@ -25,7 +25,7 @@ from silvagrid.operators import focal, morphology, regions, threshold, tileform
 from silvagrid.plans.blocks import BLOCK
 from silvagrid.plans.forest import forest_extract, forest_extract_tiles
 from silvagrid.plans.staging import new_path, stage
-from silvagrid.sources import tables
+from workload import tables
 from silvagrid.sources.parquet import read_scene_parquet, write_scene_parquet
 from silvagrid.sources.tiles import pixels_to_tiles, tiles_to_pixels
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 CELL = ["scene_id", "r", "c"]
 
-# Odd multipliers of the portable cell hash.
-HASH_R, HASH_C, HASH_S, HASH_MOD = 73856093, 19349663, 83492791, 1000003
+# Multipliers of the two lanes of the portable cell hash, for row, column, scene and
+# the second round, and the prime that both are taken by.
+HASH_LANES = [(73856093, 19349663, 83492791, 1103515245), (49979687, 67867967, 32452843, 1664525137)]
+HASH_PRIME = 2147483647
 
 
 def idiv(a: Column | str, b: Column | int) -> Column:
@@ -23,9 +25,17 @@ def floor_div(a: Column, b: int) -> Column:
 
 
 def cell_hash(r: Column, c: Column, scene: Column) -> Column:
-    """Repeatable hash of a cell in ``0..HASH_MOD-1``, plain integer arithmetic."""
-    mix = r.cast("long") * HASH_R + c.cast("long") * HASH_C + scene.cast("long") * HASH_S
-    return F.pmod(mix, F.lit(HASH_MOD))
+    """Repeatable 62-bit hash of a cell, in integer arithmetic that any SQL has.
+
+    Each lane multiplies, folds its high bits down and multiplies again, so that equal
+    or close values form no lattice over the grid.
+    """
+    lanes = []
+    for kr, kc, ks, again in HASH_LANES:
+        x = F.pmod(r.cast("long") * kr + c.cast("long") * kc + scene.cast("long") * ks, F.lit(HASH_PRIME))
+        x = F.pmod(x.bitwiseXOR(F.shiftright(x, 15)) * again, F.lit(HASH_PRIME))
+        lanes.append(x.bitwiseXOR(F.shiftright(x, 13)))
+    return lanes[0] * (1 << 31) + lanes[1]
 
 
 def run_key(r: Column, c: Column) -> Column:

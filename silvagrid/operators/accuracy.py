@@ -19,7 +19,8 @@ def stratified_sample(px: DataFrame, n: int, by: str = "truth", keep: Sequence[s
     """Exactly ``n`` cells per class (all if fewer), the same ones on every run,
     with the columns named in ``keep``."""
     hashed = px.select(*CELL, by, *keep, cell_hash(F.col("r"), F.col("c"), F.col("scene_id")).alias("h"))
-    return top_n(hashed, [by], [F.col("h"), *map(F.col, CELL)], n, spread=CELL, rank="place")
+    # the top bits of an even hash: a step holds about a 65,000th of a class
+    return top_n(hashed, [by], [F.col("h"), *map(F.col, CELL)], n, F.shiftright("h", 46), rank="place")
 
 
 def block_split(px: DataFrame, side: int = 16, percent: int = 30) -> DataFrame:
@@ -59,23 +60,20 @@ def accuracy_scores(classes: DataFrame, by: Sequence[str] = ("scene_id",)) -> Da
 
 def kappa(classes: DataFrame, by: Sequence[str] = ("scene_id",)) -> DataFrame:
     """Cohen's kappa from the matrix and its marginals."""
-    whole = Window.partitionBy(*by)
-    cells = (
-        confusion_matrix(classes, by)
-        .withColumn("tot", F.sum("n").over(whole).cast("double"))
-        .withColumn("row", F.sum("n").over(Window.partitionBy(*by, "cls")).cast("double"))
-        .withColumn("col", F.sum("n").over(Window.partitionBy(*by, "truth")).cast("double"))
-    )
-    # chance agreement needs the marginals of both sides for each class
-    same = cells.groupBy(*by).agg(
-        F.max("tot").alias("tot"), F.sum(F.when(F.col("cls") == F.col("truth"), F.col("n")).otherwise(0)).alias("hit")
+    counts = confusion_matrix(classes, by).groupBy(*by).agg(
+        F.sum("n").cast("double").alias("tot"),
+        F.sum(F.when(F.col("cls") == F.col("truth"), F.col("n")).otherwise(0)).alias("hit"),
+        F.collect_list(F.struct("cls", "truth", F.col("n").cast("double").alias("n"))).alias("m"),
     )
-    rows = cells.select(*by, F.col("cls").alias("k"), "row").distinct()
-    cols = cells.select(*by, F.col("truth").alias("k"), "col").distinct()
-    chance = rows.join(cols, [*by, "k"]).groupBy(*by).agg(F.sum(F.col("row") * F.col("col")).alias("rc"))
+
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0.0), lambda a, b: a + b)
+
+    # row and column sums of a class multiplied: all pairs of entries of the small matrix that share it
+    meeting = F.transform("m", lambda a: total(F.transform("m", lambda b: F.when(a["cls"] == b["truth"], a["n"] * b["n"]).otherwise(0.0))))
     po = F.col("hit") / F.col("tot")
-    pe = F.coalesce(F.col("rc"), F.lit(0.0)) / (F.col("tot") * F.col("tot"))
-    return same.join(chance, list(by), "left").select(
+    pe = total(meeting) / (F.col("tot") * F.col("tot"))
+    return counts.select(
         *by, po.alias("observed"), pe.alias("expected"), F.round(F.try_divide(po - pe, 1 - pe), 6).alias("kappa")
     )
 
@@ -84,7 +82,9 @@ def area_adjusted(sample: DataFrame, mapped: DataFrame) -> DataFrame:
     """Error-adjusted area of the truth classes 0 and 1 with standard errors.
 
     ``sample`` holds classified cells with truth, ``mapped`` the whole class map;
-    strata are the mapped classes, weighted by their share of the map.
+    strata are the mapped classes, weighted by their share of the map. With a mapped class without
+    a sample nothing can be said of the whole: area and error are NULL. With one of a single cell
+    the error is NULL, unless the class is a single cell too.
     """
     strata = mapped.filter("cls is not null").groupBy("cls").agg(F.count("*").alias("n_map"))
     rows = confusion_matrix(sample).groupBy("cls").agg(
@@ -92,12 +92,18 @@ def area_adjusted(sample: DataFrame, mapped: DataFrame) -> DataFrame:
     )
     share = F.col("n1") / F.col("n_row")
     n_map = F.col("n_map").cast("double")
-    sums = strata.join(rows, "cls").agg(
+    # the variance of a share and of its complement are the same
+    spread = F.try_divide(n_map * n_map * share * (1 - share), F.col("n_row") - 1)
+    spread = F.when(F.col("n_map") == F.col("n_row"), F.coalesce(spread, F.lit(0.0))).otherwise(spread)
+
+    def whole(x: Column) -> Column:
+        return F.when(F.count(x) == F.count("*"), F.sum(x))
+
+    sums = strata.join(rows, "cls", "left").agg(
         F.sum("n_map").alias("n_all"),
-        F.sum(n_map * share).alias("a1"),
-        F.sum(n_map * (1 - share)).alias("a0"),
-        # the variance of a share and of its complement are the same
-        F.sum(n_map * n_map * share * (1 - share) / (F.col("n_row") - 1)).alias("var"),
+        whole(n_map * share).alias("a1"),
+        whole(n_map * (1 - share)).alias("a0"),
+        whole(spread).alias("var"),
     )
     per_class = F.array(*[F.struct(F.lit(k).alias("truth"), F.col(f"a{k}").alias("area")) for k in (0, 1)])
     return sums.select("n_all", "var", F.explode(per_class).alias("k")).select(

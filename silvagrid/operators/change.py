@@ -7,52 +7,54 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silvagrid.operators.mosaic import OBS_KEY
-from silvagrid.plans.joins import attach
 from silvagrid.plans.series import running
 
+#: What identifies a piece of ground; add a footprint where scenes cover different ground.
+GROUND = ("r", "c")
 
-def _dated_pairs(classes: DataFrame) -> DataFrame:
-    """Each cell of scene ``s`` beside the same cell of scene ``s + 1``."""
-    a = classes.select("scene_id", "r", "c", F.col("cls").alias("was"))
-    b = classes.select((F.col("scene_id") - 1).alias("scene_id"), "r", "c", F.col("cls").alias("now"))
-    return a.join(b, ["scene_id", "r", "c"])
 
+def dated_steps(classes: DataFrame, ground: Sequence[str] = GROUND, date: str = "scene_id") -> DataFrame:
+    """Each classified cell beside its last classified state before: columns plus ``was, now, was_scene``.
 
-def transition_matrix(classes: DataFrame) -> DataFrame:
-    """Cell counts by class before and after, for each pair of consecutive scenes."""
-    return _dated_pairs(classes).groupBy("scene_id", "was", "now").agg(F.count("*").alias("n"))
+    Cells are matched by ``ground`` and ordered by ``date``; dates may be missing and NULL classes
+    are passed over. A window group is one piece of ground: as many rows as there are dates of it.
+    """
+    cell = Window.partitionBy(*ground).orderBy(date)
+    valid = classes.filter("cls is not null")
+    return (
+        valid.withColumn("_before", F.lag(F.struct("cls", "scene_id")).over(cell))
+        .filter("_before is not null")
+        .select(*classes.columns, F.col("_before.cls").alias("was"), F.col("cls").alias("now"), F.col("_before.scene_id").alias("was_scene"))
+    )
 
 
-def _forest_cells(classes: DataFrame, shift: int) -> DataFrame:
-    return classes.filter("cls = 1").select((F.col("scene_id") - shift).alias("scene_id"), "r", "c")
+def transition_matrix(classes: DataFrame, ground: Sequence[str] = GROUND, date: str = "scene_id") -> DataFrame:
+    """Cell counts by class before and after, for each scene that held the state before."""
+    steps = dated_steps(classes, ground, date)
+    return steps.groupBy(F.col("was_scene").alias("scene_id"), "was", "now").agg(F.count("*").alias("n"))
 
 
-def _paired(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Forest cells before and after, both keyed by the earlier scene, for those
-    scenes that have a successor (and the other way round)."""
-    scenes = classes.select("scene_id").distinct()
-    pairs = scenes.join(scenes.select((F.col("scene_id") - 1).alias("scene_id")), "scene_id", "left_semi")
-    return tuple(attach(_forest_cells(classes, s), pairs, ["scene_id"]) for s in (0, 1))
+def _turned(classes: DataFrame, was: int, now: int, ground: Sequence[str], date: str) -> DataFrame:
+    steps = dated_steps(classes, ground, date).filter((F.col("was") == was) & (F.col("now") == now))
+    return steps.select(F.col("was_scene").alias("scene_id"), *ground)
 
 
-def forest_loss(classes: DataFrame) -> DataFrame:
-    """Cells that were forest in scene ``scene_id`` and are not in the next one."""
-    was, now = _paired(classes)
-    return was.exceptAll(now)
+def forest_loss(classes: DataFrame, ground: Sequence[str] = GROUND, date: str = "scene_id") -> DataFrame:
+    """Cells that were forest in scene ``scene_id`` and other (0) when next classified. Nodata is no loss."""
+    return _turned(classes, 1, 0, ground, date)
 
 
-def forest_gain(classes: DataFrame) -> DataFrame:
-    was, now = _paired(classes)
-    return now.exceptAll(was)
+def forest_gain(classes: DataFrame, ground: Sequence[str] = GROUND, date: str = "scene_id") -> DataFrame:
+    """Cells that were other (0) in scene ``scene_id`` and forest when next classified."""
+    return _turned(classes, 0, 1, ground, date)
 
 
-def forest_stable(classes: DataFrame) -> DataFrame:
-    was, now = _paired(classes)
-    return was.intersect(now)
+def forest_stable(classes: DataFrame, ground: Sequence[str] = GROUND, date: str = "scene_id") -> DataFrame:
+    """Cells that were forest in scene ``scene_id`` and when next classified."""
+    return _turned(classes, 1, 1, ground, date)
 
 
-def pixel_series(obs: DataFrame, ties: Sequence[str] = OBS_KEY) -> DataFrame:
+def pixel_series(obs: DataFrame, ties: Sequence[str]) -> DataFrame:
     """Every observation with the cell's previous grey level, the difference and
     the running mean, in time order."""
     order = ["acq_ts", *ties]
@@ -76,12 +78,10 @@ def pixel_series(obs: DataFrame, ties: Sequence[str] = OBS_KEY) -> DataFrame:
     )
 
 
-def first_loss(classes: DataFrame) -> DataFrame:
-    """First date on which a forest cell of the preceding scene is no longer
-    forest. ``classes`` carries ``acq_date``."""
-    a = classes.filter("cls = 1").select("scene_id", "r", "c")
-    b = classes.filter("cls = 0").select((F.col("scene_id") - 1).alias("scene_id"), "r", "c", "acq_date")
-    return a.join(b, ["scene_id", "r", "c"]).groupBy("r", "c").agg(F.min("acq_date").alias("first_loss"))
+def first_loss(classes: DataFrame, ground: Sequence[str] = GROUND, date: str = "acq_date") -> DataFrame:
+    """First date on which a cell is other (0) that was forest when last classified before."""
+    lost = dated_steps(classes, ground, date).filter("was = 1 and now = 0")
+    return lost.groupBy(*ground).agg(F.min(date).alias("first_loss"))
 
 
 def asof_scene(requests: DataFrame, scenes: DataFrame, key: str = "zone_id") -> DataFrame:
@@ -110,9 +110,11 @@ def asof_scene(requests: DataFrame, scenes: DataFrame, key: str = "zone_id") ->
     )
 
 
-def area_by_year(classes: DataFrame, by: Sequence[str] = ("zone_id",)) -> DataFrame:
-    """Forest cells per group and acquisition year with the change on the
-    preceding year present."""
-    yearly = classes.groupBy(*by, F.year("acq_date").alias("year")).agg(F.sum("cls").alias("n_forest"))
+def area_by_year(classes: DataFrame, by: Sequence[str] = ("zone_id",), ground: Sequence[str] = GROUND) -> DataFrame:
+    """Cells that are forest at the end of each year per group, with the change on the preceding
+    year present. A cell counts once a year, by its last classification of that year."""
+    valid = classes.filter("cls is not null")
+    last = valid.groupBy(*by, *ground, F.year("acq_date").alias("year")).agg(F.max_by("cls", F.struct("acq_date", "scene_id")).alias("cls"))
+    yearly = last.groupBy(*by, "year").agg(F.sum("cls").alias("n_forest"))
     before = F.lag("n_forest").over(Window.partitionBy(*by).orderBy("year"))
     return yearly.withColumn("change", F.col("n_forest") - before)

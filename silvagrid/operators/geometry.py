@@ -129,10 +129,11 @@ def resample_nearest(px: DataFrame, coeffs: DataFrame, step: float) -> DataFrame
         F.floor((F.col("xhi") - F.col("xlo")) / step).cast("int").alias("c1"),
     )
     target = scene_grid(extent).select("scene_id", F.col("r").alias("i"), F.col("c").alias("j"))
-    at = attach(target, spans.drop("xhi", "yhi"), ["scene_id"], spread=("i", "j"))
+    at = attach(target, spans.drop("xhi", "yhi"), ["scene_id"])
     dx = F.col("xlo") + F.col("j") * step - k["x0"]
     dy = F.col("ylo") + F.col("i") * step - k["y0"]
-    det = k["xc"] * k["yr"] - k["xr"] * k["yc"]
+    # a singular transform has no source cells
+    det = F.nullif(k["xc"] * k["yr"] - k["xr"] * k["yc"], F.lit(0.0))
     source_c = (dx * k["yr"] - dy * k["xr"]) / det
     source_r = (dy * k["xc"] - dx * k["yc"]) / det
     at = at.select(

@@ -11,12 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-OBS_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
 
-
-def composite_latest(obs: DataFrame, ties: Sequence[str] = OBS_KEY) -> DataFrame:
-    """Latest observation per cell."""
-    return obs.groupBy("r", "c").agg(F.max_by("dn", F.struct("acq_ts", *ties)).alias("dn"))
+def composite_latest(obs: DataFrame, ties: Sequence[str]) -> DataFrame:
+    """Latest observation per cell that is not NULL; NULL only where there is no other."""
+    order = F.struct(F.col("dn").isNotNull().alias("valid"), "acq_ts", *ties)
+    return obs.groupBy("r", "c").agg(F.max_by("dn", order).alias("dn"))
 
 
 def composite_median(obs: DataFrame) -> DataFrame:
@@ -32,9 +31,9 @@ def composite_median(obs: DataFrame) -> DataFrame:
     )
 
 
-def composite_priority(obs: DataFrame, ties: Sequence[str] = OBS_KEY) -> DataFrame:
-    """Lowest strip number wins, then the latest of that strip."""
-    order = F.struct((-F.col("strip")).alias("p"), "acq_ts", *ties)
+def composite_priority(obs: DataFrame, ties: Sequence[str]) -> DataFrame:
+    """Lowest strip number wins, then the latest of that strip; observations that are NULL come last."""
+    order = F.struct(F.col("dn").isNotNull().alias("valid"), (-F.col("strip")).alias("p"), "acq_ts", *ties)
     best = F.max_by(F.struct("dn", "strip"), order).alias("b")
     return obs.groupBy("r", "c").agg(best).select("r", "c", "b.dn", "b.strip")
 
@@ -52,20 +51,31 @@ def seam_bias(obs: DataFrame) -> DataFrame:
 
     Observations are summed per cell and strip first. With sums ``s`` and counts
     ``n`` the differences over all pairs add up to ``s1*n2 - s2*n1``, so pairs of
-    observations are never formed: at most one row per pair of strips per cell.
+    observations are never formed. A cell's strips are gathered (one entry each) and paired in place:
+    only sums per pair of strips leave a task.
     """
     part = (
         obs.filter(F.col("dn").isNotNull())
         .groupBy("r", "c", "strip")
         .agg(F.sum("dn").alias("s"), F.count("dn").alias("n"))
     )
-    a, b = part.alias("a"), part.alias("b")
-    same_cell = (F.col("a.r") == F.col("b.r")) & (F.col("a.c") == F.col("b.c"))
-    pairs = a.join(b, same_cell & (F.col("a.strip") < F.col("b.strip")))
-    diff = F.sum(F.col("a.s") * F.col("b.n") - F.col("b.s") * F.col("a.n"))
-    weight = F.sum(F.col("a.n") * F.col("b.n"))
-    return pairs.groupBy(F.col("a.strip").alias("s1"), F.col("b.strip").alias("s2")).agg(
+    strips = part.groupBy("r", "c").agg(F.sort_array(F.collect_list(F.struct("strip", "s", "n"))).alias("x"))
+
+    def with_later(a, i):
+        later = F.slice("x", i + 2, F.size("x"))
+        return F.transform(
+            later,
+            lambda b: F.struct(
+                a["strip"].alias("s1"),
+                b["strip"].alias("s2"),
+                (a["s"] * b["n"] - b["s"] * a["n"]).alias("diff"),
+                (a["n"] * b["n"]).alias("weight"),
+            ),
+        )
+
+    pairs = strips.select(F.explode(F.flatten(F.transform("x", with_later))).alias("p")).select("p.*")
+    return pairs.groupBy("s1", "s2").agg(
         F.count("*").alias("n_cells"),
-        weight.alias("n_pairs"),
-        (diff / weight).alias("bias"),
+        F.sum("weight").alias("n_pairs"),
+        (F.sum("diff") / F.sum("weight")).alias("bias"),
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import CELL, clamp, idiv
 from silvagrid.plans.joins import attach
+from silvagrid.plans.staging import stage
 
 
 def nodata_mask(px: DataFrame, lo: int, hi: int) -> DataFrame:
@@ -98,27 +99,26 @@ def hist_equalize(px: DataFrame) -> DataFrame:
 def hist_match(px: DataFrame, reference: int) -> DataFrame:
     """Give every scene the grey-level distribution of scene ``reference``.
 
-    A level maps to the lowest reference level with at least its cumulative
-    share. The reference distribution is a sorted array of its grey levels (one
-    row), joined by key, so no range join is planned.
+    A level maps to the lowest reference level with at least its cumulative share. The reference
+    distribution is one sorted array of its grey levels. A reference without valid pixels is an error.
     """
-    cdf = cumulative(histogram(px)).select("scene_id", "dn", (F.col("cum") / F.col("tot")).alias("share"))
-    steps = (
-        cdf.filter(F.col("scene_id") == reference)
-        .groupBy(F.col("scene_id").alias("_ref"))
-        .agg(F.sort_array(F.collect_list(F.struct("dn", "share"))).alias("_steps"))
-    )
-    first = F.array_min(
-        F.transform(F.filter("_steps", lambda s: s.share >= F.col("share")), lambda s: s.dn)
-    )
-    lut = (
-        cdf.withColumn("_ref", F.lit(reference))
-        .join(steps, "_ref")
-        .select("scene_id", "dn", first.alias("_to"))
-    )
-    return _apply_lut(px, lut)
+    cdf = stage(cumulative(histogram(px)).select("scene_id", "dn", (F.col("cum") / F.col("tot")).alias("share")), "cdf")
+    own = cdf.filter(F.col("scene_id") == reference)
+    if own.isEmpty():
+        raise ValueError(f"scene {reference} has no valid pixels")
+    steps = own.agg(F.sort_array(F.collect_list(F.struct("dn", "share"))).alias("x")).scalar()
+    first = F.array_min(F.transform(F.filter("_steps", lambda s: s.share >= F.col("share")), lambda s: s.dn))
+    return _apply_lut(px, cdf.withColumn("_steps", steps).select("scene_id", "dn", first.alias("_to")))
 
 
 def _apply_lut(px: DataFrame, lut: DataFrame) -> DataFrame:
-    """Replace ``dn`` through a (scene, level) table; NULL stays NULL."""
-    return attach(px, lut, ["scene_id", "dn"], "left").withColumn("dn", F.col("_to")).drop("_to")
+    """Replace ``dn`` through a table of one array per scene, indexed by grey level; NULL stays NULL."""
+    known = lut.groupBy("scene_id").agg(
+        F.min("dn").alias("_low"), F.max("dn").alias("_high"), F.map_from_entries(F.collect_list(F.struct("dn", "_to"))).alias("_map")
+    )
+    levels = F.transform(F.sequence("_low", "_high"), lambda x: F.try_element_at("_map", x))
+    return (
+        attach(px, known.select("scene_id", "_low", levels.alias("_levels")), ["scene_id"], "left")
+        .withColumn("dn", F.get("_levels", F.col("dn") - F.col("_low")))
+        .drop("_low", "_levels")
+    )

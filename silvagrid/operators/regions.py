@@ -19,13 +19,9 @@ from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import CELL, floor_div, run_key
 from silvagrid.plans.blocks import BLOCK, BLOCK_KEY, to_blocks
-from silvagrid.plans.joins import attach, join_hot, top_n
+from silvagrid.plans.joins import attach, join_in_blocks, top_n
 from silvagrid.plans.staging import stage
 
-#: Border graphs up to this many edges are finished in one task.
-FINISH_EDGES = 200_000
-
-
 def mask_runs(mask: DataFrame) -> DataFrame:
     """Maximal horizontal runs of forest: ``scene_id, run_id, r, c0, c1``.
 
@@ -100,43 +96,15 @@ def _block_labeller(connectivity: int) -> Callable:
     return label
 
 
-def _finisher() -> Callable:
-    """Function that labels a whole, small edge table; self-contained."""
-
-    def finish(edges):
-        import numpy as np
-        import pandas as pd
-
-        keys, at = np.unique(
-            np.concatenate([edges[["scene_id", "u"]].to_numpy(), edges[["scene_id", "v"]].to_numpy()]),
-            axis=0,
-            return_inverse=True,
-        )
-        a, b = at.reshape(2, -1)
-        first = np.arange(len(keys))
-        while True:
-            lowest = np.minimum(first[a], first[b])
-            step = first.copy()
-            np.minimum.at(step, first[a], lowest)
-            np.minimum.at(step, first[b], lowest)
-            step = step[step]
-            if (step == first).all():
-                break
-            first = step
-        return pd.DataFrame({"scene_id": keys[:, 0].astype("int32"), "u": keys[:, 1], "rep": keys[first, 1]})
-
-    return finish
-
-
 def _border_edges(runs: DataFrame, connectivity: int, block: int) -> DataFrame:
     """Label pairs that touch across a block border, both directions.
 
     Only cells on the border of a block are looked at (about ``4 / block`` of
     all); each asks its at most four forward neighbours by exact position.
     """
-    edge_row = (F.col("r") % block).isin(0, block - 1)
+    edge_row = F.pmod("r", F.lit(block)).isin(0, block - 1)
     ends = F.filter(
-        F.array_distinct(F.array("c0", "c1")), lambda x: (x % block).isin(0, block - 1)
+        F.array_distinct(F.array("c0", "c1")), lambda x: F.pmod(x, F.lit(block)).isin(0, block - 1)
     )
     at = F.when(edge_row, F.sequence("c0", "c1")).otherwise(ends)
     cells = stage(runs.select("scene_id", "node", "r", F.explode(at).alias("c")), "border")
@@ -151,57 +119,42 @@ def _border_edges(runs: DataFrame, connectivity: int, block: int) -> DataFrame:
     return once.select("scene_id", F.explode(both).alias("p")).select("scene_id", "p.u", "p.v")
 
 
-def component_labels(edges: DataFrame, finish_edges: int = FINISH_EDGES) -> DataFrame:
+def component_labels(edges: DataFrame) -> DataFrame:
     """``scene_id, u, label`` for every vertex of a symmetric edge table
     ``scene_id, u, v``; the label is the smallest vertex of the component.
 
     Randomised contraction: in each round every vertex moves to the neighbour (or
-    itself) with the lowest round hash, and the edges are rewritten. The graph
+    itself) with the lowest round hash, and the edges are rewritten, until none is left. The graph
     shrinks by a constant factor per round whatever its shape, so long thin or
     very large components need no more rounds than others. Each round is a
-    combining aggregate and two joins on a unique key; a vertex with very many
-    edges is salted. Rounds are staged in the shared folder. Once the rest is
-    small it is finished in one task.
+    combining aggregate and two joins of edges to a unique key, whose hot partitions adaptive
+    execution splits. Edges are staged in the shared folder, everything else follows from them.
     """
     edges = stage(edges, "edges")
     rounds: list[DataFrame] = []
-    n = edges.count()
-    while n > finish_edges:
+    while not edges.isEmpty():
         seed = F.lit(len(rounds) + 1)
         best = F.min(F.struct(F.xxhash64("scene_id", "v", seed).alias("h"), "v")).alias("m")
         own = F.struct(F.xxhash64("scene_id", "u", seed).alias("h"), F.col("u").alias("v"))
         reps = edges.groupBy("scene_id", "u").agg(best).select("scene_id", "u", F.least("m", own)["v"].alias("rep"))
-        reps = stage(reps, "reps")
         rounds.append(reps)
         at_v = reps.select("scene_id", F.col("u").alias("v"), F.col("rep").alias("rv"))
-        moved = stage(join_hot(edges, reps, ["scene_id", "u"]).select("scene_id", "v", "rep"), "moved")
-        both = join_hot(moved, at_v, ["scene_id", "v"]).filter("rep <> rv")
+        both = edges.join(reps, ["scene_id", "u"]).join(at_v, ["scene_id", "v"]).filter("rep <> rv")
         edges = stage(both.select("scene_id", F.col("rep").alias("u"), F.col("rv").alias("v")).distinct(), "edges")
-        n = edges.count()
-    if n > 0:
-        # at most finish_edges rows, checked above
-        rounds.append(
-            stage(
-                edges.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(_finisher(), "scene_id int, u long, rep long"),
-                "reps",
-            )
-        )
     if not rounds:
         return edges.select("scene_id", "u", F.col("v").alias("label"))
 
     def through(later: DataFrame, earlier: DataFrame) -> DataFrame:
         onward = later.select("scene_id", F.col("u").alias("rep"), F.col("rep").alias("_far"))
-        far = join_hot(earlier, onward, ["scene_id", "rep"], "left")
-        return stage(far.select("scene_id", "u", F.coalesce("_far", "rep").alias("rep")), "ends")
+        far = earlier.join(onward, ["scene_id", "rep"], "left")
+        return far.select("scene_id", "u", F.coalesce("_far", "rep").alias("rep"))
 
-    ends = reduce(through, reversed(rounds))
+    ends = stage(reduce(through, reversed(rounds)), "ends")
     lowest = ends.groupBy("scene_id", "rep").agg(F.least(F.min("u"), F.col("rep")).alias("label"))
-    return join_hot(ends, lowest, ["scene_id", "rep"]).select("scene_id", "u", "label")
+    return ends.join(lowest, ["scene_id", "rep"]).select("scene_id", "u", "label")
 
 
-def label_runs(
-    runs: DataFrame, connectivity: int = 8, block: int = BLOCK, finish_edges: int = FINISH_EDGES
-) -> DataFrame:
+def label_runs(runs: DataFrame, connectivity: int = 8, block: int = BLOCK) -> DataFrame:
     """Add ``region_id`` to block runs (all rows given are labelled).
 
     ``runs`` must be partitioned by block, as ``block_runs`` leaves them.
@@ -210,7 +163,7 @@ def label_runs(
         raise ValueError("connectivity is 4 or 8")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runs.schema) + ", node long"
     local = stage(runs.groupBy(*BLOCK_KEY).applyInPandas(_block_labeller(connectivity), schema), "runs")
-    labels = component_labels(_border_edges(local, connectivity, block), finish_edges)
+    labels = component_labels(_border_edges(local, connectivity, block))
     onto = labels.select("scene_id", F.col("u").alias("node"), F.col("label"))
     return (
         local.join(onto, ["scene_id", "node"], "left")
@@ -229,12 +182,10 @@ def to_pixels(runs: DataFrame, *columns: str) -> DataFrame:
     return runs.select("scene_id", "r", F.explode(F.sequence("c0", "c1")).alias("c"), *columns)
 
 
-def connected_components(
-    mask: DataFrame, connectivity: int = 8, block: int = BLOCK, finish_edges: int = FINISH_EDGES
-) -> DataFrame:
+def connected_components(mask: DataFrame, connectivity: int = 8, block: int = BLOCK) -> DataFrame:
     """Forest pixels with their region: ``scene_id, r, c, region_id``."""
     runs = runs_of(mask.filter("cls = 1").select(*CELL, "cls"), block)
-    return to_pixels(label_runs(runs, connectivity, block, finish_edges), "region_id")
+    return to_pixels(label_runs(runs, connectivity, block), "region_id")
 
 
 def _length() -> Column:
@@ -273,7 +224,7 @@ def sieve_runs(runs: DataFrame, min_px: int, connectivity: int, block: int) -> D
     labelled = stage(label_runs(_by_block(runs.filter("cls = 1")), connectivity, block), "labels")
     small = region_areas(labelled).filter(F.col("n_px") < min_px)
     drop = small.select("scene_id", "region_id", F.lit(0).alias("_drop"))
-    kept = join_hot(labelled, drop, ["scene_id", "region_id"], "left").withColumn("cls", F.coalesce("_drop", "cls"))
+    kept = join_in_blocks(labelled, drop, BLOCK_KEY, ["scene_id", "region_id"], "left").withColumn("cls", F.coalesce("_drop", "cls"))
     rest = runs.filter("cls is null or cls <> 1")
     return kept.select("scene_id", "r", "c0", "c1", "cls").unionByName(rest.select("scene_id", "r", "c0", "c1", "cls"))
 
@@ -289,27 +240,31 @@ def sieve(mask: DataFrame, min_px: int, connectivity: int = 8, block: int = BLOC
 
 
 def fill_holes(mask: DataFrame, connectivity: int = 4, block: int = BLOCK) -> DataFrame:
-    """Background regions that do not touch the scene's edge become forest."""
+    """Background regions that touch neither the scene's edge nor nodata become forest.
+
+    Background and nodata are labelled together; what holds a NULL cell or reaches the edge is open.
+    """
     runs = stage(runs_of(mask.select(*CELL, "cls"), block), "runs")
     edge = runs.groupBy("scene_id").agg(
         F.min("r").alias("_r0"), F.max("r").alias("_r1"), F.min("c0").alias("_c0"), F.max("c1").alias("_c1")
     )
-    labelled = stage(label_runs(_by_block(runs.filter("cls = 0")), connectivity, block), "labels")
+    labelled = stage(label_runs(_by_block(runs.filter("cls is null or cls = 0")), connectivity, block), "labels")
     on_edge = (
-        (F.col("r") == F.col("_r0"))
+        F.col("cls").isNull()
+        | (F.col("r") == F.col("_r0"))
         | (F.col("r") == F.col("_r1"))
         | (F.col("c0") == F.col("_c0"))
         | (F.col("c1") == F.col("_c1"))
     )
     holes = (
-        attach(labelled, edge, ["scene_id"], spread=("r", "c0"))
+        attach(labelled, edge, ["scene_id"])
         .groupBy("scene_id", "region_id")
         .agg(F.max(on_edge).alias("open"))
         .filter(~F.col("open"))
         .select("scene_id", "region_id", F.lit(1).alias("_fill"))
     )
-    filled = join_hot(labelled, holes, ["scene_id", "region_id"], "left").withColumn("cls", F.coalesce("_fill", "cls"))
-    rest = runs.filter("cls is null or cls <> 0")
+    filled = join_in_blocks(labelled, holes, BLOCK_KEY, ["scene_id", "region_id"], "left").withColumn("cls", F.coalesce("_fill", "cls"))
+    rest = runs.filter("cls <> 0")
     both = filled.select("scene_id", "r", "c0", "c1", "cls").unionByName(rest.select("scene_id", "r", "c0", "c1", "cls"))
     return to_pixels(both, "cls")
 
@@ -323,13 +278,15 @@ def threshold_hysteresis(
     runs = runs_of(cells, block, top=F.max("dn"))
     labelled = stage(label_runs(runs, connectivity, block), "labels")
     seeds = labelled.groupBy("scene_id", "region_id").agg(F.max("top").alias("best")).filter(F.col("best") >= strong)
-    return to_pixels(join_hot(labelled, seeds, ["scene_id", "region_id"]))
+    return to_pixels(join_in_blocks(labelled, seeds, BLOCK_KEY, ["scene_id", "region_id"]))
 
 
 def top_regions(stats: DataFrame, k: int) -> DataFrame:
     """The ``k`` largest regions per scene, with their place."""
     order = [F.col("n_px").desc(), F.col("region_id")]
-    return top_n(stats, ["scene_id"], order, k, spread=["region_id"], rank="place")
+    # number of binary digits, falling with the size
+    digits = -F.length(F.bin("n_px"))
+    return top_n(stats, ["scene_id"], order, k, digits, rank="place")
 
 
 def largest_regions(stats: DataFrame, k: int) -> DataFrame:

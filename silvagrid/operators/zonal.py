@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silvagrid.functions.grid import floor_div
+from silvagrid.functions.grid import clamp, floor_div
 from silvagrid.plans.joins import attach
 
 #: Width in cells of the pieces polygon spans are cut into for the equi-join.
@@ -35,12 +35,12 @@ def polygon_spans(edges: DataFrame) -> DataFrame:
     )
 
 
-def points_in_polygon(px: DataFrame, edges: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def points_in_polygon(px: DataFrame, edges: DataFrame) -> DataFrame:
     """Pixels whose centre ``(c + 0.5, r + 0.5)`` lies in a zone: px columns plus ``zone_id``.
 
     Spans are cut into bins of ``SPAN_BIN`` columns, so the join is on
-    ``(r, bin)`` with only the span ends tested afterwards. A small set of
-    pieces is broadcast, a large one is joined by shuffle.
+    ``(r, bin)`` with only the span ends tested afterwards. Spark broadcasts a small
+    set of pieces and joins a large one by shuffle.
     """
     centre = F.col("c") + 0.5
     spans = polygon_spans(edges)
@@ -48,7 +48,7 @@ def points_in_polygon(px: DataFrame, edges: DataFrame, max_rows: int = 100_000)
     pieces = spans.withColumn("_bin", F.explode(bins))
     binned = px.withColumn("_bin", floor_div(F.col("c"), SPAN_BIN))
     return (
-        attach(binned, pieces, ["r", "_bin"], spread=("scene_id", "c"), max_rows=max_rows)
+        attach(binned, pieces, ["r", "_bin"])
         .filter((F.col("x_in") <= centre) & (centre < F.col("x_out")))
         .drop("_bin", "x_in", "x_out")
     )
@@ -114,11 +114,14 @@ def zonal_cube(px: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def zonal_histogram(px: DataFrame, bins: int = 8) -> DataFrame:
-    """Grey-level bins as columns ``b0..``, one row per zone."""
-    width = 256 // bins
+    """Counts of grey levels 0..255 in ``bins`` (1 to 256) equal steps as columns ``b0..``, one row
+    per zone; levels outside count for the first or last step."""
+    if not 1 <= bins <= 256:
+        raise ValueError("bins must lie between 1 and 256")
+    step = F.floor(F.col("dn").cast("long") * bins / 256)
     counts = (
         px.filter("dn is not null")
-        .groupBy("zone_id", floor_div(F.col("dn"), width).alias("bin"))
+        .groupBy("zone_id", clamp(step, 0, bins - 1).cast("int").alias("bin"))
         .agg(F.count("*").alias("n"))
     )
     wide = counts.groupBy("zone_id").pivot("bin", list(range(bins))).agg(F.sum("n"))

@@ -64,11 +64,10 @@ def forest_extract_tiles(
     work on arrays, and only border strips and runs are exchanged as rows.
     """
     tiles = tiles.select(*TILE_COLUMNS)
-    near = ("tile_r", "tile_c")
     bounds = percentiles(tiles_to_pixels(tiles, size))
-    smooth = stage(stretched_mean(attach(tiles, bounds, ["scene_id"], "left", near), radius, size), "smooth")
+    smooth = stage(stretched_mean(attach(tiles, bounds, ["scene_id"], "left"), radius, size), "smooth")
     levels = otsu_levels(tiles_to_pixels(smooth, size))
-    opened = threshold_and_open(attach(smooth, levels, ["scene_id"], "left", near), radius, size, polarity)
+    opened = threshold_and_open(attach(smooth, levels, ["scene_id"], "left"), radius, size, polarity)
     per_block = max(1, BLOCK // size)
     return to_pixels(sieve_runs(tile_runs(opened, size, per_block), min_px, connectivity, size * per_block), "cls")
 

@@ -9,92 +9,41 @@ from pyspark.sql import functions as F
 
 from silvagrid.plans.staging import stage
 
-#: Most rows of a per-scene or per-zone table that may be broadcast. Such rows
-#: are a few fixed-width numbers (< 200 bytes), so this is < 20 MB per executor.
-BROADCAST_ROWS = 100_000
-#: A key with more rows than this is split over ``SALTS`` tasks.
-HOT_ROWS = 1_000_000
-SALTS = 64
 
-
-def attach(
-    big: DataFrame,
-    small: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    spread: Sequence[str] = ("r", "c"),
-    max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
+def attach(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join a table of one row per key (scene, zone, grey level) onto ``big``.
 
-    ``small`` is staged and counted. Up to ``max_rows`` it is broadcast and
-    ``big`` does not move. Beyond that both sides are joined on the key plus a
-    salt taken from ``spread``, so that a key with a third of all rows is
-    spread over ``salts`` tasks.
+    ``small`` is staged, so that its size in bytes is known when the join is planned: Spark
+    broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``, otherwise both sides are
+    exchanged and adaptive execution splits the partitions of a hot key.
     """
-    on = list(on)
-    small = stage(small, "attach")
-    if small.count() <= max_rows:
-        return big.join(F.broadcast(small), on, how)
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_salt", salt).join(salted, [*on, "_salt"], how).drop("_salt")
+    return big.join(stage(small, "attach"), list(on), how)
 
 
-def join_hot(
-    rows: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Join a staged ``rows`` to ``table`` (unique on the key) when a few keys may
-    hold a large share of ``rows``.
+def join_in_blocks(rows: DataFrame, table: DataFrame, block: Sequence[str], on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``rows`` to ``table`` (unique on ``on``) by way of the keys present in each block.
 
-    Keys with more than ``hot_rows`` rows are found with a combining count; only
-    they are salted, on both sides. There are at most ``BROADCAST_ROWS`` such
-    keys by construction, so their list may be broadcast.
+    The join that moves ``rows`` is on block and key, so that no key of it holds more than a block,
+    however many rows share ``on``. Only one row per block and key meets ``table``.
     """
-    on = list(on)
-    total = rows.count()
-    if total <= hot_rows:
-        return rows.join(table, on, how)
-    limit = max(hot_rows, total // BROADCAST_ROWS)
-    hot = stage(rows.groupBy(*on).agg(F.count("*").alias("n")).filter(F.col("n") > limit).select(*on), "hot")
-    if hot.isEmpty():
-        return rows.join(table, on, how)
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")).otherwise(0)
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    left = rows.join(flag, on, "left").withColumn("_salt", salt).drop("_hot")
-    right = table.join(flag, on, "left").withColumn("_salt", F.explode(every)).drop("_hot")
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    keys = list(dict.fromkeys([*block, *on]))
+    present = rows.select(*keys).distinct().join(table, list(on))
+    return rows.join(present, keys, how)
 
 
-def top_n(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    n: int,
-    spread: Sequence[str],
-    rank: str = "rn",
-    salts: int = SALTS,
-) -> DataFrame:
+def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, coarse: Column, rank: str = "rn") -> DataFrame:
     """First ``n`` rows per group, with their place in ``rank``.
 
-    Ranks inside ``(group, salt)`` first, so that the task which ranks a whole
-    group only ever receives ``n * salts`` rows of it.
+    ``coarse`` is an integer that never falls along ``order``. Rows are counted per group and
+    ``coarse`` first; only those up to the step at which ``n`` is reached are ranked, whatever ``n``.
     """
-    salt = F.pmod(F.xxhash64(*spread), F.lit(salts))
-    part = Window.partitionBy(*group, "_salt").orderBy(*order)
+    along = Window.partitionBy(*group).orderBy("_step").rowsBetween(Window.unboundedPreceding, -1)
+    stepped = df.withColumn("_step", coarse)
+    counts = stepped.groupBy(*group, "_step").agg(F.count("*").alias("_n"))
+    needed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(along), F.lit(0))).filter(F.col("_before") < n)
+    last = needed.groupBy(*group).agg(F.max("_step").alias("_last"))
+    near = stage(last.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_last"), "steps")
+    same = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group]
+    kept = stepped.join(near, [*same, F.col("_step") <= F.col("_last")])
     whole = Window.partitionBy(*group).orderBy(*order)
-    return (
-        df.withColumn("_salt", salt)
-        .withColumn(rank, F.row_number().over(part))
-        .filter(F.col(rank) <= n)
-        .withColumn(rank, F.row_number().over(whole))
-        .filter(F.col(rank) <= n)
-        .drop("_salt")
-    )
+    return kept.withColumn(rank, F.row_number().over(whole)).filter(F.col(rank) <= n).select(*df.columns, rank)

@@ -1,10 +1,8 @@
 """Running windows over time for groups of which a few may be very large.
 
-A window sorts all rows of a key in one task. Keys with too many rows for that
-are found with a combining count; their time is cut into bins, each bin is
-summarised with a combining aggregate, a window over the bins gives what is
-carried into each, and the row-level window then runs inside ``(key, bin)``.
-All other keys take the plain window. The result is the same either way.
+Rows are sorted by key and time over all tasks at once, so that a large key, or one moment of it, lies
+in several neighbouring partitions. What a key's earlier partitions hold is summarised in one row per
+key and partition and carried into the later ones. There is one path for all keys, NULL included.
 """
 
 from __future__ import annotations
@@ -14,23 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from silvagrid.plans.joins import BROADCAST_ROWS, HOT_ROWS
 from silvagrid.plans.staging import stage
 
-#: Time bins of a hot key.
-BINS = 10_000
-
-
-def _hot_spans(rows: DataFrame, key: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Row count and time span of the keys with more than ``hot_rows`` rows, fewer
-    than ``BROADCAST_ROWS`` of them; None if there is no such key."""
-    spans = rows.groupBy(*key).agg(F.count("*").alias("_n"), F.min("_t").alias("_t0"), F.max("_t").alias("_t1"))
-    hot = stage(spans.filter(F.col("_n") > hot_rows), "hot")
-    keys, held = hot.agg(F.count("*"), F.sum("_n")).first()
-    if keys == 0:
-        return None
-    return hot.filter(F.col("_n") > held // BROADCAST_ROWS)
-
 
 def running(
     rows: DataFrame,
@@ -39,53 +22,37 @@ def running(
     last: dict[str, Column],
     sums: dict[str, Column],
     inclusive: bool,
-    hot_rows: int = HOT_ROWS,
-    bins: int = BINS,
 ) -> DataFrame:
-    """Add running columns per ``key`` along ``order``, which starts with a timestamp.
+    """Add running columns per ``key`` along ``order``, which is unique within a key.
 
     ``last``: latest non-NULL value of the expression so far. ``sums``: total of
     the expression so far, 0 before its first value. ``inclusive`` says whether
     the current row counts for ``last``; it always counts for ``sums``.
     """
     columns = rows.columns
-    rows = rows.withColumn("_t", F.unix_micros(F.col(order[0]).cast("timestamp")))
-    hot = _hot_spans(rows, key, hot_rows)
-
-    def over(group: Sequence[str]) -> tuple[dict[str, Column], dict[str, Column]]:
-        within = Window.partitionBy(*group).orderBy(*order)
-        upto = within.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-        so_far = within.rowsBetween(Window.unboundedPreceding, 0)
-        return (
-            {n: F.last(e, ignorenulls=True).over(upto) for n, e in last.items()},
-            {n: F.coalesce(F.sum(e).over(so_far), F.lit(0)) for n, e in sums.items()},
-        )
-
-    if hot is None:
-        lasts, totals = over(key)
-        return rows.select(*columns, *[e.alias(n) for n, e in {**lasts, **totals}.items()])
-
-    width = F.greatest(F.lit(1), F.ceil((F.col("_t1") - F.col("_t0") + 1) / bins))
-    bin_of = F.floor((F.col("_t") - F.col("_t0")) / width)
-    binned = rows.join(F.broadcast(hot), list(key), "left").withColumn("_bin", F.coalesce(bin_of, F.lit(-1)))
-    per_bin = (
-        binned.filter(F.col("_bin") >= 0)
-        .groupBy(*key, "_bin")
-        .agg(
-            *[F.max_by(e, F.when(e.isNotNull(), F.struct(*order))).alias(f"_{n}") for n, e in last.items()],
-            *[F.sum(e).alias(f"_{n}") for n, e in sums.items()],
-        )
+    placed = rows.repartitionByRange(*key, *order).withColumn("_part", F.spark_partition_id())
+    placed = stage(placed, "placed")
+    per_part = placed.groupBy(*key, "_part").agg(
+        *[F.max_by(e, F.when(e.isNotNull(), F.struct(*order))).alias(f"_{n}") for n, e in last.items()],
+        *[F.sum(e).alias(f"_{n}") for n, e in sums.items()],
     )
-    before = Window.partitionBy(*key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_bin.select(
-        *key,
-        "_bin",
+    before = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_part.select(
+        *[F.col(k).alias(f"_k_{k}") for k in key],
+        F.col("_part").alias("_p"),
         *[F.last(f"_{n}", ignorenulls=True).over(before).alias(f"_{n}") for n in last],
         *[F.sum(f"_{n}").over(before).alias(f"_{n}") for n in sums],
     )
-    lasts, totals = over([*key, "_bin"])
-    return binned.join(carry, [*key, "_bin"], "left").select(
+    within = Window.partitionBy("_part", *key).orderBy(*order)
+    upto = within.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    so_far = within.rowsBetween(Window.unboundedPreceding, 0)
+    inside = placed.withColumns(
+        {f"_in_{n}": F.last(e, ignorenulls=True).over(upto) for n, e in last.items()}
+        | {f"_in_{n}": F.coalesce(F.sum(e).over(so_far), F.lit(0)) for n, e in sums.items()}
+    )
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
+    return inside.join(carry, [*same, F.col("_part") == F.col("_p")]).select(
         *columns,
-        *[F.coalesce(e, F.col(f"_{n}")).alias(n) for n, e in lasts.items()],
-        *[(e + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n, e in totals.items()],
+        *[F.coalesce(f"_in_{n}", f"_{n}").alias(n) for n in last],
+        *[(F.col(f"_in_{n}") + F.coalesce(f"_{n}", F.lit(0))).alias(n) for n in sums],
     )

@@ -10,7 +10,8 @@ from silvagrid.operators import accuracy, change, extend, focal, morphology, rad
 from silvagrid.plans import joins
 from silvagrid.plans.forest import forest_extract, forest_extract_tiles
 from silvagrid.plans.series import running
-from silvagrid.sources import tables, tiles
+from silvagrid.sources import tiles
+from workload import tables
 from tests.conftest import SF_DIR
 
 
@@ -121,28 +122,25 @@ def spiral(n):
         dr, dc = dc, -dr
 
 
-@pytest.mark.parametrize("finish", [0, 30, 200_000])
 @pytest.mark.parametrize("connectivity", [4, 8])
-def test_components_match_flood_fill(grid, connectivity, finish):
+def test_components_match_flood_fill(grid, connectivity):
     """Noise, one region that winds through all blocks, and one region of everything."""
     pictures = [
         [[int(x is not None and x < 120) for x in line] for line in noise(5, 20, 20)],
         spiral(21),
         [[1] * 20 for _ in range(20)],
     ]
-    out = regions.connected_components(grid(*pictures, value="cls"), connectivity, 4, finish)
+    out = regions.connected_components(grid(*pictures, value="cls"), connectivity, 4)
     got = {(r["scene_id"], r["r"], r["c"]): r["region_id"] for r in out.collect()}
     want = {(s, *cell): k for s, p in enumerate(pictures) for cell, k in flood(p, connectivity).items()}
     assert got == want
 
 
-def test_components_with_hot_vertices(spark, monkeypatch):
-    """A star: one vertex holds half of all edge rows and is salted in every join."""
-    monkeypatch.setattr(joins, "HOT_ROWS", 10)
-    monkeypatch.setattr(regions, "join_hot", lambda *a, **k: joins.join_hot(*a, hot_rows=10, **k))
+def test_components_with_hot_vertices(spark):
+    """A star: one vertex holds half of all edge rows."""
     pairs = [(1, 5, i) for i in range(6, 300)] + [(1, 1000 + i, 1001 + i) for i in range(50)] + [(2, 5, 6)]
     edges = spark.createDataFrame(pairs + [(s, v, u) for s, u, v in pairs], "scene_id int, u long, v long")
-    got = {(r["scene_id"], r["u"]): r["label"] for r in regions.component_labels(edges, 0).collect()}
+    got = {(r["scene_id"], r["u"]): r["label"] for r in regions.component_labels(edges).collect()}
     assert got == {
         **{(1, i): 5 for i in range(5, 300)},
         **{(1, 1000 + i): 1000 for i in range(51)},
@@ -152,47 +150,54 @@ def test_components_with_hot_vertices(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_attach_salted_equals_broadcast(spark, how):
+def test_attach_is_the_same_exchanged(spark, how):
     px = tables.pixels(spark, SF_DIR).select(*CELL, "dn")
     stats = px.filter("scene_id <> 3").groupBy("scene_id").agg(F.max("dn").alias("top"))
-    plain = joins.attach(px, stats, ["scene_id"], how)
-    salted = joins.attach(px, stats, ["scene_id"], how, max_rows=0)
-    assert "_salt" in salted._jdf.queryExecution().toString()
-    assert rows(plain, *CELL, "dn", "top") == rows(salted, *CELL, "dn", "top")
+    plain = rows(joins.attach(px, stats, ["scene_id"], how), *CELL, "dn", "top")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        assert rows(joins.attach(px, stats, ["scene_id"], how), *CELL, "dn", "top") == plain
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_join_hot_equals_join(spark):
-    data = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id") % 40).alias("k"), "id")
+def test_join_in_blocks_equals_join(spark):
+    data = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id") % 40).alias("k"), (F.col("id") % 9).alias("b"), "id")
     table = spark.range(30).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
     for how in ("inner", "left"):
         want = rows(data.join(table, "k", how), "k", "id", "x")
-        assert rows(joins.join_hot(data, table, ["k"], how, hot_rows=200), "k", "id", "x") == want
-
-
-def test_polygons_shuffled_equals_broadcast(spark):
-    px, edges = tables.pixels(spark, SF_DIR).select(*CELL, "dn"), tables.zone_edges(spark, SF_DIR)
-    want = rows(zonal.points_in_polygon(px, edges), *CELL, "zone_id")
-    assert rows(zonal.points_in_polygon(px, edges, max_rows=0), *CELL, "zone_id") == want
+        assert rows(joins.join_in_blocks(data, table, ["b"], ["k"], how), "k", "id", "x") == want
+
+
+@pytest.mark.parametrize("n", [1, 7, 500, 5000])
+def test_top_n_ranks_whole_groups(spark, n):
+    data = spark.range(4000).select((F.col("id") % 3 == 0).alias("g"), F.pmod(F.xxhash64("id"), F.lit(97)).alias("h"), "id")
+    order = [F.col("h"), F.col("id")]
+    got = {(r["g"], r["rn"]): r["id"] for r in joins.top_n(data, ["g"], order, n, F.shiftright("h", 3)).collect()}
+    want = {}
+    for g in (True, False):
+        own = sorted((r["h"], r["id"]) for r in data.where(F.col("g") == g).collect())
+        want |= {(g, i + 1): x for i, (_, x) in enumerate(own[:n])}
+    assert got == want
 
 
-@pytest.mark.parametrize("hot_rows,bins", [(10**6, 10), (100, 7), (10, 900), (0, 3)])
 @pytest.mark.parametrize("inclusive", [True, False])
-def test_running_over_one_hot_key(spark, hot_rows, bins, inclusive):
-    """A third of all rows under one key, with NULLs; plain and split windows."""
+def test_running_over_one_hot_key(spark, inclusive):
+    """A third of all rows under one key, and a NULL key; partitions cut keys."""
     rnd = random.Random(6)
     data = [
-        (0 if i < 400 else i % 50, i, rnd.randrange(900), None if rnd.random() < 0.2 else rnd.randrange(100))
+        (0 if i < 400 else None if i % 50 == 9 else i % 50, i, rnd.randrange(900), None if rnd.random() < 0.2 else rnd.randrange(100))
         for i in range(1200)
     ]
     df = spark.createDataFrame(data, "k int, id int, day int, v int").withColumn(
         "ts", F.expr("timestampadd(DAY, day, TIMESTAMP '2001-03-04 05:06:07')")
     )
     out = running(
-        df, ["k"], ["ts", "id"], {"latest": F.col("v")}, {"total": F.col("v")}, inclusive, hot_rows=hot_rows, bins=bins
+        df, ["k"], ["ts", "id"], {"latest": F.col("v")}, {"total": F.col("v")}, inclusive
     )
     got = {r["id"]: (r["latest"], r["total"]) for r in out.collect()}
     want, last, total = {}, {}, {}
-    for k, i, day, v in sorted(data, key=lambda x: (x[0], x[2], x[1])):
+    for k, i, day, v in sorted(data, key=lambda x: (x[0] is None, x[0] or 0, x[2], x[1])):
         total[k] = total.get(k, 0) + (v or 0)
         before, last[k] = last.get(k), v if v is not None else last.get(k)
         want[i] = (last[k] if inclusive else before, total[k])

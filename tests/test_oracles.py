@@ -18,7 +18,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) - set(ORACLES) == NO_SQL
+    assert set(QUERIES) - set(ORACLES) == NO_SQL  # their properties have, as *_properties
     assert set(ORACLES) <= set(QUERIES)
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from silvagrid.functions.grid import CELL
 from silvagrid.operators import focal, morphology, radiometry, regions, texture, threshold, zonal
 from silvagrid.plans import staging
-from silvagrid.sources import catalogue, parquet, tables
+from silvagrid.sources import catalogue, parquet
+from workload import tables
 from tests.conftest import SF_DIR
 from workload.queries import QUERIES
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from silvagrid.plans.staging import new_path
-from silvagrid.sources import tables
+from workload import tables
 from silvagrid.sources.schemas import EVENTS
 from silvagrid.streaming import intake
 from tests.conftest import SF_DIR

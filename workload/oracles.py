@@ -16,6 +16,9 @@ PX = """px AS MATERIALIZED (
 )"""
 
 CLS = f"cls AS MATERIALIZED (SELECT *, CAST(dn >= {CUT} AS INT) AS cls FROM px)"
+#: Each classified cell with its last classified state before.
+STEPS = """steps AS (SELECT * FROM (SELECT *, lag(cls) OVER cell AS was, lag(scene_id) OVER cell AS was_scene FROM cls
+  WHERE cls IS NOT NULL WINDOW cell AS (PARTITION BY r, c ORDER BY scene_id)) WHERE was IS NOT NULL)"""
 MASK = "mask AS MATERIALIZED (SELECT scene_id, r, c FROM cls WHERE cls = 1)"
 
 OBS = """obs AS MATERIALIZED (
@@ -143,8 +146,22 @@ def at(dr: int, dc: int) -> str:
 LBP_RING = [(-1, -1), (-1, 0), (-1, 1), (0, 1), (1, 1), (1, 0), (1, -1), (0, -1)]
 GX = f"({at(-1, 1)} + 2 * {at(0, 1)} + {at(1, 1)}) - ({at(-1, -1)} + 2 * {at(0, -1)} + {at(1, -1)})"
 GY = f"({at(1, -1)} + 2 * {at(1, 0)} + {at(1, 1)}) - ({at(-1, -1)} + 2 * {at(-1, 0)} + {at(-1, 1)})"
-HASH = "((r::BIGINT * 73856093 + c::BIGINT * 19349663 + scene_id::BIGINT * 83492791) % 1000003)"
-BLOCK_HASH = "(((r // 16)::BIGINT * 73856093 + (c // 16)::BIGINT * 19349663 + scene_id::BIGINT * 83492791) % 1000003)"
+
+
+def cell_hash(r: str, c: str) -> str:
+    """Two lanes of 31 bits, each multiplied, folded, multiplied and folded again."""
+
+    def lane(kr: int, kc: int, ks: int, again: int) -> str:
+        x = f"(({r})::BIGINT * {kr} + ({c})::BIGINT * {kc} + scene_id::BIGINT * {ks}) % 2147483647"
+        y = f"(xor({x}, ({x}) >> 15) * {again}) % 2147483647"
+        return f"xor({y}, ({y}) >> 13)"
+
+    high, low = lane(73856093, 19349663, 83492791, 1103515245), lane(49979687, 67867967, 32452843, 1664525137)
+    return f"({high} * 2147483648 + {low})"
+
+
+HASH = cell_hash("r", "c")
+BLOCK_HASH = cell_hash("r // 16", "c // 16")
 DATE = "DATE '1962-06-01' + CAST(scene_id * 90 AS INT)"
 CLOSED = "w_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM arrivals)"
 MERGED = """CAST(sum(n_px) AS BIGINT) AS n_px, sum(dn_sum) / sum(n_px) AS dn_mean, min(dn_min) AS dn_min,
@@ -426,9 +443,11 @@ FROM px p LEFT JOIN kept k ON k.scene_id = p.scene_id AND k.r = p.r AND k.c = p.
         components("gaps", 0),
         f"cells AS MATERIALIZED ({component_cells()})",
         """edge AS (SELECT DISTINCT scene_id, region_id FROM cells JOIN
-  (SELECT scene_id, max(r) AS r1, max(c) AS c1 FROM px GROUP BY scene_id) USING (scene_id) WHERE r = 0 OR c = 0 OR r = r1 OR c = c1)""",
+  (SELECT scene_id, max(r) AS r1, max(c) AS c1 FROM px GROUP BY scene_id) USING (scene_id) WHERE r = 0 OR c = 0 OR r = r1 OR c = c1
+  UNION SELECT DISTINCT a.scene_id, a.region_id FROM cells a JOIN cls b ON b.scene_id = a.scene_id AND b.cls IS NULL
+    AND abs(a.r - b.r) + abs(a.c - b.c) = 1 AND b.r BETWEEN a.r - 1 AND a.r + 1)""",
         f"open_cells AS (SELECT {CELLS} FROM cells SEMI JOIN edge USING (scene_id, region_id))",
-        select=f"""SELECT p.scene_id, p.r, p.c, CAST(k.r IS NULL AS INT) AS cls
+        select=f"""SELECT p.scene_id, p.r, p.c, CASE WHEN p.dn IS NOT NULL THEN CAST(k.r IS NULL AS INT) END AS cls
 FROM px p LEFT JOIN open_cells k ON k.scene_id = p.scene_id AND k.r = p.r AND k.c = p.c""",
         recursive=True,
     ),
@@ -512,22 +531,24 @@ GROUP BY ALL""",
     "transition_matrix": w(
         PX,
         CLS,
-        select="""SELECT a.scene_id, a.cls AS was, b.cls AS now, count(*) AS n FROM cls a
-JOIN cls b ON b.scene_id = a.scene_id + 1 AND b.r = a.r AND b.c = a.c GROUP BY ALL""",
+        STEPS,
+        select="SELECT was_scene AS scene_id, was, cls AS now, count(*) AS n FROM steps GROUP BY ALL",
     ),
-    "forest_gain": w(PX, CLS, MASK, PAIRS, select="SELECT * FROM now EXCEPT ALL SELECT * FROM was"),
-    "forest_loss": w(PX, CLS, MASK, PAIRS, select="SELECT * FROM was EXCEPT ALL SELECT * FROM now"),
-    "forest_stable": w(PX, CLS, MASK, PAIRS, select="SELECT * FROM was INTERSECT SELECT * FROM now"),
+    "forest_gain": w(PX, CLS, STEPS, select="SELECT was_scene AS scene_id, r, c FROM steps WHERE was = 0 AND cls = 1"),
+    "forest_loss": w(PX, CLS, STEPS, select="SELECT was_scene AS scene_id, r, c FROM steps WHERE was = 1 AND cls = 0"),
+    "forest_stable": w(PX, CLS, STEPS, select="SELECT was_scene AS scene_id, r, c FROM steps WHERE was = 1 AND cls = 1"),
     "first_loss": w(
         PX,
         CLS,
-        f"steps AS (SELECT *, {DATE} AS d, lag(cls) OVER (PARTITION BY r, c ORDER BY scene_id) AS before FROM cls)",
-        select="SELECT r, c, CAST(min(d) AS VARCHAR) AS first_loss FROM steps WHERE before = 1 AND cls = 0 GROUP BY r, c",
+        STEPS,
+        select=f"SELECT r, c, CAST(min({DATE}) AS VARCHAR) AS first_loss FROM steps WHERE was = 1 AND cls = 0 GROUP BY r, c",
     ),
     "area_by_year": w(
         PX,
         CLS,
-        f"y AS (SELECT zone_id, CAST(year({DATE}) AS INT) AS year, CAST(sum(cls) AS BIGINT) AS n_forest FROM cls GROUP BY ALL)",
+        f"""l AS (SELECT zone_id, CAST(year({DATE}) AS INT) AS year, cls FROM cls WHERE cls IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY zone_id, r, c, year({DATE}) ORDER BY scene_id DESC) = 1)""",
+        "y AS (SELECT zone_id, year, CAST(sum(cls) AS BIGINT) AS n_forest FROM l GROUP BY ALL)",
         select="SELECT *, n_forest - lag(n_forest) OVER (PARTITION BY zone_id ORDER BY year) AS change FROM y",
     ),
     "pixel_series": w(
@@ -644,3 +665,47 @@ FROM arrivals a JOIN arrivals b ON a.source_id = b.source_id AND a.kind = 'click
 
 # the tile form answers the same question
 ORACLES["forest_extract_tiles"] = ORACLES["forest_extract"]
+
+
+# the same with nodata: only the input differs
+PX_NODATA = PX.replace("px AS MATERIALIZED", "whole AS MATERIALIZED", 1) + f""", px AS MATERIALIZED (
+  SELECT * REPLACE (CASE WHEN dn >= {NODATA_BELOW} THEN dn END AS dn) FROM whole
+)"""
+OBS_NODATA = OBS.replace("CAST(l_quantity * 5 AS INT) AS dn", f"CASE WHEN l_quantity * 5 >= {NODATA_BELOW} THEN CAST(l_quantity * 5 AS INT) END AS dn")
+for _name in (
+    "focal_mean", "focal_median", "connected_components", "region_stats", "fill_holes", "transition_matrix", "forest_loss",
+    "forest_gain", "first_loss", "area_by_year", "forest_per_scene",
+):
+    ORACLES[f"{_name}_nodata"] = ORACLES[_name].replace(PX, PX_NODATA)
+for _name in ("threshold_otsu", "accuracy_scores"):
+    ORACLES[f"{_name}_nodata"] = ORACLES[_name].replace(PX, PX_NODATA)
+# where only valid pixels count
+PX_VALID = PX.replace("px AS MATERIALIZED", "whole AS MATERIALIZED", 1) + f", px AS MATERIALIZED (SELECT * FROM whole WHERE dn >= {NODATA_BELOW})"
+for _name in ("kappa", "forest_per_scene"):
+    ORACLES[f"{_name}_nodata"] = ORACLES[_name].replace(PX, PX_VALID)
+ORACLES["percentile_stretch_nodata"] = (
+    f"SELECT {CELLS}, dn FROM ({ORACLES['percentile_stretch'].replace(PX, PX_VALID)}) UNION ALL "
+    f"SELECT {CELLS}, CAST(NULL AS INT) AS dn FROM ({w(PX, select=f'SELECT * FROM px WHERE dn < {NODATA_BELOW}')})"
+)
+ORACLES["composite_latest_nodata"] = w(
+    OBS_NODATA,
+    select="""SELECT r, c, dn FROM obs QUALIFY row_number() OVER (PARTITION BY r, c
+  ORDER BY dn IS NULL, acq_ts DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC) = 1""",
+)
+ORACLES["composite_priority_nodata"] = w(
+    OBS_NODATA,
+    select="""SELECT r, c, dn, strip FROM obs QUALIFY row_number() OVER (PARTITION BY r, c
+  ORDER BY dn IS NULL, strip, acq_ts DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC) = 1""",
+)
+ORACLES["zonal_histogram_10"] = w(
+    PX,
+    select="SELECT zone_id, "
+    + ", ".join(f"count(CASE WHEN dn * 10 // 256 = {i} THEN 1 END) AS b{i}" for i in range(10))
+    + " FROM px GROUP BY zone_id",
+)
+ORACLES["stratified_sample_5000"] = ORACLES["stratified_sample"].replace("place <= 500", "place <= 5000")
+ORACLES["kmeans_properties"] = w(PX_NODATA, select="SELECT scene_id, count(*) AS n_px, count(dn) AS n_cls, true AS in_range FROM px GROUP BY scene_id")
+ORACLES["rf_properties"] = w(
+    PX_NODATA, select=f"SELECT truth, count(*) AS n_px, count(dn) AS n_cls, true AS in_range FROM px WHERE {BLOCK_HASH} % 100 < 30 GROUP BY truth"
+)
+ORACLES["distinct_properties"] = w(PX, select="SELECT zone_id, count(DISTINCT dn) AS n_levels, true AS near FROM px GROUP BY zone_id")

@@ -26,9 +26,10 @@ from silvagrid.operators import (
 )
 from silvagrid.plans import forest
 from silvagrid.plans.staging import new_path
-from silvagrid.sources import catalogue, parquet, tables, tiles
+from silvagrid.sources import catalogue, parquet, tiles
 from silvagrid.sources.schemas import EVENTS
 from silvagrid.streaming import intake
+from workload import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +42,9 @@ BLOCK = 32
 KERNEL = [[1, 2, 1], [0, -3, 1], [2, 0, -1]]
 SWAPPED_AFFINE = {"xc": 2.0, "xr": 0.5, "x0": 100.0, "yc": -0.5, "yr": 2.0, "y0": 200.0}
 
+#: Makes the observations of one cell and instant differ.
+OBS_KEY = ["l_orderkey", "l_linenumber", "l_partkey"]
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -75,6 +79,11 @@ def classes(px: DataFrame) -> DataFrame:
     return threshold.threshold_fixed(px, CUT - 1, "bright")
 
 
+def on_nodata(name: str, fn: Callable[[DataFrame], DataFrame], *columns: str) -> None:
+    """Register ``name_nodata``: ``fn`` on pixels whose dark grey levels are nodata."""
+    on_pixels(f"{name}_nodata", lambda px: fn(radiometry.nodata_mask(px, NODATA_BELOW, 255)), *columns)
+
+
 def mask_list(px: DataFrame) -> DataFrame:
     """The cells of the forest mask as a list."""
     return classes(px).filter("cls = 1").select(*CELL)
@@ -167,9 +176,11 @@ def gcp_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # mosaic
-on_observations("composite_latest", mosaic.composite_latest)
+on_observations("composite_latest", lambda obs: mosaic.composite_latest(obs, OBS_KEY))
 on_observations("composite_median", mosaic.composite_median)
-on_observations("composite_priority", mosaic.composite_priority)
+on_observations("composite_priority", lambda obs: mosaic.composite_priority(obs, OBS_KEY))
+on_observations("composite_latest_nodata", lambda obs: mosaic.composite_latest(radiometry.nodata_mask(obs, NODATA_BELOW, 255), OBS_KEY))
+on_observations("composite_priority_nodata", lambda obs: mosaic.composite_priority(radiometry.nodata_mask(obs, NODATA_BELOW, 255), OBS_KEY))
 on_observations("seam_bias", mosaic.seam_bias)
 
 
@@ -278,7 +289,7 @@ on_classes("forest_loss", change.forest_loss)
 on_classes("forest_stable", change.forest_stable)
 on_classes("first_loss", lambda px: change.first_loss(tables.with_date(px)))
 on_classes("area_by_year", lambda px: change.area_by_year(tables.with_date(px)))
-on_observations("pixel_series", change.pixel_series)
+on_observations("pixel_series", lambda obs: change.pixel_series(obs, OBS_KEY))
 
 
 @query()
@@ -303,6 +314,57 @@ def area_adjusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accuracy.area_adjusted(accuracy.stratified_sample(px, 1000, by="cls", keep=["truth"]), px)
 
 
+# the same with nodata
+on_nodata("percentile_stretch", radiometry.percentile_stretch, *CELL, "dn")
+on_nodata("focal_mean", lambda px: focal.focal_mean(px, 2, BLOCK))
+on_nodata("focal_median", lambda px: focal.focal_median(px, 1, BLOCK))
+on_nodata("threshold_otsu", threshold.threshold_otsu, *CELL, "cls")
+on_nodata("connected_components", lambda px: regions.connected_components(classes(px), 8, BLOCK))
+on_nodata("region_stats", lambda px: regions.region_stats(classes(px), 8, BLOCK))
+on_nodata("fill_holes", lambda px: regions.fill_holes(classes(px), 4, BLOCK))
+on_nodata("transition_matrix", lambda px: change.transition_matrix(classes(px)))
+on_nodata("forest_loss", lambda px: change.forest_loss(classes(px)))
+on_nodata("forest_gain", lambda px: change.forest_gain(classes(px)))
+on_nodata("first_loss", lambda px: change.first_loss(tables.with_date(classes(px))))
+on_nodata("area_by_year", lambda px: change.area_by_year(tables.with_date(classes(px))))
+on_nodata("accuracy_scores", lambda px: accuracy.accuracy_scores(classes(px)))
+on_nodata("kappa", lambda px: accuracy.kappa(classes(px)))
+on_nodata("forest_per_scene", forest.forest_per_scene)
+on_pixels("zonal_histogram_10", lambda px: zonal.zonal_histogram(px, 10))
+on_pixels("stratified_sample_5000", lambda px: accuracy.stratified_sample(px, 5000))
+
+
+@query()
+def kmeans_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per scene: all pixels, those with a class, and whether the classes are 0, 1 and 2; nodata has none."""
+    px = radiometry.nodata_mask(tables.pixels(spark, sf_dir), NODATA_BELOW, 255)
+    out = classify.kmeans_classes(classify.texture_features(px, 1, BLOCK), 3)
+    return out.groupBy("scene_id").agg(
+        F.count("*").alias("n_px"), F.count("cls").alias("n_cls"), F.coalesce(F.bool_and(F.col("cls").between(0, 2)), F.lit(True)).alias("in_range")
+    )
+
+
+@query()
+def rf_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out pixels by truth: all, those with a class, and whether classes are 0 and 1; nodata has none."""
+    px = radiometry.nodata_mask(tables.pixels(spark, sf_dir), NODATA_BELOW, 255)
+    labelled = accuracy.block_split(classify.texture_features(px, 1, BLOCK))
+    model = classify.train_forest_rf(labelled.filter("part = 'train'"))
+    held = classify.predict_rf(model, labelled).filter("part = 'test'")
+    return held.groupBy("truth").agg(
+        F.count("*").alias("n_px"), F.count("cls").alias("n_cls"), F.coalesce(F.bool_and(F.col("cls").isin(0, 1)), F.lit(True)).alias("in_range")
+    )
+
+
+@query()
+def distinct_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per zone the exact count and whether the approximate one lies within three standard errors."""
+    px = tables.pixels(spark, sf_dir)
+    exact, near = zonal.distinct_classes(px), zonal.distinct_classes_approx(px, 0.05)
+    both = exact.select("zone_id", "n_levels").join(near.withColumnRenamed("n_levels", "about"), "zone_id")
+    return both.select("zone_id", "n_levels", (F.abs(F.col("about") - F.col("n_levels")) <= 0.15 * F.col("n_levels")).alias("near"))
+
+
 # streams
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a stream of arrivals (a glob, as the table is one file)."""
