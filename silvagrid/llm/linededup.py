@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silvagrid.plans.staging import stage
@@ -13,7 +13,7 @@ from silvagrid.plans.staging import stage
 @dataclass(frozen=True)
 class Chunking:
     """Parameters: one line in ``every`` ends a chunk; words from which a line is a chunk by itself;
-    lines and words that any other chunk needs in order to be removed."""
+    lines and words that any other run of repeated chunks needs in order to be removed."""
 
     every: int = 2
     long_line: int = 50
@@ -53,7 +53,7 @@ def _marked(words: Column, column: str, bits: int) -> Column:
 
 
 def chunks(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, start, n, h, bytes): chunks of lines that may be removed; ``start`` counts lines from 0.
+    """(key, place, start, n, words, h, bytes): all chunks of lines; ``start`` counts lines from 0.
 
     A chunk ends after a line where a hash rolled over the hashes of this line and the one before
     falls into one of ``p.every`` classes, and around every long line. Where chunks end thus
@@ -76,37 +76,42 @@ def chunks(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_id", text:
         "starts",
         lambda s, k: F.struct(s.alias("start"), (F.coalesce(F.get("starts", k + 1), count) - s).alias("n")),
     )
-    spans = F.filter(
-        F.transform(
-            spans,
-            lambda x: F.struct(
-                x["start"].alias("start"),
-                x["n"].alias("n"),
-                F.aggregate(F.slice("words", x["start"] + 1, x["n"]), F.lit(0), lambda a, b: a + b).alias("words"),
-            ),
-        ),
-        lambda x: ((x["n"] >= p.min_lines) & (x["words"] >= p.min_words)) | (x["words"] >= p.long_line),
+    words = F.aggregate(F.slice("words", F.col("start") + 1, F.col("n")), F.lit(0), lambda a, b: a + b)
+    rows = lines.select("key", "lines", "words", F.posexplode(spans).alias("place", "x")).select(
+        "key", "place", "lines", "words", "x.start", "x.n"
     )
-    rows = lines.select("key", "lines", F.explode(spans).alias("x")).select("key", "x.start", "x.n", _slice(F.col("lines"), F.col("x.start"), F.col("x.n")).alias("chunk"))
-    return rows.select("key", "start", "n", F.xxhash64("chunk").alias("h"), F.octet_length("chunk").alias("bytes"))
+    rows = rows.select("key", "place", "start", "n", words.alias("words"), _slice(F.col("lines"), F.col("start"), F.col("n")).alias("chunk"))
+    return rows.select("key", "place", "start", "n", "words", F.xxhash64("chunk").alias("h"), F.octet_length("chunk").alias("bytes"))
 
 
 def repeated_chunks(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, start, n, chunk): all occurrences but the first of chunks whose hash is repeated.
+    """(key, start, n, chunk): occurrences but the first of repeated chunks, in runs long enough.
 
-    The first is the one of the smallest key, then line. ``chunk`` is the first one's text.
-    Hashes are counted by a combining aggregate; only chunks that repeat carry text.
+    The first is the one of the smallest key, then line; ``chunk`` is its text. Chunks of a document
+    that follow one another and all occurred before make a run; it counts if it has ``p.min_lines``
+    lines and ``p.min_words`` words, or ``p.long_line`` words, so that short lines that are common
+    stay. Hashes are counted by a combining aggregate; only chunks that go carry text.
     """
     found = stage(chunks(docs, p, key, text), "chunks")
     same = ["h", "bytes"]
     first = found.groupBy(*same).agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("key", "start", "n")).alias("first"))
     first = stage(first.where("c > 1").select(*same, "first.key", "first.start", "first.n"), "first")
     named = first.withColumnsRenamed({"key": "f_key", "start": "f_start", "n": "f_n"})
-    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    texts = texts.where(_marked(_bitmap(first, "key", p.bits), "key", p.bits))
-    texts = texts.join(named, F.col("key").eqNullSafe(F.col("f_key"))).select(*same, "f_key", "f_start", _slice(_lines("text"), F.col("f_start"), F.col("f_n")).alias("chunk")).distinct()
     later = ~(F.col("key").eqNullSafe(F.col("f_key")) & (F.col("start") == F.col("f_start")))
-    return found.join(texts, same).where(later).select("key", "start", "n", "chunk")
+    again = found.join(named, same).where(later)
+    own = Window.partitionBy("key").orderBy("place")
+    run = Window.partitionBy("key", "_run")
+    again = again.withColumn("_run", F.col("place") - F.dense_rank().over(own))
+    length, words = F.sum("n").over(run), F.sum("words").over(run)
+    enough = ((length >= p.min_lines) & (words >= p.min_words)) | (words >= p.long_line)
+    again = again.withColumn("_enough", enough).where("_enough")
+    again = stage(again.select("key", "start", "n", *same, "f_key", "f_start", "f_n"), "again")
+    wanted = again.select(*same, "f_key", "f_start", "f_n").distinct()
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    texts = texts.where(_marked(_bitmap(wanted, "f_key", p.bits), "key", p.bits))
+    texts = texts.join(wanted, F.col("key").eqNullSafe(F.col("f_key")))
+    texts = texts.select(*same, _slice(_lines("text"), F.col("f_start"), F.col("f_n")).alias("chunk")).distinct()
+    return again.join(texts, same).select("key", "start", "n", "chunk")
 
 
 def drop_repeated_lines(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_id", text: str = "text") -> DataFrame:
