@@ -1,9 +1,11 @@
 """Stream operators. Each takes and returns streaming DataFrames; ``run_now`` and
 ``zonal_totals`` start queries.
 
-State is always keyed by more than the source or the kind alone where rows meet
-(time windows, time buckets), so a source that sends a third of all arrivals
-does not land in one state partition.
+Where rows meet, state is keyed by time windows or buckets besides the source or the kind, so
+a source that sends a third of all arrivals is spread over partitions. Sessions are the exception:
+their windows are not known beforehand, so state is by source; with
+``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` each task first merges what
+it has read, and a hot source costs one row per task and open session.
 """
 
 from __future__ import annotations
