@@ -99,9 +99,8 @@ def tile_map_halo(
     border of ``radius`` cells from its neighbours, NaN where there is none, and
     ``params`` names further number columns of the tile.
 
-    Each tile sends itself and eight edge strips. The strips meet in one grouping
-    on the tile key, at most nine rows per tile; only then are the rows handed to
-    Python, many tiles per Arrow batch. Only the last tile row and column of a
+    Each tile sends itself and eight edge strips. They meet by one exchange and one sort on the
+    tile key, at most nine rows per tile, and are put together in Arrow batches. Only the last tile row and column of a
     scene may be smaller than ``size``.
     """
     if not 0 < radius <= size:
@@ -123,39 +122,47 @@ def tile_map_halo(
 
     sent = F.array(*[send(i, j) for i, j in steps])
     pieces = tiles.select("scene_id", F.explode(sent).alias("p")).select("scene_id", "p.*")
-    framed = (
-        pieces.groupBy("scene_id", "tile_r", "tile_c")
-        .agg(
-            F.max("h").alias("h"),
-            *[F.max(x).alias(x) for x in params],
-            *[F.max(F.when(F.col("side") == k, F.col("w"))).alias(f"w{k}") for k in range(9)],
-            *[F.first(F.when(F.col("side") == k, F.col("dn")), ignorenulls=True).alias(f"p{k}") for k in range(9)],
-        )
-        .filter("h is not null")
-    )
+    key = ["scene_id", "tile_r", "tile_c"]
+    framed = pieces.repartition(*key).sortWithinPartitions(*key)
     unpack, pack = _arrays_of()
 
     def over(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
+        def frame(at: tuple, parts: list) -> tuple | None:
+            own = next((x for x in parts if x[0] == 4), None)
+            if own is None:
+                return None
+            _, h, w, _, given = own
+            padded = np.full((h + 2 * radius, w + 2 * radius), np.nan)
+            starts = [(0, radius, radius + n) for n in (h, w)]
+            for side, _, width, cells, _ in parts:
+                piece = cells.reshape(-1, width)
+                y, x = starts[0][side // 3], starts[1][side % 3]
+                padded[y : y + piece.shape[0], x : x + piece.shape[1]] = piece
+            return (*at, h, w, fn(padded, *given).ravel())
+
+        def table(tiles: list) -> pa.RecordBatch:
+            *kept, cells = zip(*tiles)
+            return pa.RecordBatch.from_arrays(
+                [*(pa.array(x, pa.int32()) for x in kept), pack(list(cells))], ["scene_id", "tile_r", "tile_c", "h", "w", "dn"]
+            )
+
+        current, parts = None, []
         for batch in batches:
-            kept = [batch.column(x) for x in ("scene_id", "tile_r", "tile_c", "h", "w4")]
-            pieces = [unpack(batch.column(f"p{k}")) for k in range(9)]
-            widths = [batch.column(f"w{k}").to_pylist() for k in range(9)]
-            given = [batch.column(x).to_pylist() for x in params]
-            out = []
-            for at, h in enumerate(kept[3].to_pylist()):
-                w = widths[4][at]
-                padded = np.full((h + 2 * radius, w + 2 * radius), np.nan)
-                starts = [(0, radius, radius + n) for n in (h, w)]
-                for k in range(9):
-                    if widths[k][at] is not None:
-                        piece = pieces[k][at].reshape(-1, widths[k][at])
-                        y, x = starts[0][k // 3], starts[1][k % 3]
-                        padded[y : y + piece.shape[0], x : x + piece.shape[1]] = piece
-                out.append(fn(padded, *[x[at] for x in given]).ravel())
-            yield pa.RecordBatch.from_arrays([*kept, pack(out)], ["scene_id", "tile_r", "tile_c", "h", "w", "dn"])
+            done = []
+            names = [*key, "side", "h", "w", *params]
+            columns = [batch.column(x).to_pylist() for x in names]
+            for (scene, i, j, side, h, w, *given), cells in zip(zip(*columns), unpack(batch.column("dn"))):
+                if (scene, i, j) != current:
+                    done.append(frame(current, parts))
+                    current, parts = (scene, i, j), []
+                parts.append((side, h, w, cells, given))
+            if done := [x for x in done if x]:
+                yield table(done)
+        if last := frame(current, parts):
+            yield table([last])
 
     return framed.mapInArrow(over, TILE_DDL)
 

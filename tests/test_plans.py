@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import CELL
-from silvagrid.operators import focal, morphology, radiometry, regions, texture, threshold, zonal
+from silvagrid.operators import focal, morphology, radiometry, regions, texture, threshold, tileform, zonal
 from silvagrid.plans import staging
 from silvagrid.sources import catalogue, parquet
 from workload import tables
@@ -56,6 +56,11 @@ def test_stretch_does_not_move_pixels(px):
     assert exchanges(radiometry.percentile_stretch(px)) == 0
 
 
+def test_halo_takes_one_exchange_and_one_sort(spark):
+    text = plan(tileform.focal_tiles(tables.tiles(spark, SF_DIR), "sum", 1, tables.TILE))
+    assert text.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in text and text.count("Sort [") == 1
+
+
 #: Queries whose small sides Spark may join by nested loop would show here.
 @pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("stream", "kmeans", "predict", "train"))])
 def test_no_cross_or_nested_loop_join(spark, name):
