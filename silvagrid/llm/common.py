@@ -163,6 +163,30 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str)
     return df.mapInArrow(run, schema)
 
 
+# ---------------------------------------------------------------- bit maps
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+    """A bit map of ``2 ** bits`` places, as uint64 words, marked by the top bits of ``column`` (long).
+
+    Its size does not depend on the rows. It only spares rows a shuffle: what it lets through by
+    chance, however much that is, has to fall out in a join.
+    """
+    place = F.shiftrightunsigned(column, 64 - bits)
+    words = hashes.select(F.shiftright(place, 6).alias("w"), F.expr("1L").alias("one"), place.bitwiseAND(63).cast("int").alias("b"))
+    words = words.groupBy("w").agg(F.bit_or(F.expr("shiftleft(one, b)")).alias("v")).toArrow()
+    out = np.zeros(1 << bits - 6, np.int64)
+    out[words.column("w").to_numpy()] = words.column("v").to_numpy()
+    return out.view(np.uint64)
+
+
+def marked(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes (uint64) are marked in a bit map."""
+    bits = len(words).bit_length() + 5
+    place = hashes >> np.uint64(64 - bits)
+    return (words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
 # ---------------------------------------------------------------- ranks
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silvagrid.llm.common import byte_texts, map_arrow, mix, span_hashes, stream
+from silvagrid.llm.common import bitmap, byte_texts, map_arrow, marked, mix, span_hashes, stream
 from silvagrid.plans.staging import stage
 
 
@@ -152,22 +152,14 @@ def _hits(docs: DataFrame, bench: DataFrame, p: Templates, key: str, text: str)
     The map has 2 ** ``p.bits`` bits whatever the benchmark's size; what passes by chance falls
     out in the join.
     """
-    shift = 64 - p.bits
-    marked = bench.select(F.shiftrightunsigned("h", shift).alias("i")).distinct().toArrow().column("i").to_numpy()
-    bitmap = np.zeros(1 << p.bits, bool)
-    bitmap[marked] = True
-    bitmap = np.packbits(bitmap)
+    marks = bitmap(bench, "h", p.bits)
     sizes = [r["size"] for r in bench.select("size").distinct().collect()]
 
-    def keep(h: np.ndarray) -> np.ndarray:
-        i = (h >> np.uint64(shift)).astype(np.int64)
-        return (bitmap[i >> 3] >> (7 - (i & 7)).astype(np.uint8)) & 1 == 1
-
     def run(batch: pa.RecordBatch) -> dict:
         out = [
             (k, *r)
             for k, t in zip(batch.column(0).to_pylist(), byte_texts(batch.column(1)))
-            for r in _window_rows(t, sizes, p, keep)
+            for r in _window_rows(t, sizes, p, lambda h: marked(marks, h))
         ]
         cols = list(zip(*out)) or [()] * 4
         return {n: pa.array(c, t) for n, c, t in zip(["doc_id", "pos", "h", "slots"], cols, [batch.column(0).type, *(t for _, t in _ROW)])}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silvagrid.llm.common import byte_texts, components, hash_words, map_arrow, mix, stream
+from silvagrid.llm.common import bitmap, byte_texts, components, hash_words, map_arrow, marked, mix, stream
 from silvagrid.plans.staging import stage
 
 
@@ -26,6 +26,10 @@ class Forest:
     region: int = 16
     #: Share of equal signature values from which a pair is confirmed; 4.5 deviations below 0.85 at 72 values.
     estimate: float = 0.66
+    #: Parts that make a block when rows outside of a large region's main group are compared with all.
+    spread: int = 16
+    #: Size of the bit map that picks the texts to be confirmed.
+    bits: int = 25
 
     @property
     def values(self) -> int:
@@ -129,7 +133,7 @@ def _prefixes(classes: DataFrame, p: Forest) -> DataFrame:
 
 
 def regions(classes: DataFrame, p: Forest) -> DataFrame:
-    """(region, part, rep): classes with a common signature prefix, at most about ``p.region`` each.
+    """(region, part, parts, rep): classes with a common signature prefix, at most about ``p.region`` each.
 
     In each tree a class lies in the region of its first ``p.first`` values. A region with more
     rows is divided by further values, each row going to the shallowest region small enough.
@@ -140,7 +144,7 @@ def regions(classes: DataFrame, p: Forest) -> DataFrame:
     first = f"d{p.first}"
     many = trees.groupBy(first).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     shared = stage(trees.join(many, first), "trees")
-    small = shared.where(F.col("c") <= p.region).select(F.col(first).alias("region"), F.lit(0).alias("part"), "rep")
+    small = shared.where(F.col("c") <= p.region).select(F.col(first).alias("region"), F.lit(0).alias("part"), F.lit(1).alias("parts"), "rep")
     deeper = [F.struct(F.lit(d).alias("level"), F.col(f"d{d}").alias("h")) for d in range(p.first + 1, p.depth + 1)]
     deep = shared.where(F.col("c") > p.region).select("rep", first, "c", F.explode(F.array(*deeper)).alias("x"))
     deep = deep.select("rep", first, "c", "x.level", "x.h")
@@ -152,70 +156,98 @@ def regions(classes: DataFrame, p: Forest) -> DataFrame:
     )
     region = F.coalesce("fit.h", "big.h", first)
     size = F.when(F.col("fit").isNull(), F.coalesce("big.m", "c")).otherwise(1)
-    parts = F.ceil(size / p.region)
-    large = picked.select(
-        region.alias("region"), F.pmod(F.xxhash64("rep", region), parts).cast("int").alias("part"), "rep"
-    )
+    large = picked.select(region.alias("region"), F.ceil(size / p.region).cast("int").alias("parts"), "rep")
+    part = F.pmod(F.xxhash64("rep", "region"), F.col("parts")).cast("int")
+    large = large.select("region", part.alias("part"), "parts", "rep")
     return small.unionByName(large)
 
 
-def _candidates(located: DataFrame, p: Forest, best: bool) -> DataFrame:
-    """Pairs (a, b, equal) with similar signatures in a common region.
+def _likely(located: DataFrame, p: Forest) -> DataFrame:
+    """(a, b, equal): for each row of a region the row with the most equal signature values, if enough."""
+    gathered = _gather(located.withColumn("outer", F.lit(True)))
+    return map_arrow(gathered, lambda batch: _compare(batch, p, True), "a long, b long, equal long")
+
+
+def _across(located: DataFrame, p: Forest) -> DataFrame:
+    """(a, b, la, lb): pairs of a region with similar signatures and different labels.
 
-    ``best``: for each row of a region its likeliest partner only. Otherwise all pairs of different
-    ``label``. Pairs whose sizes rule out the threshold are left out.
+    Rows with ``outer`` are compared with all others, the rest not among themselves.
     """
-    gathered = (
-        located.groupBy("region", "part")
-        .agg(F.collect_list(F.struct("rep", "n", "label", "sig")).alias("rows"))
-        .where(F.size("rows") > 1)
-        .select("rows")
-    )
+    found = map_arrow(_gather(located), lambda batch: _compare(batch, p, False), "a long, b long, la long, lb long")
+    return found.distinct()
+
+
+def _gather(located: DataFrame) -> DataFrame:
+    rows = F.collect_list(F.struct("rep", "n", "label", "outer", "sig")).alias("rows")
+    return located.groupBy("region", "part").agg(rows).where(F.size("rows") > 1).select("rows")
+
+
+def _compare(batch: pa.RecordBatch, p: Forest, best: bool) -> dict:
     least = int(np.ceil(p.estimate * p.values))
+    lists = batch.column(0)
+    flat = lists.flatten()
+    cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    rep, n, label, outer = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "label", "outer"))
+    sig = np.frombuffer(b"".join(flat.field("sig").to_pylist()), np.uint8).reshape(len(rep), p.values)
+    found = [np.zeros((0, 3 if best else 4), np.int64)]
+    for s, e in zip(cuts[:-1], cuts[1:]):
+        ids, m, own = rep[s:e], n[s:e], label[s:e]
+        ahead = np.flatnonzero(outer[s:e])
+        equal = np.stack([(sig[s:e] == sig[s + i]).sum(axis=1) for i in ahead]) if len(ahead) else np.zeros((0, e - s), np.int64)
+        fits = 100 * np.minimum(m[ahead, None], m[None]) >= p.percent * np.maximum(m[ahead, None], m[None])
+        equal = np.where(fits & (ids[ahead, None] != ids[None]), equal, -1)
+        if best:
+            order = np.argsort(ids)
+            j = order[equal[:, order].argmax(axis=1)]
+            top = equal[np.arange(len(ahead)), j]
+            keep = top >= least
+            found.append(np.stack([ids[ahead][keep], ids[j][keep], top[keep]], axis=1))
+        else:
+            i, j = np.nonzero((equal >= least) & (own[ahead, None] != own[None]))
+            i = ahead[i]
+            i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
+            found.append(np.unique(np.stack([ids[i], ids[j], own[i], own[j]], axis=1), axis=0))
+    names = ("a", "b", "equal") if best else ("a", "b", "la", "lb")
+    return {k: pa.array(c) for k, c in zip(names, np.concatenate(found).T)}
 
-    def run(batch: pa.RecordBatch) -> dict:
-        lists = batch.column(0)
-        flat = lists.flatten()
-        cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-        rep, n, label = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "label"))
-        sig = np.frombuffer(b"".join(flat.field("sig").to_pylist()), np.uint8).reshape(len(rep), p.values)
-        found = []
-        for s, e in zip(cuts[:-1], cuts[1:]):
-            equal = (sig[s:e, None, :] == sig[None, s:e, :]).sum(axis=2)
-            m = n[s:e]
-            fits = 100 * np.minimum(m[:, None], m[None]) >= p.percent * np.maximum(m[:, None], m[None])
-            equal = np.where(fits & (rep[s:e, None] != rep[None, s:e]), equal, -1)
-            if best:
-                i = np.arange(e - s)
-                order = np.argsort(rep[s:e])
-                j = order[equal[:, order].argmax(axis=1)]
-                keep = equal[i, j] >= least
-                i, j = i[keep], j[keep]
-            else:
-                i, j = np.nonzero(np.triu((equal >= least) & (label[s:e, None] != label[None, s:e])))
-            found.append(np.stack([rep[s:e][i], rep[s:e][j], equal[i, j]], axis=1))
-        a, b, same = np.concatenate(found).T if found else np.zeros((3, 0), np.int64)
-        return {"a": pa.array(a), "b": pa.array(b), "equal": pa.array(same)}
-
-    return map_arrow(gathered, run, "a long, b long, equal long")
+
+def _strays(located: DataFrame, p: Forest) -> DataFrame:
+    """Rows of regions that were dealt into parts, dealt again so that each row outside of its
+    region's largest group meets every row of the region.
+
+    Blocks of such rows meet blocks of all rows, both bounded; nothing is done where a region is one group.
+    """
+    dealt = located.where("parts > 1")
+    sizes = dealt.groupBy("region", "label").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("region").agg(F.max(F.struct("c", "label")).alias("x")).select("region", F.col("x.label").alias("main"))
+    rows = dealt.join(main, "region").withColumn("blocks", F.ceil(F.col("parts") / p.spread).cast("int"))
+    rows = rows.withColumn("block", F.pmod("part", F.col("blocks")))
+    stray = rows.where("label <> main")
+    some = stray.select("region", F.col("block").alias("mine")).distinct()
+    every = rows.join(some, "region").withColumn("outer", F.lit(False))
+    ahead = stray.withColumn("mine", F.col("block")).withColumn("outer", F.lit(True))
+    ahead = ahead.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    both = every.unionByName(ahead, allowMissingColumns=True)
+    return both.withColumn("part", F.struct("mine", "block")).select("region", "part", "rep", "n", "label", "outer", "sig")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, p: Forest) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union, counted on full sets."""
+    """The rows of ``pairs`` (a, b, ...) with 100 * intersection >= percent * union, counted on full sets."""
     one = sets.select(F.col("rep").alias("a"), F.col("members").alias("of_a"))
     two = sets.select(F.col("rep").alias("b"), F.col("members").alias("of_b"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "of_a", "of_b")
+    names = pairs.columns
+    both = pairs.join(one, "a").join(two, "b").select(*names, "of_a", "of_b")
 
     def run(batch: pa.RecordBatch) -> dict:
         keep = []
-        for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+        for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()):
             joined = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]))
             common = int((joined[1:] == joined[:-1]).sum())
             keep.append(100 * common >= p.percent * (len(joined) - common))
         keep = pa.array(keep)
-        return {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
+        return {n: batch.column(n).filter(keep) for n in names}
 
-    return map_arrow(both, run, "a long, b long")
+    return map_arrow(both, run, pairs.schema)
 
 
 def near_duplicates(docs: DataFrame, p: Forest = Forest(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -224,8 +256,9 @@ def near_duplicates(docs: DataFrame, p: Forest = Forest(), key: str = "doc_id",
     Rows with equal sets form a class (128 bits of hash and the size agree) and are linked through
     its smallest id. Classes meet in the regions of the forest. First each class is linked with its
     likeliest partner; then all pairs of a region that still lie in different groups are confirmed
-    too. No pair inside a group is looked at twice, so a large group of copies costs a few
-    pairs per row, not their square.
+    too. At last, in regions too large for that, rows still outside of the main group are
+    compared with all rows of the region. Pairs inside a group are left out, so a large group of
+    copies costs a few pairs per row, not their square.
 
     Empty sets are linked with nothing. Repeated rows are kept, each with its group. A NULL id is
     grouped with equal sets only, and with no id among them its component_id is NULL and it is kept.
@@ -233,7 +266,7 @@ def near_duplicates(docs: DataFrame, p: Forest = Forest(), key: str = "doc_id",
     """
     sketched = stage(sketches(docs, key, text, p), "sketches")
     same = ["n", "lo", "hi"]
-    reps = sketched.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"))
+    reps = stage(sketched.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("rep")), "classes")
     members = stage(
         sketched.join(reps, same, "left").withColumn("rep", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id"))),
         "members",
@@ -241,31 +274,41 @@ def near_duplicates(docs: DataFrame, p: Forest = Forest(), key: str = "doc_id",
     classes = members.where("n > 0 and doc_id = rep").dropDuplicates(["rep", *same])
     placed = stage(regions(classes, p), "regions")
     short = classes.select("rep", "n", F.concat(*[F.substring("sig", 4 * i + 1, 1) for i in range(p.values)]).alias("sig"))
-    located = placed.join(short, "rep")
-    likely = _candidates(located.withColumn("label", F.col("rep")), p, best=True)
-    partner = likely.groupBy("a").agg(F.max(F.struct("equal", (-F.col("b")).alias("b"))).alias("x"))
+    located = placed.join(short, "rep").withColumn("label", F.col("rep"))
+    partner = _likely(located, p).groupBy("a").agg(F.max(F.struct("equal", (-F.col("b")).alias("b"))).alias("x"))
     partner = stage(partner.select("a", (-F.col("x.b")).alias("b")), "partners")
     ids = partner.select(F.col("a").alias("rep")).union(partner.select(F.col("b").alias("rep"))).distinct()
     sets = stage(_sets(docs, ids, key, text, p), "sets")
     pairs = partner.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    linked = stage(confirm(pairs, sets, p), "links")
-    groups = components(linked)
-    labels = located.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "label", F.coalesce("component", "rep")
-    )
-    rest = _candidates(labels, p, best=False)
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    groups = components(linked.unionByName(confirm(rest, sets, p)))
-    out = members.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep")
+    groups = [components(confirm(pairs, sets, p))]
+    for deal in (lambda rows: rows.withColumn("outer", F.lit(True)), lambda rows: _strays(rows, p)):
+        rest = _across(deal(_relabel(located, "label", groups)), p)
+        groups.append(components(confirm(rest, sets, p).select(F.col("la").alias("a"), F.col("lb").alias("b"))))
+    out = _relabel(members.withColumn("component_id", F.col("rep")), "component_id", groups)
     return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
+def _relabel(rows: DataFrame, column: str, groups: list[DataFrame]) -> DataFrame:
+    """``column`` replaced by its component, one grouping after the other."""
+    for g in groups:
+        named = g.select(F.col("node").alias(column), F.col("component").alias("_group"))
+        rows = rows.join(named, column, "left").withColumn(column, F.coalesce("_group", column)).drop("_group")
+    return rows
+
+
 def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, p: Forest) -> DataFrame:
     """(rep, members): the sorted full set, as bytes, of each class in ``ids``."""
-    rows = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).join(ids, "rep", "left_semi").dropDuplicates(["rep"])
+    ids = ids.withColumn("h", F.xxhash64("rep"))
+    map_ = bitmap(ids, "h", p.bits)
+    rows = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).withColumn("h", F.xxhash64("rep"))
+
+    def pick(batch: pa.RecordBatch) -> dict:
+        keep = pa.array(marked(map_, batch.column(2).to_numpy().view(np.uint64)))
+        return {"rep": batch.column(0).filter(keep), "text": batch.column(1).filter(keep)}
+
+    rows = map_arrow(rows, pick, "rep long, text string").join(ids.drop("h"), "rep", "left_semi").dropDuplicates(["rep"])
 
     def run(batch: pa.RecordBatch) -> dict:
         values, offsets = shingle_sets(byte_texts(batch.column(1)), p.words)
