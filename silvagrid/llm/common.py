@@ -152,6 +152,14 @@ def binary_array(blobs: list[bytes]) -> pa.Array:
     return pa.array(blobs, pa.binary())
 
 
+def byte_slices(column: pa.Array, kind: type) -> list[np.ndarray]:
+    """The values of a binary column without NULLs as arrays of ``kind``, not copied."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return [raw[s:e].view(kind) for s, e in zip(at[:-1], at[1:])]
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` with a function from batch to a dictionary of columns; empty batches are skipped."""
 
@@ -234,7 +242,7 @@ def _all(conditions: list[Column]) -> Column:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over undirected edges (a, b) of longs.
 
-    Alternates two contractions until nothing changes: every neighbour larger than a node is
+    Alternates two contractions until only stars are left: every neighbour larger than a node is
     linked to the smallest neighbour, then every smaller one. The number of rounds grows with the
     logarithm of the longest path. Each round is staged; the minimum per node is a combining
     aggregate and is joined back, so a node with very many edges is never gathered.
@@ -243,16 +251,21 @@ def components(edges: DataFrame) -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         "edges",
     )
-    before = None
-    while True:
-        both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    while not _stars(now):
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
-        small = joined.select("u", F.col("m").alias("v")).union(joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        now = stage(small, "edges")
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before is not None and tuple(state) == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        before = tuple(state)
+        small = joined.select("u", F.col("m").alias("v")).union(joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")))
+        now = stage(small.distinct(), "edges")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a smaller node that has none itself."""
+    if edges.isEmpty():
+        return True
+    low = edges.select("u", F.lit(1).alias("up")).union(edges.select(F.col("v").alias("u"), F.lit(0).alias("up")).distinct())
+    per = low.groupBy("u").agg(F.sum("up").alias("up"), F.count(F.lit(1)).alias("n"))
+    return per.where("up > 1 or (up = 1 and n > 1)").isEmpty()

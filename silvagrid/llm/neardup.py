@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silvagrid.llm.common import bitmap, byte_texts, components, hash_words, map_arrow, marked, mix, stream
+from silvagrid.llm.common import bitmap, byte_slices, byte_texts, components, hash_words, map_arrow, marked, mix, stream
 from silvagrid.plans.staging import stage
 
 
@@ -188,7 +188,7 @@ def _compare(batch: pa.RecordBatch, p: Forest, best: bool) -> dict:
     flat = lists.flatten()
     cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     rep, n, label, outer = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "label", "outer"))
-    sig = np.frombuffer(b"".join(flat.field("sig").to_pylist()), np.uint8).reshape(len(rep), p.values)
+    sig = np.concatenate([np.zeros(0, np.uint8), *byte_slices(flat.field("sig"), np.uint8)]).reshape(len(rep), p.values)
     found = [np.zeros((0, 3 if best else 4), np.int64)]
     for s, e in zip(cuts[:-1], cuts[1:]):
         ids, m, own = rep[s:e], n[s:e], label[s:e]
@@ -240,8 +240,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, p: Forest) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> dict:
         keep = []
-        for x, y in zip(batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()):
-            joined = np.sort(np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)]))
+        for x, y in zip(byte_slices(batch.column("of_a"), np.uint64), byte_slices(batch.column("of_b"), np.uint64)):
+            joined = np.sort(np.concatenate([x, y]))
             common = int((joined[1:] == joined[:-1]).sum())
             keep.append(100 * common >= p.percent * (len(joined) - common))
         keep = pa.array(keep)
