@@ -14,6 +14,8 @@ from silvagrid.plans.staging import stage
 
 #: Bytes hashed at once; keeps the work arrays in cache.
 PACK_BYTES = 1 << 18
+#: Bytes of text whose word arrays are held at once.
+SLICE_BYTES = 4 << 20
 #: Rows that one bucket of a distributed ranking aims at.
 RANK_ROWS = 50_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -152,6 +154,18 @@ def binary_array(blobs: list[bytes]) -> pa.Array:
     return pa.array(blobs, pa.binary())
 
 
+def slices(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """A batch's texts in order, in parts of about ``SLICE_BYTES``; a longer text is a part by itself."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t) + 1
+        if size >= SLICE_BYTES:
+            yield texts[at : i + 1]
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield texts[at:]
+
+
 def byte_slices(column: pa.Array, kind: type) -> list[np.ndarray]:
     """The values of a binary column without NULLs as arrays of ``kind``, not copied."""
     _, offsets, data = column.buffers()

@@ -14,14 +14,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silvagrid.llm.common import byte_texts, hash_words, stream
+from silvagrid.llm.common import byte_texts, hash_words, slices, stream
 from silvagrid.plans.staging import new_path, stage
 
 #: Hash of the token that ends a text and stands before its first word.
 END = np.uint64(stream(31, 1)[0])
-#: Text bytes worked on at once, and per shard of the model.
-SLICE_BYTES, SHARD_BYTES = 8 << 20, 16 << 20
+#: Text bytes per shard of the model.
+SHARD_BYTES = 16 << 20
 MAX_SHARDS = 20_000
+#: Times from which a word can be heavy, however small the corpus.
+HEAVY = 1000
 
 
 @dataclass(frozen=True)
@@ -67,17 +69,6 @@ def _load(path: str, name: str) -> np.ndarray:
     return np.load(file, mmap_mode=None if empty else "r")
 
 
-def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t) + 1
-        if size >= SLICE_BYTES:
-            yield texts[at : i + 1]
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield texts[at:]
-
-
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, each text closed by END, and each text's offset."""
     words, at = hash_words(texts)
@@ -184,11 +175,11 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     texts = docs.select(F.col(text).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = min(MAX_SHARDS, max(8, -(-size // SHARD_BYTES)))
-    many = max(1000, size // (32 * shards))
+    many = max(HEAVY, size // (32 * shards))
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(byte_texts(batch.column(0))):
+            for part in slices(byte_texts(batch.column(0))):
                 found, counts = np.unique(_tokens(part)[0], return_counts=True)
                 yield _blobs(found, counts, _hash_shard(found, shards))
 
@@ -217,7 +208,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(byte_texts(batch.column(0))):
+            for part in slices(byte_texts(batch.column(0))):
                 before, word = _pairs(*_tokens(part), m)
                 keys, counts = np.unique(before.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64), return_counts=True)
                 yield _blobs(keys, counts, _pair_shard((keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), m))
@@ -348,7 +339,7 @@ def score(docs: DataFrame, m: Model, text: str = "text") -> DataFrame:
             if not batch.num_rows:
                 continue
             n, known, base, full = [], [], [], []
-            for part in _slices(byte_texts(batch.column(text))):
+            for part in slices(byte_texts(batch.column(text))):
                 hashes, offsets = _tokens(part)
                 before, word = _pairs(hashes, offsets, m)
                 counts = _by_number(word, m, "counts")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silvagrid.llm.common import bitmap, byte_slices, byte_texts, components, hash_words, map_arrow, marked, mix, stream
+from silvagrid.llm.common import bitmap, byte_slices, byte_texts, components, hash_words, map_arrow, marked, mix, slices, stream
 from silvagrid.plans.staging import stage
 
 
@@ -26,6 +26,9 @@ class Forest:
     region: int = 16
     #: Share of equal signature values from which a pair is confirmed; 4.5 deviations below 0.85 at 72 values.
     estimate: float = 0.66
+    #: The same for rows outside of a large region's main group: so many more values, 5 deviations.
+    fine_values: int = 1024
+    fine_estimate: float = 0.79
     #: Parts that make a block when rows outside of a large region's main group are compared with all.
     spread: int = 16
     #: Size of the bit map that picks the texts to be confirmed.
@@ -96,19 +99,24 @@ def sketches(docs: DataFrame, key: str, text: str, p: Forest) -> DataFrame:
     """key, n_shingles, two hashes of the whole set, signature (4 bytes a value)."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        values, offsets = shingle_sets(byte_texts(batch.column(1)), p.words)
+        parts = list(zip(*[one(part) for part in slices(byte_texts(batch.column(1)))]))
+        n, lo, hi, sig = (np.concatenate(x) for x in parts)
+        return {
+            "doc_id": batch.column(0),
+            "n": pa.array(n),
+            "lo": _longs(lo),
+            "hi": _longs(hi),
+            "sig": pa.array([s.tobytes() for s in sig], pa.binary()),
+        }
+
+    def one(texts: list[bytes]) -> tuple:
+        values, offsets = shingle_sets(texts, p.words)
         signed = signatures(values, offsets, p.values)
         sums = np.zeros((2, len(offsets)), np.uint64)
         for row, v in zip(sums, (mix(values), mix(values ^ np.uint64(0x5DEECE66D)))):
             np.cumsum(v, out=v)
             row[1:] = np.concatenate([[np.uint64(0)], v])[offsets[1:]]
-        return {
-            "doc_id": batch.column(0),
-            "n": pa.array(np.diff(offsets)),
-            "lo": _longs(np.diff(sums[0])),
-            "hi": _longs(np.diff(sums[1])),
-            "sig": pa.array([s.tobytes() for s in signed], pa.binary()),
-        }
+        return np.diff(offsets), np.diff(sums[0]), np.diff(sums[1]), signed
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return map_arrow(rows, run, "doc_id long, n long, lo long, hi long, sig binary")
@@ -165,15 +173,16 @@ def regions(classes: DataFrame, p: Forest) -> DataFrame:
 def _likely(located: DataFrame, p: Forest) -> DataFrame:
     """(a, b, equal): for each row of a region the row with the most equal signature values, if enough."""
     gathered = _gather(located.withColumn("outer", F.lit(True)))
-    return map_arrow(gathered, lambda batch: _compare(batch, p, True), "a long, b long, equal long")
+    return map_arrow(gathered, lambda batch: _compare(batch, p, True, p.values, p.estimate), "a long, b long, equal long")
 
 
-def _across(located: DataFrame, p: Forest) -> DataFrame:
+def _across(located: DataFrame, p: Forest, values: int, estimate: float) -> DataFrame:
     """(a, b, la, lb): pairs of a region with similar signatures and different labels.
 
     Rows with ``outer`` are compared with all others, the rest not among themselves.
     """
-    found = map_arrow(_gather(located), lambda batch: _compare(batch, p, False), "a long, b long, la long, lb long")
+    schema = "a long, b long, la long, lb long"
+    found = map_arrow(_gather(located), lambda batch: _compare(batch, p, False, values, estimate), schema)
     return found.distinct()
 
 
@@ -182,13 +191,13 @@ def _gather(located: DataFrame) -> DataFrame:
     return located.groupBy("region", "part").agg(rows).where(F.size("rows") > 1).select("rows")
 
 
-def _compare(batch: pa.RecordBatch, p: Forest, best: bool) -> dict:
-    least = int(np.ceil(p.estimate * p.values))
+def _compare(batch: pa.RecordBatch, p: Forest, best: bool, values: int, estimate: float) -> dict:
+    least = int(np.ceil(estimate * values))
     lists = batch.column(0)
     flat = lists.flatten()
     cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     rep, n, label, outer = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "label", "outer"))
-    sig = np.concatenate([np.zeros(0, np.uint8), *byte_slices(flat.field("sig"), np.uint8)]).reshape(len(rep), p.values)
+    sig = np.concatenate([np.zeros(0, np.uint8), *byte_slices(flat.field("sig"), np.uint8)]).reshape(len(rep), values)
     found = [np.zeros((0, 3 if best else 4), np.int64)]
     for s, e in zip(cuts[:-1], cuts[1:]):
         ids, m, own = rep[s:e], n[s:e], label[s:e]
@@ -211,13 +220,23 @@ def _compare(batch: pa.RecordBatch, p: Forest, best: bool) -> dict:
     return {k: pa.array(c) for k, c in zip(names, np.concatenate(found).T)}
 
 
-def _strays(located: DataFrame, p: Forest) -> DataFrame:
+def _fine(reps: DataFrame, sets: DataFrame, p: Forest) -> DataFrame:
+    """(rep, sig): a long signature, one byte a value, of the sets of ``reps``."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        members = byte_slices(batch.column(1), np.uint64)
+        signed = signatures(np.concatenate(members), np.cumsum([0, *map(len, members)]), p.fine_values).astype(np.uint8)
+        return {"rep": batch.column(0), "sig": pa.array([s.tobytes() for s in signed], pa.binary())}
+
+    return map_arrow(sets.join(reps, "rep", "left_semi"), run, "rep long, sig binary")
+
+
+def _strays(dealt: DataFrame, p: Forest) -> DataFrame:
     """Rows of regions that were dealt into parts, dealt again so that each row outside of its
     region's largest group meets every row of the region.
 
     Blocks of such rows meet blocks of all rows, both bounded; nothing is done where a region is one group.
     """
-    dealt = located.where("parts > 1")
     sizes = dealt.groupBy("region", "label").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("region").agg(F.max(F.struct("c", "label")).alias("x")).select("region", F.col("x.label").alias("main"))
     rows = dealt.join(main, "region").withColumn("blocks", F.ceil(F.col("parts") / p.spread).cast("int"))
@@ -277,19 +296,26 @@ def near_duplicates(docs: DataFrame, p: Forest = Forest(), key: str = "doc_id",
     located = placed.join(short, "rep").withColumn("label", F.col("rep"))
     partner = _likely(located, p).groupBy("a").agg(F.max(F.struct("equal", (-F.col("b")).alias("b"))).alias("x"))
     partner = stage(partner.select("a", (-F.col("x.b")).alias("b")), "partners")
-    ids = partner.select(F.col("a").alias("rep")).union(partner.select(F.col("b").alias("rep"))).distinct()
+    dealt = located.where("parts > 1")
+    ids = partner.select(F.col("a").alias("rep")).union(partner.select(F.col("b").alias("rep"))).union(dealt.select("rep")).distinct()
     sets = stage(_sets(docs, ids, key, text, p), "sets")
     pairs = partner.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     groups = [components(confirm(pairs, sets, p))]
-    for deal in (lambda rows: rows.withColumn("outer", F.lit(True)), lambda rows: _strays(rows, p)):
-        rest = _across(deal(_relabel(located, "label", groups)), p)
-        groups.append(components(confirm(rest, sets, p).select(F.col("la").alias("a"), F.col("lb").alias("b"))))
+    rest = _across(_relabel(located, "label", groups).withColumn("outer", F.lit(True)), p, p.values, p.estimate)
+    groups.append(components(_label_links(confirm(rest, sets, p))))
+    fine = stage(_fine(dealt.select("rep").distinct(), sets, p), "fine")
+    strays = _strays(_relabel(dealt.drop("sig").join(fine, "rep"), "label", groups), p)
+    groups.append(components(_label_links(confirm(_across(strays, p, p.fine_values, p.fine_estimate), sets, p))))
     out = _relabel(members.withColumn("component_id", F.col("rep")), "component_id", groups)
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
+def _label_links(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("la").alias("a"), F.col("lb").alias("b"))
+
+
 def _relabel(rows: DataFrame, column: str, groups: list[DataFrame]) -> DataFrame:
     """``column`` replaced by its component, one grouping after the other."""
     for g in groups:
@@ -311,8 +337,10 @@ def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, p: Forest) -> Da
     rows = map_arrow(rows, pick, "rep long, text string").join(ids.drop("h"), "rep", "left_semi").dropDuplicates(["rep"])
 
     def run(batch: pa.RecordBatch) -> dict:
-        values, offsets = shingle_sets(byte_texts(batch.column(1)), p.words)
-        blobs = [values[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:])]
+        blobs = []
+        for part in slices(byte_texts(batch.column(1))):
+            values, offsets = shingle_sets(part, p.words)
+            blobs += [values[s:e].tobytes() for s, e in zip(offsets[:-1], offsets[1:])]
         return {"rep": batch.column(0), "members": pa.array(blobs, pa.binary())}
 
     return map_arrow(rows, run, "rep long, members binary")

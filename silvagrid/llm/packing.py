@@ -19,31 +19,32 @@ END_ID = 0
 SPECIAL = "<|endoftext|>"
 
 
-@lru_cache(maxsize=2)
-def _encoders(path: str):
-    """The tokenizer file, and the same vocabulary as ranks, five times as fast.
-
-    Both give the same ids for ordinary text (a test compares them); texts that hold the special
-    token's string go to the former.
-    """
-    import tiktoken
+@lru_cache(maxsize=1)
+def _by_file(path: str):
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(path)
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(maxsize=1)
+def _by_ranks(path: str):
+    """The same vocabulary as ranks, five times as fast; None where the library or its file is missing."""
     try:
         import public_tokenizers
+        import tiktoken
 
         with open(path.removesuffix(".json") + ".tiktoken", "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     except (ImportError, FileNotFoundError):
-        fast = None
-    return slow, fast
+        return None
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_ids(text: str, path: str) -> np.ndarray:
-    slow, fast = _encoders(path)
-    ids = fast.encode_ordinary(text) if fast and SPECIAL not in text else slow.encode(text, add_special_tokens=False).ids
+    """Ids of a text and the end id. Ordinary text gets the same ids from the ranks as from the file (a test
+    compares them); texts with the special token's string go to the file's tokenizer."""
+    fast = _by_ranks(path) if SPECIAL not in text else None
+    ids = fast.encode_ordinary(text) if fast else _by_file(path).encode(text, add_special_tokens=False).ids
     return np.array([*ids, END_ID], "<u4")
 
 

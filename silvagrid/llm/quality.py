@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silvagrid.llm.common import byte_texts, id_crc, map_arrow, span_hashes, stream, word_arrays
+from silvagrid.llm.common import byte_texts, id_crc, map_arrow, slices, span_hashes, stream, word_arrays
 
 
 @dataclass(frozen=True)
@@ -87,15 +87,16 @@ def word_vectors(docs: DataFrame, text: str = "text", p: Quality = Quality()) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size)
         for batch in batches:
-            buckets, offsets = bucket_streams(byte_texts(batch.column(0)), p)
-            owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-            for gap in range(1, p.reach + 1):
-                both = owner[gap:] == owner[:-gap]
-                for k in range(2):
-                    left, right = buckets[:-gap, k][both], buckets[gap:, k][both]
-                    for x, y in ((left, right), (right, left)):
-                        for e in range(p.entries):
-                            total += np.bincount(x * p.length + places[y, e], signs[y, e], size)
+            for part in slices(byte_texts(batch.column(0))):
+                buckets, offsets = bucket_streams(part, p)
+                owner = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+                for gap in range(1, p.reach + 1):
+                    both = owner[gap:] == owner[:-gap]
+                    for k in range(2):
+                        left, right = buckets[:-gap, k][both], buckets[gap:, k][both]
+                        for x, y in ((left, right), (right, left)):
+                            for e in range(p.entries):
+                                total += np.bincount(x * p.length + places[y, e], signs[y, e], size)
         rows = total.reshape(p.buckets, p.length)
         filled = np.flatnonzero(rows.any(axis=1))
         values = pa.array(rows[filled].astype(np.int64).ravel())
@@ -114,6 +115,10 @@ def word_vectors(docs: DataFrame, text: str = "text", p: Quality = Quality()) ->
 
 def pool(texts: list[bytes], vectors: np.ndarray, p: Quality) -> np.ndarray:
     """texts x (2 * length): means of word and of shape vectors; zeros for a text without words."""
+    return np.concatenate([np.zeros((0, 2 * p.length), np.float32), *(_pool(part, vectors, p) for part in slices(texts))])
+
+
+def _pool(texts: list[bytes], vectors: np.ndarray, p: Quality) -> np.ndarray:
     buckets, offsets = bucket_streams(texts, p)
     out = np.zeros((len(texts), 2 * p.length), np.float32)
     filled = np.flatnonzero(np.diff(offsets))
