@@ -24,7 +24,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that occurred in an earlier one."""
-    return linededup.drop_repeated_lines(docs)
+    return linededup.drop_repeated_lines(docs, linededup.Chunking(any_line=True))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -97,4 +97,4 @@ def op9_random_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the text that is left and what was taken out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linededup.drop_repeated_lines(docs)
+    return linededup.drop_repeated_lines(docs, linededup.Chunking(any_line=True))

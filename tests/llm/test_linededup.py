@@ -73,6 +73,45 @@ def test_all_chunks_against_brute_force(spark, documents):
     assert got == want and got != texts
 
 
+def test_short_lines_of_repeated_passages_go(spark):
+    """Passages of 60 words in lines of under 50, between lines of unrelated documents."""
+    rnd = random.Random(12)
+    rows, want = {}, {}
+    for case in range(40):
+        n = (2, 3, 4, 6)[case % 4]
+        passage = [words(rnd, 60 // n) for _ in range(n)]
+        for k in (2 * case, 2 * case + 1):
+            before, after = ([words(rnd, rnd.randrange(3, 14)) for _ in range(rnd.randrange(4))] for _ in range(2))
+            rows[k] = "\n".join([*before, *passage, *after])
+            want[k] = rows[k] if k % 2 == 0 else "\n".join([*before, *after])
+    line, pair = words(rnd, 15), [words(rnd, 9) for _ in range(2)]
+    rows[100], want[100] = "\n".join([line] * 6), "\n".join([line] * 2)
+    for k in (101, 102):  # too few words
+        rows[k] = want[k] = "\n".join([words(rnd, 9), *pair, words(rnd, 9)])
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    assert texts_of(linededup.drop_repeated_lines(df, linededup.Chunking(any_line=True))) == want
+
+
+def test_no_run_that_occurred_before_is_left(spark, documents):
+    got, seen, want = texts_of(linededup.drop_repeated_lines(documents, linededup.Chunking(any_line=True))), {}, {}
+    texts = texts_of(documents)
+    for k in sorted(texts):
+        lines, gone = texts[k].split("\n"), set()
+        for s in range(len(lines)):
+            size = 0
+            for e in range(s + 1, len(lines) + 1):
+                size += lines[e - 1].count(" ") + 1
+                if size >= 50 or e - s > 1 and size >= 20:
+                    doc, at = seen.setdefault("\n".join(lines[s:e]), (k, s))
+                    if (doc, at) == (k, s):
+                        break  # nor did any longer run occur
+                    gone |= set(range(max(s, at + e - s) if doc == k else s, e))
+        want[k] = [x for i, x in enumerate(lines) if i not in gone]
+    for k, lines in want.items():
+        left = iter(lines)
+        assert all(x in left for x in got[k].split("\n")) or got[k] == ""
+
+
 def test_odd_rows(odd, none):
     out = linededup.drop_repeated_lines(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
