@@ -141,18 +141,19 @@ def _prefixes(classes: DataFrame, p: Forest) -> DataFrame:
 
 
 def regions(classes: DataFrame, p: Forest) -> DataFrame:
-    """(region, part, parts, rep): classes with a common signature prefix, at most about ``p.region`` each.
+    """(region, part, parts, rep, wide): classes with a common signature prefix, at most about ``p.region`` each.
 
     In each tree a class lies in the region of its first ``p.first`` values. A region with more
     rows is divided by further values, each row going to the shallowest region small enough.
     Where even that fails, or leaves a row alone, the deepest large region is dealt into random
-    parts: its rows agree in so many values that any of them are neighbours.
+    parts: its rows agree in so many values that any of them are neighbours. ``wide`` is the region
+    of the first values if that was divided.
     """
     trees = _prefixes(classes, p)
     first = f"d{p.first}"
     many = trees.groupBy(first).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     shared = stage(trees.join(many, first), "trees")
-    small = shared.where(F.col("c") <= p.region).select(F.col(first).alias("region"), F.lit(0).alias("part"), F.lit(1).alias("parts"), "rep")
+    small = shared.where(F.col("c") <= p.region).select(F.col(first).alias("region"), F.lit(0).alias("part"), F.lit(1).alias("parts"), "rep", F.lit(None).cast("long").alias("wide"))
     deeper = [F.struct(F.lit(d).alias("level"), F.col(f"d{d}").alias("h")) for d in range(p.first + 1, p.depth + 1)]
     deep = shared.where(F.col("c") > p.region).select("rep", first, "c", F.explode(F.array(*deeper)).alias("x"))
     deep = deep.select("rep", first, "c", "x.level", "x.h")
@@ -164,12 +165,20 @@ def regions(classes: DataFrame, p: Forest) -> DataFrame:
     )
     region = F.coalesce("fit.h", "big.h", first)
     size = F.when(F.col("fit").isNull(), F.coalesce("big.m", "c")).otherwise(1)
-    large = picked.select(region.alias("region"), F.ceil(size / p.region).cast("int").alias("parts"), "rep")
+    large = picked.select(region.alias("region"), F.ceil(size / p.region).cast("int").alias("parts"), "rep", F.col(first).alias("wide"))
     part = F.pmod(F.xxhash64("rep", "region"), F.col("parts")).cast("int")
-    large = large.select("region", part.alias("part"), "parts", "rep")
+    large = large.select("region", part.alias("part"), "parts", "rep", "wide")
     return small.unionByName(large)
 
 
+def _wide(placed: DataFrame, p: Forest) -> DataFrame:
+    """(region, part, parts, rep): the rows of each region that was divided, by the first ``p.first`` values again."""
+    rows = placed.where("wide is not null").select(F.col("wide").alias("region"), "rep")
+    sizes = rows.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / p.region).cast("int").alias("parts"))
+    rows = rows.join(sizes, "region")
+    return rows.select("region", F.pmod(F.xxhash64("rep", "region"), F.col("parts")).cast("int").alias("part"), "parts", "rep")
+
+
 def _likely(located: DataFrame, p: Forest) -> DataFrame:
     """(a, b, equal): for each row of a region the row with the most equal signature values, if enough."""
     gathered = _gather(located.withColumn("outer", F.lit(True)))
@@ -231,21 +240,27 @@ def _fine(reps: DataFrame, sets: DataFrame, p: Forest) -> DataFrame:
     return map_arrow(sets.join(reps, "rep", "left_semi"), run, "rep long, sig binary")
 
 
-def _strays(dealt: DataFrame, p: Forest) -> DataFrame:
-    """Rows of regions that were dealt into parts, dealt again so that each row outside of its
-    region's largest group meets every row of the region.
+def _mixed(wide: DataFrame) -> DataFrame:
+    """The rows of regions that are not one group."""
+    labels = wide.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    return wide.join(labels.select("region"), "region", "left_semi")
+
+
+def _strays(wide: DataFrame, p: Forest) -> DataFrame:
+    """Rows of regions that were divided, dealt again so that each row outside of its region's
+    largest group meets every row of the region.
 
     Blocks of such rows meet blocks of all rows, both bounded; nothing is done where a region is one group.
     """
-    sizes = dealt.groupBy("region", "label").agg(F.count(F.lit(1)).alias("c"))
-    main = sizes.groupBy("region").agg(F.max(F.struct("c", "label")).alias("x")).select("region", F.col("x.label").alias("main"))
-    rows = dealt.join(main, "region").withColumn("blocks", F.ceil(F.col("parts") / p.spread).cast("int"))
+    sizes = wide.groupBy("region", "label").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("region").agg(F.max(F.struct("c", "label")).alias("x"), F.sum("c").alias("all"))
+    mine = F.ceil((F.col("all") - F.col("x.c")) / (p.region * p.spread)).cast("int")
+    main = main.where(F.col("all") > F.col("x.c")).select("region", F.col("x.label").alias("main"), mine.alias("groups"))
+    rows = wide.join(main, "region").withColumn("blocks", F.ceil(F.col("parts") / p.spread).cast("int"))
     rows = rows.withColumn("block", F.pmod("part", F.col("blocks")))
-    stray = rows.where("label <> main")
-    some = stray.select("region", F.col("block").alias("mine")).distinct()
-    every = rows.join(some, "region").withColumn("outer", F.lit(False))
-    ahead = stray.withColumn("mine", F.col("block")).withColumn("outer", F.lit(True))
-    ahead = ahead.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    every = rows.withColumn("outer", F.lit(False)).withColumn("mine", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    ahead = rows.where("label <> main").withColumn("mine", F.pmod(F.xxhash64("region", "rep"), F.col("groups")).cast("int"))
+    ahead = ahead.withColumn("outer", F.lit(True)).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     both = every.unionByName(ahead, allowMissingColumns=True)
     return both.withColumn("part", F.struct("mine", "block")).select("region", "part", "rep", "n", "label", "outer", "sig")
 
@@ -275,8 +290,8 @@ def near_duplicates(docs: DataFrame, p: Forest = Forest(), key: str = "doc_id",
     Rows with equal sets form a class (128 bits of hash and the size agree) and are linked through
     its smallest id. Classes meet in the regions of the forest. First each class is linked with its
     likeliest partner; then all pairs of a region that still lie in different groups are confirmed
-    too. At last, in regions too large for that, rows still outside of the main group are
-    compared with all rows of the region. Pairs inside a group are left out, so a large group of
+    too. At last, in regions that were divided, rows still outside of the main group are compared
+    with all rows that agree in the first values, wherever these went. Pairs inside a group are left out, so a large group of
     copies costs a few pairs per row, not their square.
 
     Empty sets are linked with nothing. Repeated rows are kept, each with its group. A NULL id is
@@ -296,15 +311,17 @@ def near_duplicates(docs: DataFrame, p: Forest = Forest(), key: str = "doc_id",
     located = placed.join(short, "rep").withColumn("label", F.col("rep"))
     partner = _likely(located, p).groupBy("a").agg(F.max(F.struct("equal", (-F.col("b")).alias("b"))).alias("x"))
     partner = stage(partner.select("a", (-F.col("x.b")).alias("b")), "partners")
-    dealt = located.where("parts > 1")
-    ids = partner.select(F.col("a").alias("rep")).union(partner.select(F.col("b").alias("rep"))).union(dealt.select("rep")).distinct()
+    wide = stage(_wide(placed, p), "wide")
+    ids = partner.select(F.col("a").alias("rep")).union(partner.select(F.col("b").alias("rep"))).union(wide.select("rep")).distinct()
     sets = stage(_sets(docs, ids, key, text, p), "sets")
     pairs = partner.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     groups = [components(confirm(pairs, sets, p))]
     rest = _across(_relabel(located, "label", groups).withColumn("outer", F.lit(True)), p, p.values, p.estimate)
     groups.append(components(_label_links(confirm(rest, sets, p))))
-    fine = stage(_fine(dealt.select("rep").distinct(), sets, p), "fine")
-    strays = _strays(_relabel(dealt.drop("sig").join(fine, "rep"), "label", groups), p)
+    wide = wide.join(classes.select("rep", "n"), "rep").withColumn("label", F.col("rep"))
+    mixed = stage(_mixed(_relabel(wide, "label", groups)), "mixed")
+    fine = stage(_fine(mixed.select("rep").distinct(), sets, p), "fine")
+    strays = _strays(mixed.join(fine, "rep"), p)
     groups.append(components(_label_links(confirm(_across(strays, p, p.fine_values, p.fine_estimate), sets, p))))
     out = _relabel(members.withColumn("component_id", F.col("rep")), "component_id", groups)
     return out.select(

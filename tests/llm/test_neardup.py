@@ -69,6 +69,23 @@ def test_large_group_of_near_copies(spark):
     assert found(neardup.near_duplicates(df, neardup.Forest(region=4, spread=2))) == exact(texts)
 
 
+def test_star_of_rows_just_similar_enough(spark):
+    """Each row is near to one base only; those that leave its regions early are found too."""
+    rnd = random.Random(7)
+    base = [f"w{i}" for i in range(135)]
+    texts = {0: " ".join(base)}
+    for i in range(1, 1501):
+        words = list(base)
+        for at in (rnd.randrange(5, 60), rnd.randrange(70, 125)):
+            words[at] = f"n{rnd.randrange(10**9)}"
+        texts[i] = " ".join(words)
+    sets = {i: shingles(t) for i, t in texts.items()}
+    assert all(0.85 <= len(s & sets[0]) / len(s | sets[0]) < 0.87 for i, s in sets.items() if i)
+    assert len(sets[1] & sets[2]) < 0.85 * len(sets[1] | sets[2])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {i for i, (_, c, _) in found(neardup.near_duplicates(df)).items() if c != 0} == set()
+
+
 def test_odd_rows(odd, none):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == odd.count()
