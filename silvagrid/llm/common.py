@@ -142,6 +142,30 @@ def hash_words(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.n
     return word_arrays(texts, lambda raw, starts, ends: span_hashes(raw, starts, ends, lower))
 
 
+# ---------------------------------------------------------------- words as bytes
+
+
+def folding(digits: bool, lines: bool = False) -> bytes:
+    """Byte table: A-Z become a-z, letters and all bytes from 0x80 on stay, digits and line ends if
+    asked for, the rest becomes spaces. Words are then what stands between spaces."""
+    out = bytearray(b" " * 128) + bytes(range(128, 256))
+    for b in (*range(97, 123), *(range(48, 58) if digits else ()), *((10,) if lines else ())):
+        out[b] = b
+    for b in range(65, 91):
+        out[b] = b + 32
+    return bytes(out)
+
+
+def word_lists(text: bytes, table: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words of a text in order, in lists of some ``size`` bytes, so that a long text is never a list as a whole."""
+    data, at = text.translate(table), 0
+    while at < len(data):
+        end = data.find(b" ", at + size)
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end
+
+
 # ---------------------------------------------------------------- Arrow
 
 

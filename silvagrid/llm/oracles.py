@@ -2,4 +2,36 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+#: A-Z lowered, all other characters as they are.
+_LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP12 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+words AS (SELECT id, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 3),
+langs AS (SELECT l.lang, count(k.term) AS v, coalesce(sum(k.n), 0)::HUGEINT AS total
+          FROM (SELECT DISTINCT lang FROM docs) l LEFT JOIN kept k USING (lang) GROUP BY l.lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT g.lang, g.source, any_value(l.v) AS v, any_value(l.total) AS lang_total, coalesce(sum(c.n), 0)::HUGEINT AS total
+           FROM (SELECT DISTINCT lang, source FROM docs) g JOIN langs l USING (lang) LEFT JOIN counts c USING (lang, source)
+           GROUP BY g.lang, g.source),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+                 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (g.total + g.v) AS p,
+                 1 + 1000000000::HUGEINT * (k.n + 1) // (g.lang_total + g.v) AS q
+          FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM cells WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank FROM found)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLES: dict[str, str] = {"op12_pattern_tree_divergence": _OP12}

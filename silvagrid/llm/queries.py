@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silvagrid.llm import decontaminate, language, linededup, lm, media, neardup, packing, pages, quality, shards
+from silvagrid.llm import decontaminate, divergence, language, linededup, lm, media, neardup, packing, pages, quality, shards
 from silvagrid.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,8 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the text that is left and what was taken out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return linededup.drop_repeated_lines(docs, linededup.Chunking(any_line=True))
+
+
+@query
+def op12_pattern_tree_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit_sources(table(spark, sf_dir, "documents"))
