@@ -34,4 +34,47 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """
 
-ORACLES: dict[str, str] = {"op12_pattern_tree_divergence": _OP12}
+_OP13 = rf"""
+WITH steps AS (
+  SELECT n, list_reduce([n] || list_transform(range(8), lambda x: 0::BIGINT),
+                        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+  FROM (SELECT unnest(range(256))::BIGINT AS n)),
+crc_table AS (SELECT list(c ORDER BY n) AS c FROM steps),
+docs AS (
+  SELECT row_number() OVER () AS id, doc_id,
+         regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+target AS (SELECT unnest(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+words AS (SELECT id, unnest(words) AS word FROM docs),
+corpus AS (SELECT word, count(*) AS n FROM words GROUP BY word),
+goal AS (SELECT word, count(*) AS n FROM target GROUP BY word),
+distinct_words AS (SELECT word, hex(word) AS h FROM (SELECT word FROM corpus UNION SELECT word FROM goal)),
+placed AS (
+  SELECT word, xor(list_reduce(
+           [4294967295::BIGINT] || list_transform(range(len(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+           lambda c, b: xor(c >> 8, crc_table.c[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM distinct_words, crc_table),
+s AS (SELECT bucket, sum(n)::BIGINT AS n FROM corpus JOIN placed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::BIGINT AS n FROM goal JOIN placed USING (word) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s)::DOUBLE AS s, (SELECT coalesce(sum(n), 0) FROM t)::DOUBLE AS t),
+gains AS (
+  SELECT p.word, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (totals.s + 10000)
+                                 / ((coalesce(s.n, 0) + 1)::DOUBLE * (totals.t + 10000))))::BIGINT AS gain
+  FROM placed p LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), totals),
+sums AS (SELECT id, count(*) AS n, sum(gain)::HUGEINT AS gain FROM words JOIN gains USING (word) GROUP BY id),
+weighed AS (
+  SELECT d.doc_id, coalesce(w.n, 0)::BIGINT AS n_features,
+         CASE WHEN w.n IS NULL THEN 0 ELSE (w.gain - ((w.gain % w.n) + w.n) % w.n) // w.n END::BIGINT AS weight,
+         ('0x' || left(sha256('2024:' || coalesce(d.doc_id::VARCHAR, '')), 8))::BIGINT AS h
+  FROM docs d LEFT JOIN sums w USING (id)),
+scored AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM weighed),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+         (SELECT count(*) FROM scored WHERE n_features >= 20) AS eligible
+  FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * eligible // 100 THEN place END AS rank
+FROM ranked
+"""
+
+ORACLES: dict[str, str] = {"op12_pattern_tree_divergence": _OP12, "op13_segment_resampling": _OP13}

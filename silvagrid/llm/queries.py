@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silvagrid.llm import decontaminate, divergence, language, linededup, lm, media, neardup, packing, pages, quality, shards
+from silvagrid.llm import decontaminate, divergence, language, linededup, lm, media, neardup, packing, pages, quality, resample, shards
 from silvagrid.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,3 +103,8 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_pattern_tree_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_segment_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
