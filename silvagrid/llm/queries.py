@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silvagrid.llm import decontaminate, divergence, language, linededup, lm, media, neardup, packing, pages, quality, resample, shards
+from silvagrid.llm import decontaminate, divergence, language, licenses, linededup, lm, media, neardup, packing, pages, quality, resample, shards
 from silvagrid.llm.common import id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,11 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(docs, linededup.Chunking(any_line=True))
 
 
+@query
+def op11_positional_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_pattern_tree_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit_sources(table(spark, sf_dir, "documents"))
