@@ -45,6 +45,11 @@ def _arrays_of() -> tuple[Callable, Callable]:
     return unpack, pack
 
 
+def unpack_tiles() -> Callable:
+    """The function that opens an Arrow column of tiles as float arrays, NaN for NULL."""
+    return _arrays_of()[0]
+
+
 def tile_map(tiles: DataFrame, fn: Callable) -> DataFrame:
     """Apply ``fn(array (h, w) of float, NaN nodata) -> array (h, w)`` to each tile."""
     unpack, pack = _arrays_of()
@@ -92,20 +97,15 @@ def _strip(i: int, j: int, radius: int) -> tuple[Column, Column]:
     return F.flatten(F.transform(lines, lambda y: F.slice("dn", y * F.col("w") + c0 + 1, cols))), cols
 
 
-def tile_map_halo(
-    tiles: DataFrame, fn: Callable, radius: int, size: int, params: Sequence[str] = ()
-) -> DataFrame:
-    """Apply ``fn(padded, *params) -> array (h, w)`` where ``padded`` is the tile with a
-    border of ``radius`` cells from its neighbours, NaN where there is none, and
-    ``params`` names further number columns of the tile.
+def halo_pieces(tiles: DataFrame, radius: int, params: Sequence[str] = ()) -> DataFrame:
+    """Each tile and its eight edge strips, keyed by the tile that needs them: ``scene_id, tile_r, tile_c, side, h, w, dn``
+    and ``params``.
 
-    Each tile sends itself and eight edge strips. They meet by one exchange and one sort on the
-    tile key, at most nine rows per tile, and are put together in Arrow batches. Only the last tile row and column of a
-    scene may be smaller than ``size``.
+    ``side`` is 3 times the row step plus the column step of where the piece lies, 4 for the tile itself;
+    ``h`` and ``params`` are set for the tile itself only.
     """
-    if not 0 < radius <= size:
-        raise ValueError("radius must be at most the tile side")
     steps = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+
     # a strip sent in direction (i, j) is the receiver's border on the opposite side
     def send(i: int, j: int) -> Column:
         own = (i, j) == (0, 0)
@@ -121,7 +121,23 @@ def tile_map_halo(
         )
 
     sent = F.array(*[send(i, j) for i, j in steps])
-    pieces = tiles.select("scene_id", F.explode(sent).alias("p")).select("scene_id", "p.*")
+    return tiles.select("scene_id", F.explode(sent).alias("p")).select("scene_id", "p.*")
+
+
+def tile_map_halo(
+    tiles: DataFrame, fn: Callable, radius: int, size: int, params: Sequence[str] = ()
+) -> DataFrame:
+    """Apply ``fn(padded, *params) -> array (h, w)`` where ``padded`` is the tile with a
+    border of ``radius`` cells from its neighbours, NaN where there is none, and
+    ``params`` names further number columns of the tile.
+
+    Each tile sends itself and eight edge strips. They meet by one exchange and one sort on the
+    tile key, at most nine rows per tile, and are put together in Arrow batches. Only the last tile row and column of a
+    scene may be smaller than ``size``.
+    """
+    if not 0 < radius <= size:
+        raise ValueError("radius must be at most the tile side")
+    pieces = halo_pieces(tiles, radius, params)
     key = ["scene_id", "tile_r", "tile_c"]
     framed = pieces.repartition(*key).sortWithinPartitions(*key)
     unpack, pack = _arrays_of()

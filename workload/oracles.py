@@ -3,7 +3,7 @@ Spark plans: neighbourhoods are joins on offsets, regions a recursive query."""
 
 from __future__ import annotations
 
-from workload.queries import CUT, KERNEL, MIN_PX, NODATA_BELOW, SWAPPED_AFFINE
+from workload.queries import CUT, KERNEL, MIN_PX, NODATA_BELOW, PATCH, REACH, SWAPPED_AFFINE
 
 PX = """px AS MATERIALIZED (
   SELECT CAST(vec_id // 100 AS INT) AS scene_id,
@@ -168,13 +168,52 @@ MERGED = """CAST(sum(n_px) AS BIGINT) AS n_px, sum(dn_sum) / sum(n_px) AS dn_mea
   max(dn_max) AS dn_max, CAST(sum(n_forest) AS BIGINT) AS n_forest"""
 ZSUM = """zsum AS (SELECT scene_id, zone_id, count(dn) AS n_px, sum(dn)::DOUBLE AS dn_sum, min(dn) AS dn_min, max(dn) AS dn_max,
   sum(cls) AS n_forest FROM cls GROUP BY ALL)"""
-PAIRS = """pairs AS (SELECT DISTINCT scene_id FROM px WHERE scene_id + 1 IN (SELECT scene_id FROM px)),
-was AS (SELECT scene_id, r, c FROM mask WHERE scene_id IN (SELECT scene_id FROM pairs)),
-now AS (SELECT CAST(scene_id - 1 AS INT) AS scene_id, r, c FROM mask WHERE scene_id - 1 IN (SELECT scene_id FROM pairs))"""
+TWINS = """twins AS MATERIALIZED (
+  SELECT scene_id, r, c, dn FROM px UNION ALL
+  SELECT CAST(scene_id + 1000 AS INT), CAST(r + scene_id % 5 - 2 AS INT), CAST(c + scene_id % 3 - 1 AS INT),
+         CASE WHEN dn >= 40 THEN CAST(dn * 3 // 4 + 20 AS INT) END
+  FROM px WHERE r + scene_id % 5 - 2 >= 0 AND c + scene_id % 3 - 1 >= 0
+), twin_pairs AS (
+  SELECT scene_id AS scene_a, CAST(unnest([scene_id + 1000, scene_id + 1]) AS INT) AS scene_b FROM (SELECT DISTINCT scene_id FROM px)
+)"""
+#: Correlation of every tile with the other scene at every shift, cell by cell.
+SHIFTS = f"""tried AS MATERIALIZED (
+  SELECT p.scene_a, p.scene_b, CAST(a.r // {PATCH} AS INT) AS tile_r, CAST(a.c // {PATCH} AS INT) AS tile_c,
+         CAST(y.i AS INT) AS dr, CAST(x.i AS INT) AS dc, count(*) AS n, sum(a.dn) AS sa, sum(b.dn) AS sb,
+         sum(a.dn * a.dn) AS saa, sum(b.dn * b.dn) AS sbb, sum(a.dn * b.dn) AS sab
+  FROM twin_pairs p JOIN twins a ON a.scene_id = p.scene_a, range(-{REACH}, {REACH + 1}) y(i), range(-{REACH}, {REACH + 1}) x(i), twins b
+  WHERE b.scene_id = p.scene_b AND b.r = a.r + y.i AND b.c = a.c + x.i AND a.dn IS NOT NULL AND b.dn IS NOT NULL
+  GROUP BY ALL
+), valid AS (SELECT scene_id AS scene_a, r // {PATCH} AS tile_r, c // {PATCH} AS tile_c, count(dn) AS cells FROM twins GROUP BY ALL
+), scored AS (
+  SELECT t.*, (n * sab - sa * sb)::DOUBLE / sqrt((n * saa - sa * sa)::DOUBLE * (n * sbb - sb * sb)::DOUBLE) AS score
+  FROM tried t JOIN valid USING (scene_a, tile_r, tile_c) WHERE 2 * n >= cells AND n * saa > sa * sa AND n * sbb > sb * sb
+), tile_best AS (
+  SELECT * FROM scored
+  QUALIFY row_number() OVER (PARTITION BY scene_a, scene_b, tile_r, tile_c ORDER BY score DESC, abs(dr) + abs(dc), dr, dc) = 1
+)"""
 CONF = "conf AS (SELECT scene_id, cls, truth, count(*) AS n FROM cls GROUP BY ALL)"
 CELLS = "scene_id, r, c"
 
 ORACLES: dict[str, str] = {
+    # registration
+    "tile_shifts": w(
+        PX, TWINS, SHIFTS,
+        select="SELECT scene_a, scene_b, tile_r, tile_c, dr, dc, round(score, 9) AS score, n FROM tile_best",
+    ),
+    "register_shift": w(
+        PX, TWINS, SHIFTS,
+        "votes AS (SELECT scene_a, scene_b, dr, dc, count(*) AS votes FROM tile_best WHERE score >= 0.5 GROUP BY ALL)",
+        """won AS (SELECT *, CAST(sum(votes) OVER (PARTITION BY scene_a, scene_b) AS BIGINT) AS n_tiles FROM votes
+  QUALIFY row_number() OVER (PARTITION BY scene_a, scene_b ORDER BY votes DESC, abs(dr) + abs(dc), dr, dc) = 1)""",
+        select="""SELECT scene_a, scene_b, dr, dc, coalesce(votes, 0) AS votes, coalesce(n_tiles, 0) AS n_tiles
+FROM twin_pairs LEFT JOIN won USING (scene_a, scene_b)""",
+    ),
+    "align": w(
+        PX, TWINS,
+        select="""SELECT scene_id, CAST(CASE WHEN scene_id < 1000 THEN r ELSE r - ((scene_id - 1000) % 5 - 2) END AS INT) AS r,
+  CAST(CASE WHEN scene_id < 1000 THEN c ELSE c - ((scene_id - 1000) % 3 - 1) END AS INT) AS c, dn FROM twins""",
+    ),
     # flagship
     "forest_extract": w(
         PX,

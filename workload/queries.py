@@ -19,6 +19,7 @@ from silvagrid.operators import (
     mosaic,
     radiometry,
     regions,
+    register,
     texture,
     threshold,
     tileform,
@@ -39,6 +40,8 @@ NODATA_BELOW = 40
 MIN_PX = 4
 #: Small blocks, so that the 80 x 80 test scenes have block borders.
 BLOCK = 32
+#: Side of the tiles that are registered, not a divisor of the scenes', and the largest shift tried.
+PATCH, REACH = 24, 3
 KERNEL = [[1, 2, 1], [0, -3, 1], [2, 0, -1]]
 SWAPPED_AFFINE = {"xc": 2.0, "xr": 0.5, "x0": 100.0, "yc": -0.5, "yr": 2.0, "y0": 200.0}
 
@@ -154,6 +157,24 @@ on_classes("downsample_mode", lambda px: geometry.downsample_mode(px, 4))
 on_pixels("resample_nearest", lambda px: geometry.resample_nearest(px, affine_table(px), 1.5))
 
 
+@query()
+def register_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    twins = tiles.pixels_to_tiles(tables.twins(spark, sf_dir), PATCH)
+    return register.register_shift(twins, tables.twin_pairs(spark, sf_dir), REACH, PATCH)
+
+
+@query()
+def tile_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    twins = tiles.pixels_to_tiles(tables.twins(spark, sf_dir), PATCH)
+    return _rounded(register.tile_shifts(twins, tables.twin_pairs(spark, sf_dir), REACH, PATCH), 9, "score")
+
+
+@query()
+def align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twins moved back by the shifts that were found."""
+    return register.align(tables.twins(spark, sf_dir), register_shift(spark, sf_dir).filter("scene_b >= 1000"))
+
+
 def _rounded(df: DataFrame, places: int, *names: str) -> DataFrame:
     return df.select(*[F.round(x, places).alias(x) if x in names else F.col(x) for x in df.columns])
 

@@ -54,6 +54,23 @@ def with_date(df: DataFrame) -> DataFrame:
     return df.withColumn("acq_date", F.expr("date_add(DATE '1962-06-01', scene_id * 90)"))
 
 
+def twins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every scene and, as scene 1000 + s, the same ground on other film: moved by ``s % 5 - 2`` rows and ``s % 3 - 1``
+    columns, of other gain and offset, dark cells nodata."""
+    px = pixels(spark, sf_dir).select("scene_id", "r", "c", "dn")
+    s, dn = F.col("scene_id"), F.col("dn")
+    level = F.when(dn >= 40, idiv(dn * 3, 4).cast("int") + 20)
+    moved = px.select((s + 1000).alias("scene_id"), (F.col("r") + s % 5 - 2).alias("r"), (F.col("c") + s % 3 - 1).alias("c"), level.alias("dn"))
+    return px.unionByName(moved.where("r >= 0 and c >= 0"))
+
+
+def twin_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each scene with its twin, and with the next scene, which shows other ground."""
+    scenes = pixels(spark, sf_dir).select("scene_id").distinct()
+    other = F.array(F.col("scene_id") + 1000, F.col("scene_id") + 1)
+    return scenes.select(F.col("scene_id").alias("scene_a"), F.explode(other).alias("scene_b"))
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping acquisitions on a 128x128 grid."""
     return table(spark, sf_dir, "lineitem").select(
