@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silvagrid.llm.common import bitmap, byte_slices, byte_texts, components, hash_words, map_arrow, marked, mix, slices, stream
+from silvagrid.plans.joins import attach
 from silvagrid.plans.staging import stage
 
 
@@ -24,11 +26,8 @@ class Forest:
     depth: int = 6
     first: int = 3
     region: int = 16
-    #: Share of equal signature values from which a pair is confirmed; 4.5 deviations below 0.85 at 72 values.
-    estimate: float = 0.66
-    #: The same for rows outside of a large region's main group: so many more values, 5 deviations.
+    #: Values of the longer signature of rows outside of a large region's main group.
     fine_values: int = 1024
-    fine_estimate: float = 0.79
     #: Parts that make a block when rows outside of a large region's main group are compared with all.
     spread: int = 16
     #: Size of the bit map that picks the texts to be confirmed.
@@ -38,6 +37,20 @@ class Forest:
     def values(self) -> int:
         return self.trees * self.depth
 
+    @property
+    def estimate(self) -> float:
+        """Share of equal signature values from which a pair is confirmed, 4.5 deviations below the threshold."""
+        return self._below(self.values, 4.5)
+
+    @property
+    def fine_estimate(self) -> float:
+        """The same for the longer signature, 5.5 deviations."""
+        return self._below(self.fine_values, 5.5)
+
+    def _below(self, values: int, deviations: float) -> float:
+        q = self.percent / 100
+        return q - deviations * (q * (1 - q) / values) ** 0.5
+
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
 _MANY = 1 << 15
@@ -175,58 +188,116 @@ def _wide(placed: DataFrame, p: Forest) -> DataFrame:
     """(region, part, parts, rep): the rows of each region that was divided, by the first ``p.first`` values again."""
     rows = placed.where("wide is not null").select(F.col("wide").alias("region"), "rep")
     sizes = rows.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / p.region).cast("int").alias("parts"))
-    rows = rows.join(sizes, "region")
+    rows = attach(rows, sizes, ["region"])
     return rows.select("region", F.pmod(F.xxhash64("rep", "region"), F.col("parts")).cast("int").alias("part"), "parts", "rep")
 
 
 def _likely(located: DataFrame, p: Forest) -> DataFrame:
     """(a, b, equal): for each row of a region the row with the most equal signature values, if enough."""
     gathered = _gather(located.withColumn("outer", F.lit(True)))
-    return map_arrow(gathered, lambda batch: _compare(batch, p, True, p.values, p.estimate), "a long, b long, equal long")
 
+    def run(batch: pa.RecordBatch) -> dict:
+        found = [np.zeros((0, 3), np.int64)]
+        for _, ids, _, _, _, equal, least in _estimates(batch, p, p.values, p.estimate):
+            order = np.argsort(ids)
+            j = order[equal[:, order].argmax(axis=1)]
+            top = equal[np.arange(len(ids)), j]
+            keep = top >= least
+            found.append(np.stack([ids[keep], ids[j][keep], top[keep]], axis=1))
+        return {k: pa.array(c) for k, c in zip(("a", "b", "equal"), np.concatenate(found).T)}
+
+    return map_arrow(gathered, run, "a long, b long, equal long")
+
+
+_NEAR = "region long, part long, rep long, n long, label long, outer boolean, sig binary"
 
-def _across(located: DataFrame, p: Forest, values: int, estimate: float) -> DataFrame:
-    """(a, b, la, lb): pairs of a region with similar signatures and different labels.
 
-    Rows with ``outer`` are compared with all others, the rest not among themselves.
+def _links_inside(located: DataFrame, sets: DataFrame, p: Forest, values: int, estimate: float) -> DataFrame:
+    """(a, b): labels of a region that are linked, by pairs of its rows confirmed on full sets.
+
+    Rows that have a row of another label with a similar signature in their part are sent once per part,
+    with their full set; the pairs are made where the part is, and only links between labels not linked
+    before leave it. Rows with ``outer`` are compared with all others, the rest not among themselves.
     """
-    schema = "a long, b long, la long, lb long"
-    found = map_arrow(_gather(located), lambda batch: _compare(batch, p, False, values, estimate), schema)
+
+    def near(batch: pa.RecordBatch) -> dict:
+        rows = []
+        for s, ids, _, own, ahead, equal, least in _estimates(batch, p, values, estimate):
+            i, j = np.nonzero((equal >= least) & (own[ahead, None] != own[None]))
+            rows.append(s + np.union1d(ahead[i], j))
+        rows = np.concatenate([np.zeros(0, np.int64), *rows])
+        lists = batch.column("rows")
+        flat = lists.flatten()
+        owner = pa.array(np.searchsorted(lists.offsets.to_numpy() - lists.offsets[0].as_py(), rows, side="right") - 1)
+        return {c: batch.column(c).take(owner) for c in ("region", "part")} | {
+            c: flat.field(c).take(pa.array(rows)) for c in ("rep", "n", "label", "outer", "sig")
+        }
+
+    rows = stage(map_arrow(_gather(located), near, _NEAR), "near").join(sets, "rep")
+    rows = rows.select("region", "part", "rep", "label", "outer", "sig", "members")
+    found = rows.groupBy("region", "part").applyInArrow(lambda t: _confirmed_links(t, p, values, estimate), "a long, b long")
     return found.distinct()
 
 
 def _gather(located: DataFrame) -> DataFrame:
+    """One row per part of a region; both are in the exchange, as a region may be large."""
     rows = F.collect_list(F.struct("rep", "n", "label", "outer", "sig")).alias("rows")
-    return located.groupBy("region", "part").agg(rows).where(F.size("rows") > 1).select("rows")
+    dealt = located.withColumn("part", F.col("part").cast("long")).repartition("region", "part")
+    return dealt.groupBy("region", "part").agg(rows).where(F.size("rows") > 1)
+
 
+def _equal(sig: np.ndarray, ahead: np.ndarray) -> np.ndarray:
+    return np.stack([(sig == sig[i]).sum(axis=1) for i in ahead]) if len(ahead) else np.zeros((0, len(sig)), np.int64)
 
-def _compare(batch: pa.RecordBatch, p: Forest, best: bool, values: int, estimate: float) -> dict:
+
+def _estimates(batch: pa.RecordBatch, p: Forest, values: int, estimate: float) -> Iterator[tuple]:
+    """Per part: its first row, ids, sizes, labels, rows compared, their equal values with all rows (-1 where sizes
+    rule a link out), and how many are enough."""
     least = int(np.ceil(estimate * values))
-    lists = batch.column(0)
+    lists = batch.column("rows")
     flat = lists.flatten()
     cuts = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     rep, n, label, outer = (flat.field(k).to_numpy(zero_copy_only=False) for k in ("rep", "n", "label", "outer"))
     sig = np.concatenate([np.zeros(0, np.uint8), *byte_slices(flat.field("sig"), np.uint8)]).reshape(len(rep), values)
-    found = [np.zeros((0, 3 if best else 4), np.int64)]
-    for s, e in zip(cuts[:-1], cuts[1:]):
-        ids, m, own = rep[s:e], n[s:e], label[s:e]
+    for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        ids, m = rep[s:e], n[s:e]
         ahead = np.flatnonzero(outer[s:e])
-        equal = np.stack([(sig[s:e] == sig[s + i]).sum(axis=1) for i in ahead]) if len(ahead) else np.zeros((0, e - s), np.int64)
         fits = 100 * np.minimum(m[ahead, None], m[None]) >= p.percent * np.maximum(m[ahead, None], m[None])
-        equal = np.where(fits & (ids[ahead, None] != ids[None]), equal, -1)
-        if best:
-            order = np.argsort(ids)
-            j = order[equal[:, order].argmax(axis=1)]
-            top = equal[np.arange(len(ahead)), j]
-            keep = top >= least
-            found.append(np.stack([ids[ahead][keep], ids[j][keep], top[keep]], axis=1))
-        else:
-            i, j = np.nonzero((equal >= least) & (own[ahead, None] != own[None]))
-            i = ahead[i]
-            i, j = np.where(ids[i] < ids[j], i, j), np.where(ids[i] < ids[j], j, i)
-            found.append(np.unique(np.stack([ids[i], ids[j], own[i], own[j]], axis=1), axis=0))
-    names = ("a", "b", "equal") if best else ("a", "b", "la", "lb")
-    return {k: pa.array(c) for k, c in zip(names, np.concatenate(found).T)}
+        equal = np.where(fits & (ids[ahead, None] != ids[None]), _equal(sig[s:e], ahead), -1)
+        yield s, ids, m, label[s:e], ahead, equal, least
+
+
+def _confirmed_links(rows: pa.Table, p: Forest, values: int, estimate: float) -> pa.Table:
+    """Pairs of labels of one part that are linked, likeliest first; what is already linked is not looked at again."""
+    rows = rows.combine_chunks()
+    label, outer = (rows.column(c).to_numpy() for c in ("label", "outer"))
+    sig, members = (byte_slices(rows.column(c).chunk(0), kind) for c, kind in (("sig", np.uint8), ("members", np.uint64)))
+    n = np.array([len(x) for x in members])
+    ahead = np.flatnonzero(outer)
+    equal = _equal(np.concatenate(sig).reshape(len(label), values), ahead)
+    fits = 100 * np.minimum(n[ahead, None], n[None]) >= p.percent * np.maximum(n[ahead, None], n[None])
+    i, j = np.nonzero(fits & (equal >= int(np.ceil(estimate * values))) & (label[ahead, None] != label[None]))
+    order = np.argsort(-equal[i, j], kind="stable")
+    group, links = {int(x): int(x) for x in label}, []
+
+    def root(x: int) -> int:
+        while group[x] != x:
+            group[x] = x = group[group[x]]
+        return x
+
+    for a, b in zip(ahead[i][order].tolist(), j[order].tolist()):
+        x, y = root(int(label[a])), root(int(label[b]))
+        if x != y and similar(members[a], members[b], p.percent):
+            group[max(x, y)] = min(x, y)
+            links.append((min(x, y), max(x, y)))
+    return pa.table({k: pa.array([x[q] for x in links], pa.int64()) for q, k in enumerate(("a", "b"))})
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two sorted sets."""
+    joined = np.sort(np.concatenate([x, y]), kind="stable")
+    common = int((joined[1:] == joined[:-1]).sum())
+    return 100 * common >= percent * (len(joined) - common)
 
 
 def _fine(reps: DataFrame, sets: DataFrame, p: Forest) -> DataFrame:
@@ -243,7 +314,7 @@ def _fine(reps: DataFrame, sets: DataFrame, p: Forest) -> DataFrame:
 def _mixed(wide: DataFrame) -> DataFrame:
     """The rows of regions that are not one group."""
     labels = wide.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    return wide.join(labels.select("region"), "region", "left_semi")
+    return attach(wide, labels.select("region"), ["region"], "left_semi")
 
 
 def _strays(wide: DataFrame, p: Forest) -> DataFrame:
@@ -256,13 +327,13 @@ def _strays(wide: DataFrame, p: Forest) -> DataFrame:
     main = sizes.groupBy("region").agg(F.max(F.struct("c", "label")).alias("x"), F.sum("c").alias("all"))
     mine = F.ceil((F.col("all") - F.col("x.c")) / (p.region * p.spread)).cast("int")
     main = main.where(F.col("all") > F.col("x.c")).select("region", F.col("x.label").alias("main"), mine.alias("groups"))
-    rows = wide.join(main, "region").withColumn("blocks", F.ceil(F.col("parts") / p.spread).cast("int"))
+    rows = attach(wide, main, ["region"]).withColumn("blocks", F.ceil(F.col("parts") / p.spread).cast("int"))
     rows = rows.withColumn("block", F.pmod("part", F.col("blocks")))
     every = rows.withColumn("outer", F.lit(False)).withColumn("mine", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
     ahead = rows.where("label <> main").withColumn("mine", F.pmod(F.xxhash64("region", "rep"), F.col("groups")).cast("int"))
     ahead = ahead.withColumn("outer", F.lit(True)).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     both = every.unionByName(ahead, allowMissingColumns=True)
-    return both.withColumn("part", F.struct("mine", "block")).select("region", "part", "rep", "n", "label", "outer", "sig")
+    return both.withColumn("part", F.col("mine").cast("long") * F.col("blocks") + F.col("block")).select("region", "part", "rep", "n", "label", "outer", "sig")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, p: Forest) -> DataFrame:
@@ -273,12 +344,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, p: Forest) -> DataFrame:
     both = pairs.join(one, "a").join(two, "b").select(*names, "of_a", "of_b")
 
     def run(batch: pa.RecordBatch) -> dict:
-        keep = []
-        for x, y in zip(byte_slices(batch.column("of_a"), np.uint64), byte_slices(batch.column("of_b"), np.uint64)):
-            joined = np.sort(np.concatenate([x, y]))
-            common = int((joined[1:] == joined[:-1]).sum())
-            keep.append(100 * common >= p.percent * (len(joined) - common))
-        keep = pa.array(keep)
+        sides = (byte_slices(batch.column(c), np.uint64) for c in ("of_a", "of_b"))
+        keep = pa.array([similar(x, y, p.percent) for x, y in zip(*sides)])
         return {n: batch.column(n).filter(keep) for n in names}
 
     return map_arrow(both, run, pairs.schema)
@@ -289,12 +356,13 @@ def near_duplicates(docs: DataFrame, p: Forest = Forest(), key: str = "doc_id",
 
     Rows with equal sets form a class (128 bits of hash and the size agree) and are linked through
     its smallest id. Classes meet in the regions of the forest. First each class is linked with its
-    likeliest partner; then all pairs of a region that still lie in different groups are confirmed
-    too. At last, in regions that were divided, rows still outside of the main group are compared
-    with all rows that agree in the first values, wherever these went. Pairs inside a group are left out, so a large group of
-    copies costs a few pairs per row, not their square.
+    likeliest partner; then the pairs of a region that still lie in different groups are confirmed
+    too, where the region's part is. At last, in regions that were divided, rows still outside of the
+    main group are compared with all rows that agree in the first values, wherever these went. No pairs
+    leave a task but links between groups, so a large group of copies costs its rows, not their square.
 
-    Empty sets are linked with nothing. Repeated rows are kept, each with its group. A NULL id is
+    Empty sets are linked with nothing. Repeated rows are kept, each with its group; rows of one id with
+    different texts are one document, near to what any of them is near to. A NULL id is
     grouped with equal sets only, and with no id among them its component_id is NULL and it is kept.
     An empty table gives an empty result; other columns are not carried.
     """
@@ -315,22 +383,25 @@ def near_duplicates(docs: DataFrame, p: Forest = Forest(), key: str = "doc_id",
     ids = partner.select(F.col("a").alias("rep")).union(partner.select(F.col("b").alias("rep"))).union(wide.select("rep")).distinct()
     sets = stage(_sets(docs, ids, key, text, p), "sets")
     pairs = partner.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    groups = [components(confirm(pairs, sets, p))]
-    rest = _across(_relabel(located, "label", groups).withColumn("outer", F.lit(True)), p, p.values, p.estimate)
-    groups.append(components(_label_links(confirm(rest, sets, p))))
+    groups = [components(confirm(pairs, sets, p).union(_same_id(members)))]
+    rest = _relabel(located, "label", groups).withColumn("outer", F.lit(True))
+    groups.append(components(_links_inside(rest, sets, p, p.values, p.estimate)))
     wide = wide.join(classes.select("rep", "n"), "rep").withColumn("label", F.col("rep"))
     mixed = stage(_mixed(_relabel(wide, "label", groups)), "mixed")
     fine = stage(_fine(mixed.select("rep").distinct(), sets, p), "fine")
     strays = _strays(mixed.join(fine, "rep"), p)
-    groups.append(components(_label_links(confirm(_across(strays, p, p.fine_values, p.fine_estimate), sets, p))))
+    groups.append(components(_links_inside(strays, sets, p, p.fine_values, p.fine_estimate)))
     out = _relabel(members.withColumn("component_id", F.col("rep")), "component_id", groups)
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
-def _label_links(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("la").alias("a"), F.col("lb").alias("b"))
+def _same_id(members: DataFrame) -> DataFrame:
+    """(a, b): links of the classes that one id has rows in."""
+    rows = members.where("n > 0 and doc_id is not null")
+    several = rows.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("doc_id", "a")
+    return rows.join(several, "doc_id").select("a", F.col("rep").alias("b")).where("a < b").distinct()
 
 
 def _relabel(rows: DataFrame, column: str, groups: list[DataFrame]) -> DataFrame:
@@ -342,7 +413,7 @@ def _relabel(rows: DataFrame, column: str, groups: list[DataFrame]) -> DataFrame
 
 
 def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, p: Forest) -> DataFrame:
-    """(rep, members): the sorted full set, as bytes, of each class in ``ids``."""
+    """(rep, members): the sorted full set, as bytes, of each text that an id in ``ids`` has."""
     ids = ids.withColumn("h", F.xxhash64("rep"))
     map_ = bitmap(ids, "h", p.bits)
     rows = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).withColumn("h", F.xxhash64("rep"))
@@ -351,7 +422,7 @@ def _sets(docs: DataFrame, ids: DataFrame, key: str, text: str, p: Forest) -> Da
         keep = pa.array(marked(map_, batch.column(2).to_numpy().view(np.uint64)))
         return {"rep": batch.column(0).filter(keep), "text": batch.column(1).filter(keep)}
 
-    rows = map_arrow(rows, pick, "rep long, text string").join(ids.drop("h"), "rep", "left_semi").dropDuplicates(["rep"])
+    rows = map_arrow(rows, pick, "rep long, text string").join(ids.drop("h"), "rep", "left_semi").distinct()
 
     def run(batch: pa.RecordBatch) -> dict:
         blobs = []

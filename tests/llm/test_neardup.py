@@ -86,6 +86,27 @@ def test_star_of_rows_just_similar_enough(spark):
     assert {i for i, (_, c, _) in found(neardup.near_duplicates(df)).items() if c != 0} == set()
 
 
+def test_one_id_with_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, b), (3, b + " more"), (5, a), (5, c), (4, c + " end"), (7, "other words " * 9), (7, "")]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(1, 1), (3, 1), (5, 1), (4, 1), (7, 7)}
+
+
+def test_no_pairs_leave_a_part(spark):
+    """A part of k rows of one group gives at most k - 1 links, whatever its pairs."""
+    import pyarrow as pa
+
+    sets = [np.arange(i, i + 400, dtype=np.uint64) for i in range(40)]
+    values, offsets = np.concatenate(sets), np.arange(41) * 400
+    sig = neardup.signatures(values, offsets, 72).astype(np.uint8)
+    rows = {"label": list(range(40)), "outer": [True] * 40, "sig": [x.tobytes() for x in sig], "members": [x.tobytes() for x in sets]}
+    schema = pa.schema([("label", pa.int64()), ("outer", pa.bool_()), ("sig", pa.binary()), ("members", pa.binary())])
+    got = neardup._confirmed_links(pa.table(rows, schema), neardup.Forest(), 72, 0.66)
+    assert got.num_rows == 39
+
+
 def test_odd_rows(odd, none):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == odd.count()
