@@ -2,8 +2,8 @@
 
 Work is done on runs (stretches of equal class along an image row), cut at block
 borders. Regions are labelled inside each block first, one small array problem
-per block; only labels that meet at a block border enter the graph that is then
-contracted round by round with joins.
+per block; then squares of blocks are joined along their borders, squares of
+squares, and so on, until one square holds the scene: ``block_union``.
 
 A region is named by the row-major position of its first pixel
 (``row * 2**32 + column``), which does not depend on the blocks.
@@ -58,8 +58,29 @@ def block_runs(blocks: DataFrame, **carry: Column) -> DataFrame:
     )
 
 
+def _lowest_of() -> Callable:
+    """Function from pairs of numbers below ``n`` to the lowest number each is connected with; for the workers."""
+
+    def lowest(n, a, b):
+        import numpy as np
+
+        first = np.arange(n)
+        while True:
+            least = np.minimum(first[a], first[b])
+            step = first.copy()
+            np.minimum.at(step, first[a], least)
+            np.minimum.at(step, first[b], least)
+            step = step[step]
+            if (step == first).all():
+                return first
+            first = step
+
+    return lowest
+
+
 def _block_labeller(connectivity: int) -> Callable:
     """Function that labels the runs of one block; self-contained for the workers."""
+    lowest = _lowest_of()
 
     def label(runs):
         import numpy as np
@@ -80,78 +101,98 @@ def _block_labeller(connectivity: int) -> Callable:
             for hit in [(here >= 0) & (other >= 0) & (here != other)]
         ]
         a, b = np.concatenate(pairs, axis=1)
-        first = np.arange(len(runs))
-        while True:
-            lowest = np.minimum(first[a], first[b])
-            step = first.copy()
-            np.minimum.at(step, first[a], lowest)
-            np.minimum.at(step, first[b], lowest)
-            step = step[step]
-            if (step == first).all():
-                break
-            first = step
         position = (runs["r"].to_numpy().astype(np.int64) << 32) + c0
-        return runs.assign(node=position[first])
+        return runs.assign(node=position[lowest(len(runs), a, b)])
 
     return label
 
 
-def _border_edges(runs: DataFrame, connectivity: int, block: int) -> DataFrame:
-    """Label pairs that touch across a block border, both directions.
+#: Blocks on a side of the first squares, and squares on a side of each larger one: so that a
+#: task of 256-cell blocks gets at most 262,144 border cells at the first two levels.
+FIRST_FAN, FAN = 16, 4
 
-    Only cells on the border of a block are looked at (about ``4 / block`` of
-    all); each asks its at most four forward neighbours by exact position.
-    """
+
+def _square_labeller(connectivity: int, side: int, origin: tuple[int, int]) -> Callable:
+    """Function that joins the regions of one square of side ``side`` along the borders of what it is made of."""
+    lowest = _lowest_of()
+    ahead = [(0, 1), (1, 0)] if connectivity == 4 else [(0, 1), (1, 0), (1, 1), (1, -1)]
+
+    def union(cells):
+        import numpy as np
+        import pyarrow as pa
+
+        scene, r, c, node = (cells.column(x).to_numpy() for x in ("scene_id", "r", "c", "node"))
+        r, c = r.astype(np.int64), c.astype(np.int64)
+        place = (r << 32) + c
+        order = np.argsort(place)
+        place, node, r, c = place[order], node[order], r[order], c[order]
+        names, at = np.unique(node, return_inverse=True)
+        a, b = [], []
+        for i, j in ahead:
+            asked = place + (i << 32) + j
+            k = np.minimum(np.searchsorted(place, asked), len(place) - 1)
+            met = (place[k] == asked) & (at[k] != at)
+            a.append(at[met])
+            b.append(at[k[met]])
+        first = lowest(len(names), np.concatenate(a), np.concatenate(b))
+        moved = np.flatnonzero(first != np.arange(len(names)))
+        outer = np.isin((r - origin[0]) % side, (0, side - 1)) | np.isin((c - origin[1]) % side, (0, side - 1))
+        # regions that moved, then border cells of the square with their region
+        none = np.zeros(len(moved), np.int32)
+        return pa.table({
+            "scene_id": pa.array(np.full(len(moved) + outer.sum(), scene[0], np.int32)),
+            "moved": pa.array(np.repeat([True, False], [len(moved), outer.sum()])),
+            "r": pa.array(np.concatenate([none, r[outer]]).astype(np.int32)),
+            "c": pa.array(np.concatenate([none, c[outer]]).astype(np.int32)),
+            "node": pa.array(np.concatenate([names[moved], node[outer]])),
+            "label": pa.array(np.concatenate([names[first[moved]], names[first[at[outer]]]])),
+        })
+
+    return union
+
+
+_UNITED = "scene_id int, moved boolean, r int, c int, node long, label long"
+
+
+def _border_cells(runs: DataFrame, block: int) -> DataFrame:
+    """Cells on the border of a block (about ``4 / block`` of all) with the region that their block gave them."""
     edge_row = F.pmod("r", F.lit(block)).isin(0, block - 1)
-    ends = F.filter(
-        F.array_distinct(F.array("c0", "c1")), lambda x: F.pmod(x, F.lit(block)).isin(0, block - 1)
-    )
+    ends = F.filter(F.array_distinct(F.array("c0", "c1")), lambda x: F.pmod(x, F.lit(block)).isin(0, block - 1))
     at = F.when(edge_row, F.sequence("c0", "c1")).otherwise(ends)
-    cells = stage(runs.select("scene_id", "node", "r", F.explode(at).alias("c")), "border")
-    steps = [(0, 1), (1, 0)] if connectivity == 4 else [(0, 1), (1, 0), (1, 1), (1, -1)]
-    ahead = F.array(*[F.struct((F.col("r") + i).alias("r"), (F.col("c") + j).alias("c")) for i, j in steps])
-    asks = cells.select("scene_id", F.col("node").alias("u"), F.explode(ahead).alias("p")).select(
-        "scene_id", "u", "p.r", "p.c"
-    )
-    met = asks.join(cells, CELL).filter("u <> node")
-    once = met.select("scene_id", F.least("u", "node").alias("a"), F.greatest("u", "node").alias("b")).distinct()
-    both = F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))
-    return once.select("scene_id", F.explode(both).alias("p")).select("scene_id", "p.u", "p.v")
-
-
-def component_labels(edges: DataFrame) -> DataFrame:
-    """``scene_id, u, label`` for every vertex of a symmetric edge table
-    ``scene_id, u, v``; the label is the smallest vertex of the component.
-
-    Randomised contraction: in each round every vertex moves to the neighbour (or
-    itself) with the lowest round hash, and the edges are rewritten, until none is left. The graph
-    shrinks by a constant factor per round whatever its shape, so long thin or
-    very large components need no more rounds than others. Each round is a
-    combining aggregate and two joins of edges to a unique key, whose hot partitions adaptive
-    execution splits. Edges are staged in the shared folder, everything else follows from them.
+    return runs.select("scene_id", "r", F.explode(at).alias("c"), "node")
+
+
+def block_union(local: DataFrame, connectivity: int, block: int, first_fan: int = FIRST_FAN, fan: int = FAN) -> DataFrame:
+    """``scene_id, node, label`` for every region of a block that is part of a region with an earlier first cell.
+
+    ``local``: runs with the region (``node``) that their block gave them, named by its first cell. Squares of
+    ``first_fan`` x ``first_fan`` blocks are united in one task each, from the cells along the blocks' borders; each
+    passes up only its own border, for squares ``fan`` times as wide, until one square holds the scene. The number
+    of levels grows with the logarithm of the scene's side, not with the shape of its regions. A task gets the
+    borders of what its square is made of: at most ``4 * fan ** 2`` times their side.
     """
-    edges = stage(edges, "edges")
-    rounds: list[DataFrame] = []
-    while not edges.isEmpty():
-        seed = F.lit(len(rounds) + 1)
-        best = F.min(F.struct(F.xxhash64("scene_id", "v", seed).alias("h"), "v")).alias("m")
-        own = F.struct(F.xxhash64("scene_id", "u", seed).alias("h"), F.col("u").alias("v"))
-        reps = edges.groupBy("scene_id", "u").agg(best).select("scene_id", "u", F.least("m", own)["v"].alias("rep"))
-        rounds.append(reps)
-        at_v = reps.select("scene_id", F.col("u").alias("v"), F.col("rep").alias("rv"))
-        both = edges.join(reps, ["scene_id", "u"]).join(at_v, ["scene_id", "v"]).filter("rep <> rv")
-        edges = stage(both.select("scene_id", F.col("rep").alias("u"), F.col("rv").alias("v")).distinct(), "edges")
-    if not rounds:
-        return edges.select("scene_id", "u", F.col("v").alias("label"))
+    span = local.agg(*[f(F.col(x)).alias(f"{x}_{n}") for x in BLOCK_KEY[1:] for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    lows = [(span[f"{x}_lo"] or 0) for x in BLOCK_KEY[1:]]
+    blocks = max((span[f"{x}_hi"] or 0) - lo + 1 for x, lo in zip(BLOCK_KEY[1:], lows))
+    origin = (lows[0] * block, lows[1] * block)
+    cells = _border_cells(local, block)
+    side, levels = block, []
+    while not levels or side < blocks * block:
+        side *= fan if levels else first_fan
+        square = [floor_div(F.col(x) - start, side).alias(f"_{x}") for x, start in zip(("r", "c"), origin)]
+        union = _square_labeller(connectivity, side, origin)
+        # the rows of a task are one square; those of the level below come from many
+        dealt = cells.select("scene_id", "r", "c", "node", *square).groupBy("scene_id", "_r", "_c")
+        united = stage(dealt.applyInArrow(union, _UNITED), "united")
+        levels.append(united.where("moved").select("scene_id", "node", "label"))
+        cells = united.where("not moved").select("scene_id", "r", "c", F.col("label").alias("node"))
 
     def through(later: DataFrame, earlier: DataFrame) -> DataFrame:
-        onward = later.select("scene_id", F.col("u").alias("rep"), F.col("rep").alias("_far"))
-        far = earlier.join(onward, ["scene_id", "rep"], "left")
-        return far.select("scene_id", "u", F.coalesce("_far", "rep").alias("rep"))
+        onward = later.select("scene_id", F.col("node").alias("label"), F.col("label").alias("_far"))
+        far = earlier.join(onward, ["scene_id", "label"], "left")
+        return far.select("scene_id", "node", F.coalesce("_far", "label").alias("label")).unionByName(later)
 
-    ends = stage(reduce(through, reversed(rounds)), "ends")
-    lowest = ends.groupBy("scene_id", "rep").agg(F.least(F.min("u"), F.col("rep")).alias("label"))
-    return ends.join(lowest, ["scene_id", "rep"]).select("scene_id", "u", "label")
+    return reduce(through, reversed(levels))
 
 
 def label_runs(runs: DataFrame, connectivity: int = 8, block: int = BLOCK) -> DataFrame:
@@ -163,10 +204,9 @@ def label_runs(runs: DataFrame, connectivity: int = 8, block: int = BLOCK) -> Da
         raise ValueError("connectivity is 4 or 8")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runs.schema) + ", node long"
     local = stage(runs.groupBy(*BLOCK_KEY).applyInPandas(_block_labeller(connectivity), schema), "runs")
-    labels = component_labels(_border_edges(local, connectivity, block))
-    onto = labels.select("scene_id", F.col("u").alias("node"), F.col("label"))
+    labels = block_union(local, connectivity, block)
     return (
-        local.join(onto, ["scene_id", "node"], "left")
+        local.join(labels, ["scene_id", "node"], "left")
         .withColumn("region_id", F.coalesce("label", "node"))
         .drop("node", "label")
     )

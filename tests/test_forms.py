@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import CELL
 from silvagrid.operators import accuracy, change, extend, focal, morphology, radiometry, regions, threshold, tileform, zonal
+from silvagrid.plans.staging import stage
 from silvagrid.plans import joins
 from silvagrid.plans.forest import forest_extract, forest_extract_tiles
 from silvagrid.plans.series import running
@@ -136,17 +137,42 @@ def test_components_match_flood_fill(grid, connectivity):
     assert got == want
 
 
-def test_components_with_hot_vertices(spark):
-    """A star: one vertex holds half of all edge rows."""
-    pairs = [(1, 5, i) for i in range(6, 300)] + [(1, 1000 + i, 1001 + i) for i in range(50)] + [(2, 5, 6)]
-    edges = spark.createDataFrame(pairs + [(s, v, u) for s, u, v in pairs], "scene_id int, u long, v long")
-    got = {(r["scene_id"], r["u"]): r["label"] for r in regions.component_labels(edges).collect()}
-    assert got == {
-        **{(1, i): 5 for i in range(5, 300)},
-        **{(1, 1000 + i): 1000 for i in range(51)},
-        (2, 5): 5,
-        (2, 6): 5,
-    }
+@pytest.mark.parametrize("connectivity", [4, 8])
+@pytest.mark.parametrize("block,first,fan", [(2, 2, 2), (3, 2, 3), (1, 2, 2), (4, 16, 4), (2, 3, 2)])
+def test_squares_of_squares(spark, grid, connectivity, block, first, fan):
+    """Several levels, scenes of several sizes, one of them at negative rows and columns."""
+    pictures = [[[int(x is not None and x < 130) for x in line] for line in noise(6, 27, 31)], spiral(25), [[1] * 17 for _ in range(19)], [[1]]]
+    mask = grid(*pictures, value="cls").filter("cls = 1").withColumns({
+        "r": F.when(F.col("scene_id") == 1, F.col("r") - 9).otherwise(F.col("r")),
+        "c": F.when(F.col("scene_id") == 1, F.col("c") - 14).otherwise(F.col("c")),
+    })
+    local = regions.runs_of(mask.select(*CELL, "cls"), block)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in local.schema) + ", node long"
+    local = stage(local.groupBy(*regions.BLOCK_KEY).applyInPandas(regions._block_labeller(connectivity), schema))
+    labels = regions.block_union(local, connectivity, block, first, fan)
+    assert labels.groupBy("scene_id", "node").count().filter("count > 1").isEmpty()
+    out = regions.to_pixels(local.join(labels, ["scene_id", "node"], "left").withColumn("id", F.coalesce("label", "node")), "id")
+    want = {(s, *cell): k for s, p in enumerate(pictures) for cell, k in flood(p, connectivity).items()}
+    got, names = {}, {}
+    for r in out.collect():
+        off = (9, 14) if r["scene_id"] == 1 else (0, 0)
+        got[r["scene_id"], r["r"] + off[0], r["c"] + off[1]] = r["id"]
+    assert set(got) == set(want)
+    for cell, k in want.items():  # the same regions; the same names where the scene was not moved
+        assert names.setdefault((cell[0], k), got[cell]) == got[cell]
+        assert cell[0] == 1 or got[cell] == k
+    assert len(set(names.values())) == len(names) or len({(s, v) for (s, _), v in names.items()}) == len(names)
+
+
+def test_few_jobs_whatever_the_shape(spark, grid):
+    mask = grid(spiral(65), value="cls")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("spiral", "spiral")
+    try:
+        regions.connected_components(mask, 8, 8).count()
+        assert len(tracker.getJobIdsForGroup("spiral")) <= 20
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
