@@ -192,10 +192,68 @@ SHIFTS = f"""tried AS MATERIALIZED (
   SELECT * FROM scored
   QUALIFY row_number() OVER (PARTITION BY scene_a, scene_b, tile_r, tile_c ORDER BY score DESC, abs(dr) + abs(dc), dr, dc) = 1
 )"""
+UNEVEN = """uneven AS MATERIALIZED (
+  SELECT * REPLACE (CASE WHEN (r + c + strip) % 7 > 0
+    THEN CAST(((r * 37 + c * 53) % 160) * (100 + strip * 4) // 100 + strip * 3 + 5 AS INT) END AS dn) FROM obs)"""
+
+
+def strip_balance(obs: str) -> str:
+    """Gain and offset per strip: the dense normal equations, solved by conjugate gradients on lists."""
+    return f"""part AS MATERIALIZED (SELECT r, c, strip, avg(dn) AS x FROM {obs} WHERE dn IS NOT NULL GROUP BY ALL),
+seams AS MATERIALIZED (
+  SELECT a.strip AS i, b.strip AS j, count(*) AS n, sum(a.x) AS si, sum(b.x) AS sj, sum(a.x * a.x) AS sii, sum(a.x * b.x) AS sij
+  FROM part a JOIN part b ON a.r = b.r AND a.c = b.c AND a.strip <> b.strip GROUP BY ALL),
+own AS MATERIALIZED (
+  SELECT i, 2 * (row_number() OVER (ORDER BY i) - 1) AS k, CAST(sum(n) AS BIGINT) AS n, count(*) AS n_seams, sum(si) AS si, sum(sii) AS sii
+  FROM seams GROUP BY i),
+entries AS (
+  SELECT k AS ri, k AS ci, 1.01::DOUBLE * sii AS v FROM own UNION ALL SELECT k, k + 1, si FROM own
+  UNION ALL SELECT k + 1, k, si FROM own UNION ALL SELECT k + 1, k + 1, 1.01::DOUBLE * n FROM own
+  UNION ALL SELECT a.k, b.k, -sij FROM seams s JOIN own a ON a.i = s.i JOIN own b ON b.i = s.j
+  UNION ALL SELECT a.k, b.k + 1, -s.si FROM seams s JOIN own a ON a.i = s.i JOIN own b ON b.i = s.j
+  UNION ALL SELECT a.k + 1, b.k, -s.sj FROM seams s JOIN own a ON a.i = s.i JOIN own b ON b.i = s.j
+  UNION ALL SELECT a.k + 1, b.k + 1, -s.n FROM seams s JOIN own a ON a.i = s.i JOIN own b ON b.i = s.j),
+numbers AS (SELECT k AS u FROM own UNION ALL SELECT k + 1 FROM own),
+lines AS (
+  SELECT x.u AS ri, list(coalesce(e.v, 0.0)::DOUBLE ORDER BY y.u) AS line
+  FROM numbers x CROSS JOIN numbers y LEFT JOIN entries e ON e.ri = x.u AND e.ci = y.u GROUP BY x.u),
+matrix AS MATERIALIZED (SELECT list(line ORDER BY ri) AS a, list(line[ri + 1] ORDER BY ri) AS d FROM lines),
+right_side AS (SELECT flatten(list([0.01::DOUBLE * sii, 0.0::DOUBLE] ORDER BY k)) AS b FROM own),
+rounds(t, x, res, p, z) AS (
+  SELECT 0, list_transform(b, lambda v: 0.0::DOUBLE), b, list_transform(list_zip(b, d), lambda v: v[1] / v[2]),
+         list_dot_product(b, list_transform(list_zip(b, d), lambda v: v[1] / v[2])) FROM right_side, matrix
+  UNION ALL
+  SELECT t + 1, x2, res2, list_transform(list_zip(z2, p), lambda v: v[1] + zz / z * v[2]), zz
+  FROM (SELECT *, list_dot_product(res2, z2) AS zz
+    FROM (SELECT *, list_transform(list_zip(res2, d), lambda v: v[1] / v[2]) AS z2
+      FROM (SELECT t, p, z, d, list_transform(list_zip(x, p), lambda v: v[1] + step * v[2]) AS x2,
+                   list_transform(list_zip(res, q), lambda v: v[1] - step * v[2]) AS res2
+        FROM (SELECT *, z / list_dot_product(p, q) AS step
+          FROM (SELECT *, list_transform(a, lambda line: list_dot_product(line, p)) AS q
+                FROM rounds, matrix WHERE t < 300 AND z > 1e-28 * (SELECT list_dot_product(b, b) FROM right_side)))))) ),
+solution AS (SELECT x FROM rounds ORDER BY t DESC LIMIT 1),
+strips AS MATERIALIZED (SELECT i AS strip, x[k + 1] AS gain, x[k + 2] AS "offset", n AS n_cells, n_seams FROM own, solution)"""
+
+
 CONF = "conf AS (SELECT scene_id, cls, truth, count(*) AS n FROM cls GROUP BY ALL)"
 CELLS = "scene_id, r, c"
 
 ORACLES: dict[str, str] = {
+    # balance of strips
+    "seam_balance": w(
+        OBS, strip_balance("obs"),
+        select="""SELECT strip, round(gain, 6) AS gain, round("offset", 6) AS "offset", n_cells, n_seams, TRUE AS solved FROM strips""",
+        recursive=True,
+    ),
+    "balanced_bias": w(
+        OBS, UNEVEN, strip_balance("uneven"),
+        """even AS (SELECT u.r, u.c, u.strip, CAST(greatest(0, least(255, round(gain * dn + "offset"))) AS INT) AS dn
+  FROM uneven u JOIN strips USING (strip) WHERE dn IS NOT NULL)""",
+        select="""SELECT a.strip AS s1, b.strip AS s2, count(DISTINCT a.r * 1000 + a.c) AS n_cells, count(*) AS n_pairs,
+  round(sum(a.dn - b.dn) / count(*), 6) AS bias
+FROM even a JOIN even b ON a.r = b.r AND a.c = b.c AND a.strip < b.strip GROUP BY ALL""",
+        recursive=True,
+    ),
     # registration
     "tile_shifts": w(
         PX, TWINS, SHIFTS,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from silvagrid.functions.grid import CELL
 from silvagrid.operators import (
     accuracy,
+    balance,
     change,
     classify,
     extend,
@@ -205,6 +206,21 @@ on_observations("composite_priority_nodata", lambda obs: mosaic.composite_priori
 on_observations("seam_bias", mosaic.seam_bias)
 
 
+@query()
+def seam_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gains and offsets, and whether they solve the normal equations."""
+    solved = balance.seam_balance(tables.observations(spark, sf_dir))
+    exact = (F.col("residual") < 1e-6).alias("solved")
+    return _rounded(solved.select("strip", "gain", "offset", "n_cells", "n_seams", exact), 6, "gain", "offset")
+
+
+@query()
+def balanced_bias(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each seam's difference when the strips of known gain and offset are balanced."""
+    obs = tables.uneven(spark, sf_dir)
+    return _rounded(mosaic.seam_bias(balance.balance(obs, balance.seam_balance(obs))), 6, "bias")
+
+
 @query()
 def mosaic_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     px, obs = tables.pixels(spark, sf_dir), tables.observations(spark, sf_dir)

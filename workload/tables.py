@@ -85,6 +85,14 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def uneven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ground seen by ten strips, each of other gain and offset; every seventh cell of a strip is nodata."""
+    obs = observations(spark, sf_dir)
+    ground = (F.col("r") * 37 + F.col("c") * 53) % 160
+    seen = idiv(ground * (100 + F.col("strip") * 4), 100).cast("int") + F.col("strip") * 3 + 5
+    return obs.withColumn("dn", F.when((F.col("r") + F.col("c") + F.col("strip")) % 7 > 0, seen))
+
+
 def arrivals_of(events: DataFrame) -> DataFrame:
     """Tile arrivals; works on a batch or a streaming ``events`` table."""
     return events.select(
