@@ -165,13 +165,13 @@ def regions(classes: DataFrame, p: Forest) -> DataFrame:
     trees = _prefixes(classes, p)
     first = f"d{p.first}"
     many = trees.groupBy(first).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = stage(trees.join(many, first), "trees")
+    shared = stage(attach(trees, many, [first]), "trees")
     small = shared.where(F.col("c") <= p.region).select(F.col(first).alias("region"), F.lit(0).alias("part"), F.lit(1).alias("parts"), "rep", F.lit(None).cast("long").alias("wide"))
     deeper = [F.struct(F.lit(d).alias("level"), F.col(f"d{d}").alias("h")) for d in range(p.first + 1, p.depth + 1)]
     deep = shared.where(F.col("c") > p.region).select("rep", first, "c", F.explode(F.array(*deeper)).alias("x"))
     deep = deep.select("rep", first, "c", "x.level", "x.h")
-    sizes = deep.groupBy("h").agg(F.count(F.lit(1)).alias("m"))
-    picked = deep.join(sizes, "h").groupBy("rep", first).agg(
+    sizes = deep.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    picked = attach(deep, sizes, ["h"], "left").groupBy("rep", first).agg(
         F.first("c").alias("c"),
         F.min(F.when(F.col("m").between(2, p.region), F.struct("level", "h"))).alias("fit"),
         F.max(F.when(F.col("m") > p.region, F.struct("level", "h", "m"))).alias("big"),
