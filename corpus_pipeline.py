@@ -12,7 +12,7 @@ from silvagrid.plans.staging import stage
 
 #: Near copies have a similarity of 0.8 or more; 16 trees miss a pair of 0.8 once in 100,000 times.
 COPIES = neardup.Forest(percent=80, trees=16)
-#: A document of which so many words in 100 stood in earlier documents is a copy and leaves with its scraps.
+#: A document of which so many characters in 100 stood in earlier documents is a copy and leaves with its scraps.
 REPEATED = 80
 #: The stages learn from labels, count over the whole corpus and search it: SQL cannot express them.
 ORACLE_SQL = None
@@ -30,18 +30,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages that occurred in an earlier one; those made of such passages go.
 
-    A document goes if it lost ``REPEATED`` words in 100 or more: what is left of a copy is like nothing
-    any more, so that no later stage could know it. Documents that lost less stay, texts without words and
-    NULL too. Rows with the same id are one document to the search; each row is judged by what it lost.
+    A document goes if it lost ``REPEATED`` characters in 100 or more: what is left of a copy is like nothing
+    any more, so that no later stage could know it. Documents that lost less stay, blank texts and NULL too. Rows with the same id are one document to the search; each row is judged by what it lost.
     """
-    before = docs.withColumn("_words", _words("text"))
-    left = linededup.drop_repeated_lines(before, linededup.Chunking(any_line=True)).withColumn("_left", _words("text"))
-    copy = (F.col("_words") > 0) & (100 * (F.col("_words") - F.col("_left")) >= REPEATED * F.col("_words"))
+    before = docs.withColumn("_size", _size("text"))
+    left = linededup.drop_repeated_lines(before, linededup.Chunking(any_line=True)).withColumn("_left", _size("text"))
+    copy = (F.col("_size") > 0) & (100 * (F.col("_size") - F.col("_left")) >= REPEATED * F.col("_size"))
     return left.where(~copy).select(*docs.columns)
 
 
-def _words(text: str) -> Column:
-    return F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+def _size(text: str) -> Column:
+    return F.length(F.btrim(F.coalesce(F.col(text), F.lit("")), F.lit(" \t\n\r\x0b\x0c")))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
