@@ -15,8 +15,8 @@ from silvagrid.plans.staging import stage
 
 @dataclass(frozen=True)
 class Templates:
-    """Parameters: tokens per window, literal tokens a window needs, item tokens that make a leak,
-    or which share of a short item, bits of the prefilter."""
+    """Parameters: tokens per window, literal tokens from which other values may stand in its slots, item
+    tokens that make a leak, or which share of a short item, bits of the prefilter."""
 
     window: int = 8
     literals: int = 5
@@ -96,17 +96,32 @@ def template(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _UNITS = _unit_hashes()
 
 
-def windows(tokens: np.ndarray, slot: np.ndarray, size: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows of ``size`` tokens and whether each has enough literal tokens."""
+def _chained(tokens: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the windows of ``size`` tokens that begin at ``at``."""
+    h = np.full(len(at), np.uint64(size))
+    for j in range(size):
+        h = (h ^ tokens[at + j]) * np.uint64(0x9FB21C651E98DF25)
+        h ^= h >> np.uint64(29)
+    return mix(h)
+
+
+def windows(tokens: np.ndarray, values: np.ndarray, slot: np.ndarray, size: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows of ``size`` tokens and whether each has enough literal tokens.
+
+    A window with fewer says too little without its slots: its hash is that of its tokens with the values
+    of the slots, so that it is met only where it stands word for word.
+    """
     n = len(tokens) - size + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    h = np.full(n, np.uint64(size))
-    for j in range(size):
-        h = (h ^ tokens[j : j + n]) * np.uint64(0x9FB21C651E98DF25)
-        h ^= h >> np.uint64(29)
     plain = np.concatenate([[0], np.cumsum(~slot)])
-    return mix(h), plain[size:] - plain[:-size] >= literals
+    enough = plain[size:] - plain[:-size] >= literals
+    h = np.empty(n, np.uint64)
+    h[enough] = _chained(tokens, np.flatnonzero(enough), size)
+    if not enough.all():
+        filled = np.where(slot, mix(tokens + values * np.uint64(0xD6E8FEB86659FD93)), tokens)
+        h[~enough] = ~_chained(filled, np.flatnonzero(~enough), size)
+    return h, enough
 
 
 def _need(size: int, p: Templates) -> int:
@@ -121,10 +136,11 @@ def _window_rows(text: bytes, sizes: list[int], p: Templates, keep) -> list[tupl
     tokens, values, slot = template(text)
     rows = []
     for size in sizes:
-        h, enough = windows(tokens, slot, size, _need(size, p))
-        for i in np.flatnonzero(enough & keep(h)).tolist():
+        h, enough = windows(tokens, values, slot, size, _need(size, p))
+        for i in np.flatnonzero(keep(h)).tolist():
             part = slice(i, i + size)
-            rows.append((i, int(h[i : i + 1].view(np.int64)[0]), values[part][slot[part]].view(np.int64).tolist()))
+            filled = values[part][slot[part]].view(np.int64).tolist() if enough[i] else []
+            rows.append((i, int(h[i : i + 1].view(np.int64)[0]), filled))
     return rows
 
 
@@ -180,10 +196,11 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, item_id, covered, item_tokens, slots, changed) of documents that hold a benchmark item.
 
-    Windows are joined on their hash. Along each alignment of a document with an item, the slots
+    Windows are joined on their hash; those with few literal tokens only where their slots agree too.
+    Along each alignment of a document with an item, the slots
     must agree one to one: the same item value always with the same document value, and the
-    reverse. ``changed`` of ``slots`` values differ: 0 is a verbatim leak, more a question with other
-    parameters. A leak covers ``p.tokens`` tokens of the item, or ``p.share`` of a short one.
+    reverse; otherwise only the windows that stand there word for word count. ``changed`` of ``slots``
+    values differ: 0 is a verbatim leak, more a question with other parameters. A leak covers ``p.tokens`` tokens of the item, or ``p.share`` of a short one.
 
     NULL and empty texts and items have no windows. Rows with the same id count as one document,
     rows with the same item id as one item. An empty table gives an empty result.
@@ -195,22 +212,26 @@ def find_leaks(
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     diagonal = joined.select(
         "doc_id", "item_id", "tokens", "size", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "item_pos",
-        F.explode_outer(pairs).alias("pair"),
+        F.forall(pairs, lambda x: x["i"] == x["d"]).alias("same"), F.explode_outer(pairs).alias("pair"),
     )
     aligned = diagonal.groupBy("doc_id", "item_id", "diagonal").agg(
         F.max("tokens").alias("tokens"),
         F.max("size").alias("size"),
         F.collect_set("item_pos").alias("places"),
+        F.collect_set(F.when(F.col("same"), F.col("item_pos"))).alias("same"),
         F.collect_set("pair").alias("pairs"),
     )
+    # what stands word for word counts even where other slots of the alignment contradict each other
     n = F.size("pairs")
     fits = (n == F.size(F.array_distinct("pairs.i"))) & (n == F.size(F.array_distinct("pairs.d")))
-    whole = aligned.where(fits).groupBy("doc_id", "item_id").agg(
+    aligned = aligned.withColumn("fits", fits).withColumn("places", F.when(F.col("fits"), F.col("places")).otherwise(F.col("same")))
+    changed = F.when(F.col("fits"), F.size(F.filter("pairs", lambda x: x["i"] != x["d"]))).otherwise(0)
+    whole = aligned.where(F.size("places") > 0).groupBy("doc_id", "item_id").agg(
         F.max("tokens").alias("item_tokens"),
         F.max("size").alias("size"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"),
         F.max(n).cast("long").alias("slots"),
-        F.max(F.size(F.filter("pairs", lambda x: x["i"] != x["d"]))).cast("long").alias("changed"),
+        F.max(changed).cast("long").alias("changed"),
     )
     whole = whole.withColumn("covered", _covered(F.col("places"), F.col("size")))
     need = F.least(F.lit(p.tokens), F.ceil(F.col("item_tokens") * p.share))
