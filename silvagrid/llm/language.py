@@ -15,13 +15,12 @@ from silvagrid.llm.common import byte_texts, id_crc, map_arrow, mix
 @dataclass(frozen=True)
 class Recurrent:
     """Parameters: units per direction, bytes of a training window, windows per document, documents
-    per language used at most, languages at most, steps, windows per step, bytes of a segment, seed."""
+    per language used at most, steps, windows per step, bytes of a segment, seed."""
 
     units: int = 8
     window: int = 48
     per_document: int = 3
     documents: int = 600
-    languages: int = 64
     steps: int = 260
     batch: int = 192
     segment: int = 128
@@ -146,19 +145,20 @@ def training_windows(docs: DataFrame, key: str, text: str, lang: str, p: Recurre
     """Windows of bytes from a bounded sample of labelled documents, their labels, the languages.
 
     About ``p.documents`` per language by hash of the id, ``p.per_document`` windows from each, at
-    places drawn from the id over the whole text. The ``p.languages`` most frequent languages count.
+    places drawn from the id over the whole text. Every language counts, however rare.
     """
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.pmod(id_crc(key), F.lit(5)) != 0))
     counts = known.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("c"))
-    counts = sorted((r["lang"], r["c"]) for r in counts.orderBy(F.desc("c"), "lang").limit(p.languages).collect())
+    counts = sorted((r["lang"], r["c"]) for r in counts.collect())
     names = [n for n, _ in counts]
     empty = np.zeros((0, p.window), np.uint8), np.zeros(0, np.int64), names
     if not counts:
         return empty
     share = F.pmod(F.xxhash64(F.lit(p.seed), key), F.lit(1_000_000))
-    picked = [F.when((F.col(lang) == n) & (share < 1_000_000 * p.documents // c + 1), F.lit(i)) for i, (n, c) in enumerate(counts)]
-    rows = known.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"), F.coalesce(*picked).alias("y"), share.alias("draw"))
-    rows = rows.where("y is not null")
+    drawn = [(n, i, min(1_000_000, 1_000_000 * p.documents // c + 1)) for i, (n, c) in enumerate(counts)]
+    drawn = docs.sparkSession.createDataFrame(drawn, f"lang {dict(docs.dtypes)[lang]}, y int, upto long")
+    rows = known.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"), share.alias("draw"))
+    rows = rows.join(drawn, "lang").where("draw < upto").select("id", "text", "y", "draw")
 
     def run(batch: pa.RecordBatch) -> dict:
         found, labels = [], []

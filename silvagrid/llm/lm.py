@@ -59,11 +59,17 @@ def _save(path: str, name: str, array: np.ndarray) -> None:
     os.replace(part, os.path.join(path, f"{name}.npy"))
 
 
+def _complete(path: str, name: str, shards: int, width: int = 0) -> None:
+    """Writes empty files for the shards that got no rows, so that a file that is not there is a lost one."""
+    for i in range(shards):
+        if not os.path.exists(os.path.join(path, f"{name}-{i}.npy")):
+            _save(path, f"{name}-{i}", np.zeros((0, width) if width else 0, np.uint32 if width else np.uint64))
+
+
 @lru_cache(maxsize=4096)
 def _load(path: str, name: str) -> np.ndarray:
+    """Maps a file of the model; one that is missing raises, as scores would be wrong without it."""
     file = os.path.join(path, f"{name}.npy")
-    if not os.path.exists(file):
-        return np.zeros(0, np.uint64)
     with open(file, "rb") as f:
         empty = not np.prod(np.lib.format.read_array_header_1_0(f)[0]) if np.lib.format.read_magic(f) == (1, 0) else False
     return np.load(file, mmap_mode=None if empty else "r")
@@ -198,6 +204,8 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
         keep_words, "shard int, words long, tokens long, at array<long>, n array<long>"
     )
     found = {r["shard"]: r for r in counted.collect()}
+    for name in ("words", "counts"):
+        _complete(path, name, shards)
     first = [0]
     for i in range(shards):
         first.append(first[-1] + (found[i]["words"] if i in found else 0))
@@ -249,6 +257,9 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
         keep_pairs, _BLOB + ", heavy array<array<long>>, seen array<long>"
     )
     paired = stage(paired, "followers")
+    for name in ("pairs", "times"):
+        _complete(path, name, 2 * shards)
+    _complete(path, "kinds", shards, 3)
     notes = paired.where("shard = -1")
     seen = notes.select(*[F.coalesce(F.sum(F.get("seen", F.lit(i))), F.lit(0)).alias(f"n{i}") for i in range(4)]).first()
     of_heavy = notes.select(F.explode("heavy").alias("x")).select(*[F.get("x", F.lit(j)).alias(f"c{j}") for j in range(4)])
@@ -265,6 +276,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
 
     low = paired.where("shard >= 0").select("shard", "keys", "counts").groupBy("shard").applyInArrow(keep_followed, "seen array<long>")
     n1, n2, n3, n4, total, kinds = low.select(*[F.coalesce(F.sum(F.get("seen", F.lit(i))), F.lit(0)) for i in range(6)]).first()
+    _complete(path, "followed", shards)
     d = _discounts([n1, n2, n3, n4])
     rest = (d[0] * n1 + d[1] * n2 + d[2] * (kinds - n1 - n2)) / total if total else 1.0
     return Model(path, shards, first, m.tokens, heavy, {r[0]: (r[1], r[2], r[3]) for r in of_heavy}, _discounts(list(seen)), d, total, rest)

@@ -1,6 +1,7 @@
 """Language, quality and the language model."""
 
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -124,3 +125,22 @@ def test_language_model_odd_rows(spark, odd, none):
     empty = lm.fit(none)
     assert {r["score"] for r in lm.score(odd, empty).collect()} == {0.0}
     assert lm.score(none, model).count() == 0
+
+
+def test_all_languages_are_learned(spark):
+    rows = [(100 * k + i, f"text {k} of {i} " * 5, f"l{k:03d}") for k in range(70) for i in range(1 + 4 * (k < 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnt = {r["lang"] for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5}
+    _, labels, names = language.training_windows(docs, "doc_id", "text", "lang", language.Recurrent())
+    assert set(names) == learnt and len(names) > 64 and set(labels.tolist()) == set(range(len(names)))
+
+
+def test_a_lost_file_of_the_model_raises(spark):
+    docs = spark.createDataFrame([(i, f"a b c d {i} e f") for i in range(30)], "doc_id long, text string")
+    model = lm.fit(docs)
+    gone = [f for f in os.listdir(model.path) if f.startswith("pairs-")]
+    assert gone
+    for f in gone:
+        os.remove(os.path.join(model.path, f))
+    with pytest.raises(Exception, match="pairs-"):
+        lm.score(docs, model).collect()
