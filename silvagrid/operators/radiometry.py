@@ -7,7 +7,7 @@ hundred rows per scene however many pixels the scene has.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import CELL, clamp, idiv
@@ -99,26 +99,42 @@ def hist_equalize(px: DataFrame) -> DataFrame:
 def hist_match(px: DataFrame, reference: int) -> DataFrame:
     """Give every scene the grey-level distribution of scene ``reference``.
 
-    A level maps to the lowest reference level with at least its cumulative share. The reference
-    distribution is one sorted array of its grey levels. A reference without valid pixels is an error.
+    A level maps to the lowest reference level with at least its cumulative share, found by bisection in the
+    sorted array of the reference's levels. A reference without valid pixels is an error.
     """
     cdf = stage(cumulative(histogram(px)).select("scene_id", "dn", (F.col("cum") / F.col("tot")).alias("share")), "cdf")
     own = cdf.filter(F.col("scene_id") == reference)
     if own.isEmpty():
         raise ValueError(f"scene {reference} has no valid pixels")
-    steps = own.agg(F.sort_array(F.collect_list(F.struct("dn", "share"))).alias("x")).scalar()
-    first = F.array_min(F.transform(F.filter("_steps", lambda s: s.share >= F.col("share")), lambda s: s.dn))
-    return _apply_lut(px, cdf.withColumn("_steps", steps).select("scene_id", "dn", first.alias("_to")))
+    steps = own.agg(F.sort_array(F.collect_list(F.struct("dn", "share"))).alias("x"))
+    levels, shares = (steps.select(f"x.{k}").scalar() for k in ("dn", "share"))
+    at = _below(F.col("_shares"), F.col("share"))
+    return _apply_lut(px, cdf.withColumn("_shares", shares).withColumn("_dns", levels).select("scene_id", "dn", F.get("_dns", at).alias("_to")))
+
+
+def _below(sorted_: Column, x: Column) -> Column:
+    """How many entries of a sorted array are below ``x``, by bisection; beyond the end there is NULL."""
+    halves = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+    return F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.get(sorted_, at + half - 1) < x, at + half).otherwise(at))
 
 
 def _apply_lut(px: DataFrame, lut: DataFrame) -> DataFrame:
-    """Replace ``dn`` through a table of one array per scene, indexed by grey level; NULL stays NULL."""
-    known = lut.groupBy("scene_id").agg(
-        F.min("dn").alias("_low"), F.max("dn").alias("_high"), F.map_from_entries(F.collect_list(F.struct("dn", "_to"))).alias("_map")
-    )
-    levels = F.transform(F.sequence("_low", "_high"), lambda x: F.try_element_at("_map", x))
-    return (
-        attach(px, known.select("scene_id", "_low", levels.alias("_levels")), ["scene_id"], "left")
-        .withColumn("dn", F.get("_levels", F.col("dn") - F.col("_low")))
-        .drop("_low", "_levels")
-    )
+    """Replace ``dn`` through a table per scene; NULL and levels not in the table become NULL.
+
+    The table is four nested arrays, one for each byte of the distance to the scene's lowest level, cut
+    after their last entry. Its size is that of the levels present, whatever their range, and a
+    pixel is looked up by four indices in generated code.
+    """
+    low = F.min("dn").over(Window.partitionBy("scene_id")).cast("long")
+    rows = lut.select("scene_id", low.alias("_low"), (F.col("dn") - low).alias("_off"), F.col("_to").alias("_v"))
+    for _ in range(4):
+        entries = F.map_from_entries(F.collect_list(F.struct(F.col("_off").bitwiseAND(F.lit(255)).cast("int").alias("k"), "_v")))
+        rows = rows.groupBy("scene_id", "_low", F.shiftright("_off", 8).alias("_up")).agg(entries.alias("_m"))
+        filled = F.transform(F.sequence(F.lit(0), F.array_max(F.map_keys("_m"))), lambda k: F.try_element_at("_m", k))
+        rows = rows.select("scene_id", "_low", F.col("_up").alias("_off"), filled.alias("_v"))
+    off = F.col("dn") - F.col("_low")
+    value = F.col("_v")
+    for shift in (24, 16, 8, 0):
+        value = F.get(value, F.shiftright(off, shift).bitwiseAND(F.lit(255)).cast("int"))
+    inside = off.between(0, (1 << 32) - 1)
+    return attach(px, rows.drop("_off"), ["scene_id"], "left").withColumn("dn", F.when(inside, value)).drop("_low", "_v")

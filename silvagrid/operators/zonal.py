@@ -94,20 +94,21 @@ def _merged() -> list:
 
 def zonal_rollup(px: DataFrame, zones: DataFrame) -> DataFrame:
     """Zone, region and grand totals. Pixels are reduced to zone rows before the
-    grouping sets multiply them."""
+    grouping sets multiply them. Zones without a name are one zone NULL of region NULL, so that totals hold
+    every pixel; ``level`` tells their row from a total."""
     return (
         zone_sums(px)
-        .join(zones, "zone_id")
+        .join(zones, "zone_id", "left")
         .rollup("region", "zone")
         .agg(F.grouping_id().cast("int").alias("level"), *_merged())
     )
 
 
 def zonal_cube(px: DataFrame, zones: DataFrame) -> DataFrame:
-    """All combinations of region and scene."""
+    """All combinations of region and scene; pixels of zones without a name are of region NULL."""
     return (
         zone_sums(px, ("scene_id", "zone_id"))
-        .join(zones, "zone_id")
+        .join(zones, "zone_id", "left")
         .cube("region", "scene_id")
         .agg(F.grouping_id().cast("int").alias("level"), *_merged())
     )

@@ -239,6 +239,36 @@ CONF = "conf AS (SELECT scene_id, cls, truth, count(*) AS n FROM cls GROUP BY AL
 CELLS = "scene_id, r, c"
 
 ORACLES: dict[str, str] = {
+    # whole lines
+    "summed_area": w(
+        PX,
+        "part AS (SELECT *, sum(dn) OVER (PARTITION BY scene_id, r ORDER BY c) AS s, count(dn) OVER (PARTITION BY scene_id, r ORDER BY c) AS k FROM px)",
+        select=f"""SELECT {CELLS}, CAST(coalesce(sum(s) OVER up, 0) AS BIGINT) AS total, CAST(sum(k) OVER up AS BIGINT) AS n FROM part
+WINDOW up AS (PARTITION BY scene_id, c ORDER BY r)""",
+    ),
+    **{
+        name: w(
+            PX,
+            *([f"nod AS (SELECT * REPLACE (CASE WHEN dn >= {NODATA_BELOW} THEN dn END AS dn) FROM px)"] if name.endswith("nodata") else ["nod AS (SELECT * FROM px)"]),
+            f"""part AS (SELECT *, sum(dn) OVER a AS s, count(dn) OVER a AS k FROM nod
+  WINDOW a AS (PARTITION BY scene_id, r ORDER BY c RANGE BETWEEN {radius} PRECEDING AND {radius} FOLLOWING))""",
+            select=f"""SELECT {CELLS}, CAST(coalesce(sum(s) OVER b, 0) AS BIGINT) AS b_sum, CAST(sum(k) OVER b AS BIGINT) AS b_n,
+  sum(s) OVER b / nullif(sum(k) OVER b, 0) AS b_mean FROM part
+WINDOW b AS (PARTITION BY scene_id, c ORDER BY r RANGE BETWEEN {radius} PRECEDING AND {radius} FOLLOWING)""",
+        )
+        for name, radius in (("box_mean", 40), ("box_mean_300", 300), ("box_mean_nodata", 40))
+    },
+    **{
+        name: w(
+            PX,
+            *([f"cls AS MATERIALIZED (SELECT *, CASE WHEN dn >= {NODATA_BELOW} THEN CAST(dn >= {level} AS INT) END AS cls FROM px)"]),
+            "marks AS (SELECT scene_id, r, c, cls FROM cls WHERE cls IS NOT NULL)",
+            """near AS (SELECT a.scene_id, a.r, a.c, min((a.r - b.r) * (a.r - b.r) + (a.c - b.c) * (a.c - b.c)) AS d2
+  FROM marks a JOIN marks b ON a.scene_id = b.scene_id AND a.cls <> b.cls GROUP BY ALL)""",
+            select="""SELECT scene_id, r, c, cls, CAST(d2 AS BIGINT) AS d2 FROM cls LEFT JOIN near USING (scene_id, r, c)""",
+        )
+        for name, level in (("distance_transform", 230),)
+    },
     # balance of strips
     "seam_balance": w(
         OBS, strip_balance("obs"),
@@ -601,7 +631,7 @@ FROM cls JOIN zones USING (zone_id) GROUP BY ALL""",
         ZONES,
         ZSUM,
         select=f"""SELECT region, zone, CAST(grouping(region, zone) AS INT) AS level, {MERGED}
-FROM zsum JOIN zones USING (zone_id) GROUP BY ROLLUP (region, zone)""",
+FROM zsum LEFT JOIN zones USING (zone_id) GROUP BY ROLLUP (region, zone)""",
     ),
     "zonal_cube": w(
         PX,
@@ -609,7 +639,7 @@ FROM zsum JOIN zones USING (zone_id) GROUP BY ROLLUP (region, zone)""",
         ZONES,
         ZSUM,
         select=f"""SELECT region, scene_id, CAST(grouping(region, scene_id) AS INT) AS level, {MERGED}
-FROM zsum JOIN zones USING (zone_id) GROUP BY CUBE (region, scene_id)""",
+FROM zsum LEFT JOIN zones USING (zone_id) GROUP BY CUBE (region, scene_id)""",
     ),
     "zonal_histogram": w(
         PX,

@@ -13,9 +13,11 @@ from silvagrid.operators import (
     balance,
     change,
     classify,
+    distance,
     extend,
     focal,
     geometry,
+    lines,
     morphology,
     mosaic,
     radiometry,
@@ -241,6 +243,20 @@ on_pixels("lbp", lambda px: texture.lbp(px, BLOCK))
 on_pixels("convolve", lambda px: focal.convolve(px, KERNEL, BLOCK))
 on_pixels("glcm_features", lambda px: texture.glcm_features(px, 8))
 
+# whole lines: neighbourhoods of any size
+on_pixels("summed_area", lines.summed_area)
+on_pixels("box_mean", lambda px: lines.box_mean(px, 40))
+on_pixels("box_mean_300", lambda px: lines.box_mean(px, 300))
+on_nodata("box_mean", lambda px: lines.box_mean(px, 40))
+
+
+@query()
+def distance_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few bright pixels, dark ones nodata."""
+    px = radiometry.nodata_mask(tables.pixels(spark, sf_dir), NODATA_BELOW, 255)
+    return distance.distance_transform(threshold.threshold_fixed(px, 229, "bright").select(*CELL, "cls"))
+
+
 # thresholds and classes
 on_pixels("threshold_fixed", lambda px: threshold.threshold_fixed(px, CUT, "dark"), *CELL, "cls")
 on_pixels("otsu_levels", threshold.otsu_levels)
