@@ -239,6 +239,26 @@ CONF = "conf AS (SELECT scene_id, cls, truth, count(*) AS n FROM cls GROUP BY AL
 CELLS = "scene_id, r, c"
 
 ORACLES: dict[str, str] = {
+    # rings
+    "trace_rings": w(
+        PX, CLS, MASK, components("mask", 1), f"cells AS MATERIALIZED ({component_cells()})",
+        """sides AS (SELECT a.scene_id, a.region_id, count(*) - count(b.r) AS bare FROM cells a CROSS JOIN (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) d(i, j)
+  LEFT JOIN mask b ON b.scene_id = a.scene_id AND b.r = a.r + d.i AND b.c = a.c + d.j GROUP BY ALL)""",
+        "areas AS (SELECT scene_id, region_id, count(*) AS n_px FROM cells GROUP BY ALL)",
+        select="""SELECT scene_id, region_id, 1::BIGINT AS n_outer, n_px, CAST(bare AS BIGINT) AS length
+FROM areas JOIN sides USING (scene_id, region_id)""",
+        recursive=True,
+    ),
+    "ring_holes": w(
+        PX, CLS, MASK, "gaps AS MATERIALIZED (SELECT scene_id, r, c FROM cls WHERE cls = 0)", components("gaps", 0),
+        f"parts AS (SELECT scene_id, region_id, bool_or(r IN (0, 79) OR c IN (0, 79)) AS open FROM ({component_cells()}) GROUP BY ALL)",
+        select="""SELECT scene_id, CAST(count(CASE WHEN NOT open THEN 1 END) AS BIGINT) AS n_holes
+FROM (SELECT DISTINCT scene_id FROM mask) LEFT JOIN parts USING (scene_id) GROUP BY scene_id""",
+        recursive=True,
+    ),
+    "fill_rings_nodata": w(
+        PX, f"dark AS MATERIALIZED (SELECT scene_id, r, c FROM px WHERE dn >= {CUT})", components("dark", 0), select=component_cells(), recursive=True
+    ),
     # whole lines
     "summed_area": w(
         PX,

@@ -23,6 +23,7 @@ from silvagrid.operators import (
     radiometry,
     regions,
     register,
+    rings,
     texture,
     threshold,
     tileform,
@@ -313,6 +314,24 @@ on_classes(
 on_classes("largest_regions", lambda px: regions.largest_regions(regions.region_stats(px, 8, BLOCK), 20))
 
 
+@query()
+def trace_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per region: rings that are holes, area within the outer ring less holes, length of all rings."""
+    traced = rings.trace_rings(classes(tables.pixels(spark, sf_dir)), 8, BLOCK)
+    return rings.ring_stats(traced).groupBy("scene_id", "region_id").agg(
+        F.sum((F.col("area") > 0).cast("long")).alias("n_outer"), F.sum("area").alias("n_px"), F.sum("length").alias("length")
+    )
+
+
+@query()
+def ring_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    traced = rings.trace_rings(classes(tables.pixels(spark, sf_dir)), 8, BLOCK)
+    return rings.ring_stats(traced).groupBy("scene_id").agg(F.sum((F.col("area") < 0).cast("long")).alias("n_holes"))
+
+
+on_nodata("fill_rings", lambda px: rings.fill_rings(rings.trace_rings(classes(px), 4, BLOCK)), *CELL, "region_id")
+
+
 # zones
 def _with_zones(name: str, fn: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
