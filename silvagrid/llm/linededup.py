@@ -25,9 +25,19 @@ class Chunking:
     bits: int = 24
 
 
+#: Bytes that count as a word where a script has no spaces; words with spaces are shorter on average.
+WORD_BYTES = 12
+
+
 def _words(line: Column) -> Column:
-    """Words of a line, as spaces plus one."""
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    """Words of a line, as spaces plus one, or by its bytes if that is more."""
+    spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.greatest(spaces + 1, F.call_function("div", F.octet_length(line), F.lit(WORD_BYTES)).cast("int"))
+
+
+def _solid(chunk: Column) -> Column:
+    """Whether there is more than white space; blank lines are no passage, however many."""
+    return F.btrim(chunk, F.lit(" \t\n\r\x0b\x0c")) != ""
 
 
 def _lines(text: str) -> Column:
@@ -83,7 +93,7 @@ def chunks(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_id", text:
         "key", "place", "lines", "words", "x.start", "x.n"
     )
     rows = rows.select("key", "place", "start", "n", words.alias("words"), _slice(F.col("lines"), F.col("start"), F.col("n")).alias("chunk"))
-    return rows.select("key", "place", "start", "n", "words", F.xxhash64("chunk").alias("h"), F.octet_length("chunk").alias("bytes"))
+    return rows.where(_solid(F.col("chunk"))).select("key", "place", "start", "n", "words", F.xxhash64("chunk").alias("h"), F.octet_length("chunk").alias("bytes"))
 
 
 def passages(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -126,7 +136,7 @@ def passages(docs: DataFrame, p: Chunking = Chunking(), key: str = "doc_id", tex
     rows = rows.select("key", "lines", "words", start.alias("start"), n.alias("n"))
     words = F.aggregate(F.slice("words", F.col("start") + 1, F.col("n")), F.lit(0), lambda a, b: a + b)
     rows = rows.select("key", "start", "n", words.alias("words"), _slice(F.col("lines"), F.col("start"), F.col("n")).alias("chunk"))
-    return rows.select(
+    return rows.where(_solid(F.col("chunk"))).select(
         "key", F.lit(None).cast("int").alias("place"), "start", "n", "words", F.xxhash64("chunk").alias("h"), F.octet_length("chunk").alias("bytes")
     )
 
@@ -198,7 +208,11 @@ def drop_repeated_lines(docs: DataFrame, p: Chunking = Chunking(), key: str = "d
         return F.array_compact(F.transform(same, lambda y, k: F.when(y, x["start"] + k)))
 
     joined = joined.withColumn("_gone", F.array_distinct(F.flatten(F.transform("_spans", equal))))
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("_gone", i)), "\n")
+    # by sets of numbers, not line by line against all that went; the lines are a column of their own, as
+    # a function's body would take ``text`` for the new one
+    joined = joined.withColumn("_lines", lines)
+    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.coalesce("_gone", F.array().cast("array<int>")))
+    left = F.array_join(F.transform(kept, lambda i: F.get("_lines", i)), "\n")
     changed = F.size(F.coalesce("_gone", F.array().cast("array<int>"))) > 0
     out = {text: F.when(changed, left).otherwise(F.col(text))}
     if "n_chars" in docs.columns:

@@ -1,4 +1,5 @@
 import random
+import time
 
 from silvagrid.llm import linededup
 from tests.llm.conftest import texts_of
@@ -125,3 +126,24 @@ def test_odd_rows(odd, none):
 def test_no_python_in_the_plan(documents):
     plan = linededup.drop_repeated_lines(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan and "Pandas" not in plan
+
+
+def test_scripts_without_spaces_and_blank_lines(spark):
+    chinese = "\n".join("".join(chr(0x4E00 + (37 * i + 11 * j) % 5000) for j in range(40)) for i in range(8))
+    rows = [(1, f"first\n{chinese}\nend"), (2, f"second start\n{chinese}\nother end"), (3, "a\n" + "\n" * 30 + "b"), (4, "c\n" + " \n" * 30 + "\n" * 30 + "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in linededup.drop_repeated_lines(docs, linededup.Chunking(any_line=True)).collect()}
+    assert got == {1: rows[0][1], 2: "second start\nother end", 3: rows[2][1], 4: rows[3][1]}
+
+
+def test_many_lines_take_time_in_proportion(spark):
+    def seconds(n):
+        text = "\n".join(f"line {i * 7919 % 1000003} of a long repeated text with some words in it" for i in range(n))
+        docs = spark.createDataFrame([(1, text), (2, text + "\nand more")], "doc_id long, text string")
+        start = time.time()
+        got = {r["doc_id"]: r["text"] for r in linededup.drop_repeated_lines(docs, linededup.Chunking(any_line=True)).collect()}
+        assert got[1] == text and got[2] == "and more"
+        return time.time() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 4 * seconds(10_000) + 5
