@@ -239,6 +239,9 @@ CONF = "conf AS (SELECT scene_id, cls, truth, count(*) AS n FROM cls GROUP BY AL
 CELLS = "scene_id, r, c"
 
 ORACLES: dict[str, str] = {
+    "sketch_rollup": w(
+        PX, select=f"SELECT scene_id, count(*) AS n_px, TRUE AS near_levels, TRUE AS near_quantiles FROM px WHERE dn >= {NODATA_BELOW} GROUP BY scene_id"
+    ),
     # rings
     "trace_rings": w(
         PX, CLS, MASK, components("mask", 1), f"cells AS MATERIALIZED ({component_cells()})",

@@ -24,13 +24,14 @@ from silvagrid.operators import (
     regions,
     register,
     rings,
+    sketches,
     texture,
     threshold,
     tileform,
     zonal,
 )
 from silvagrid.plans import forest
-from silvagrid.plans.staging import new_path
+from silvagrid.plans.staging import new_path, stage
 from silvagrid.sources import catalogue, parquet, tiles
 from silvagrid.sources.schemas import EVENTS
 from silvagrid.streaming import intake
@@ -354,6 +355,28 @@ on_pixels("zonal_histogram", lambda px: zonal.zonal_histogram(px, 8))
 on_pixels("distinct_classes", zonal.distinct_classes)
 on_pixels("distinct_classes_approx", zonal.distinct_classes_approx)
 
+@query()
+def sketch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenes from stored sketches of tiles: exact counts, and whether the estimates are within their bounds."""
+    px = radiometry.nodata_mask(tables.pixels(spark, sf_dir), NODATA_BELOW, 255)
+    stored = stage(sketches.tile_sketches(px, 16), "sketches")
+    values = sketches.sketch_values(sketches.merge_scenes(sketches.merge_tiles(stored, 2)), (0.02, 0.5, 0.98))
+    within = radiometry.histogram(px).join(values, "scene_id").groupBy("scene_id").agg(
+        F.first("n_px").alias("n_px"),
+        (F.abs(F.first("n_levels") - F.count("*")) <= 0.05 * F.count("*")).alias("near_levels"),
+        *[
+            (F.sum(F.when(F.col("dn") < F.col(f"q{i}"), F.col("n")).otherwise(0)) <= (share + 0.03) * F.sum("n")).alias(f"below{i}")
+            for i, share in enumerate((0.02, 0.5, 0.98))
+        ],
+        *[
+            (F.sum(F.when(F.col("dn") <= F.col(f"q{i}"), F.col("n")).otherwise(0)) >= (share - 0.03) * F.sum("n")).alias(f"upto{i}")
+            for i, share in enumerate((0.02, 0.5, 0.98))
+        ],
+    )
+    near = F.col("below0") & F.col("below1") & F.col("below2") & F.col("upto0") & F.col("upto1") & F.col("upto2")
+    return within.select("scene_id", "n_px", "near_levels", near.alias("near_quantiles"))
+
+
 # change
 on_classes("transition_matrix", change.transition_matrix)
 on_classes("forest_gain", change.forest_gain)
