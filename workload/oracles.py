@@ -307,6 +307,11 @@ WINDOW b AS (PARTITION BY scene_id, c ORDER BY r RANGE BETWEEN {radius} PRECEDIN
 FROM even a JOIN even b ON a.r = b.r AND a.c = b.c AND a.strip < b.strip GROUP BY ALL""",
         recursive=True,
     ),
+    # strip images
+    **{
+        name: w(PX, select=f"SELECT {CELLS}, CASE WHEN dn >= {NODATA_BELOW} THEN dn END AS dn FROM px {where}")
+        for name, where in (("raster_source", ""), ("raster_scenes", "WHERE scene_id IN (1, 3)"))
+    },
     # registration
     "tile_shifts": w(
         PX, TWINS, SHIFTS,

@@ -32,7 +32,7 @@ from silvagrid.operators import (
 )
 from silvagrid.plans import forest
 from silvagrid.plans.staging import new_path, stage
-from silvagrid.sources import catalogue, parquet, tiles
+from silvagrid.sources import catalogue, parquet, raster, tiles
 from silvagrid.sources.schemas import EVENTS
 from silvagrid.streaming import intake
 from workload import tables
@@ -143,6 +143,25 @@ def write_scene_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parquet.read_scene_parquet(spark, path).select(*CELL, "dn")
 
 
+def _scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pixels written as strip images, dark ones as nodata, and opened again."""
+    path = new_path(spark, "scans")
+    px = radiometry.nodata_mask(tables.pixels(spark, sf_dir), NODATA_BELOW, 255)
+    raster.write_strips(px, path, 32, 48, 8).count()
+    return raster.read_strips(spark, path)
+
+
+@query()
+def raster_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scans(spark, sf_dir)
+
+
+@query()
+def raster_scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two scenes, whose files alone are opened."""
+    return _scans(spark, sf_dir).filter(F.col("scene_id").isin(1, 3))
+
+
 # radiometry
 on_pixels("nodata_mask", lambda px: radiometry.nodata_mask(px, NODATA_BELOW, 255), *CELL, "dn")
 on_pixels("apply_mask", lambda px: radiometry.apply_mask(px, mask_list(px)), *CELL, "dn")
