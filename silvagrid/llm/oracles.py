@@ -5,6 +5,25 @@ from __future__ import annotations
 #: A-Z lowered, all other characters as they are.
 _LOWER = "translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+#: All pairs of documents that share a shingle, compared on full sets.
+_OP5 = rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM docs),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(node, root) AS (
+  SELECT doc_id, doc_id FROM docs
+  UNION SELECT e.b, r.root FROM reach r JOIN edges e ON e.a = r.node),
+lowest AS (SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs JOIN lowest USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
 _OP12 = rf"""
 WITH docs AS (
   SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -77,4 +96,4 @@ SELECT doc_id, n_features, weight, score,
 FROM ranked
 """
 
-ORACLES: dict[str, str] = {"op12_pattern_tree_divergence": _OP12, "op13_segment_resampling": _OP13}
+ORACLES: dict[str, str] = {"op5_lsh_forest": _OP5, "op12_pattern_tree_divergence": _OP12, "op13_segment_resampling": _OP13}
