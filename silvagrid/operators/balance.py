@@ -78,7 +78,7 @@ def seam_balance(obs: DataFrame, ridge: float = RIDGE, tolerance: float = 1e-12,
     Minimises, over all pairs of strips and their common cells, the squared difference of ``gain * x + offset``, plus
     ``ridge`` times the weight of the strip's own cells on ``gain - 1`` and ``offset``. Conjugate gradients run
     on tables of a row per strip and per seam, whatever their number, until the residual of the normal equations has
-    fallen to ``tolerance`` of the right side's; two numbers per round reach the driver. ``residual`` is
+    fallen to ``tolerance`` of the right side's; three numbers per round reach the driver. ``residual`` is
     computed anew from the result, as a share of the largest right side. ``most`` rounds without reaching the
     tolerance raise an error. No strips in common give an empty result.
     """
@@ -87,28 +87,25 @@ def seam_balance(obs: DataFrame, ridge: float = RIDGE, tolerance: float = 1e-12,
     state = stage(_product(state, seams, "x"), "state").withColumn("res", _pair(F.col("b.g") - F.col("q.g"), F.col("b.o") - F.col("q.o")))
     state = state.withColumn("p", _solved("res"))
     z, size = state.agg(F.sum(_dot("res", "p")), F.sum(_dot("b", "b"))).first()
-    rounds = 0
-    while z is not None and z > 0 and rounds < most:
+    left, rounds = size, 0
+    while z and left > tolerance * tolerance * size:
+        if rounds == most:
+            raise RuntimeError(f"strips not balanced after {most} rounds")
         known = stage(_product(state.drop("q"), seams, "p"), "state")
-        with_z = known.withColumn("u", _solved("res")).withColumn("w", _solved("q"))
-        pq, qu, qw, rr, rq, qq = with_z.agg(*[F.sum(_dot(*k)) for k in (("p", "q"), ("q", "u"), ("q", "w"), ("res", "res"), ("res", "q"), ("q", "q"))]).first()
-        step = z / pq
-        z_next = z - 2 * step * qu + step * step * qw
-        left = rr - 2 * step * rq + step * step * qq
+        along = known.agg(F.sum(_dot("p", "q"))).first()[0]
+        if not along > 0:  # nothing left to go along but rounding
+            break
+        step = z / along
         state = known.withColumns({
             "x": _pair(F.col("x.g") + step * F.col("p.g"), F.col("x.o") + step * F.col("p.o")),
             "res": _pair(F.col("res.g") - step * F.col("q.g"), F.col("res.o") - step * F.col("q.o")),
         })
+        state = state.withColumn("z", _solved("res"))
+        before = z
+        z, left = state.agg(F.sum(_dot("res", "z")), F.sum(_dot("res", "res"))).first()
+        turn = z / before
+        state = state.withColumn("p", _pair(F.col("z.g") + turn * F.col("p.g"), F.col("z.o") + turn * F.col("p.o"))).drop("z")
         rounds += 1
-        if left <= tolerance * tolerance * size or z_next <= 0:
-            z = None
-            break
-        turn = z_next / z
-        state = state.withColumn("_z", _solved("res"))
-        state = state.withColumn("p", _pair(F.col("_z.g") + turn * F.col("p.g"), F.col("_z.o") + turn * F.col("p.o"))).drop("_z")
-        z = z_next
-    if z is not None and z > 0:
-        raise RuntimeError(f"strips not balanced after {most} rounds")
     out = _product(stage(state.drop("q"), "balanced"), seams, "x")
     largest = out.agg(F.max(F.abs("b.g"))).first()[0] or 1.0
     worst = F.greatest(F.abs(F.col("b.g") - F.col("q.g")), F.abs(F.col("b.o") - F.col("q.o")))
