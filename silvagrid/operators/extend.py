@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silvagrid.functions.grid import idiv
 from silvagrid.sources.schemas import TILES
+from silvagrid.sources.tiles import pixels_to_tiles
 
 TILE_COLUMNS = [f.name for f in TILES]
 TILE_DDL = "scene_id int, tile_r int, tile_c int, h int, w int, dn array<int>"
@@ -183,23 +182,39 @@ def tile_map_halo(
     return framed.mapInArrow(over, TILE_DDL)
 
 
+def tile_value(tiles: DataFrame, fn: Callable, name: str = "value") -> DataFrame:
+    """One number per tile from ``fn(array (h, w) of float, NaN nodata) -> float``: ``scene_id, tile_r, tile_c`` and ``name``.
+
+    Tiles stay where they are and pass through Python as Arrow batches.
+    """
+    unpack, _ = _arrays_of()
+
+    def over(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            kept = [batch.column(x) for x in ("scene_id", "tile_r", "tile_c")]
+            sizes = zip(batch.column("h").to_pylist(), batch.column("w").to_pylist())
+            out = [float(fn(x.reshape(h, w))) for x, (h, w) in zip(unpack(batch.column("dn")), sizes)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(out, pa.float64())], ["scene_id", "tile_r", "tile_c", name])
+
+    return tiles.select(*TILE_COLUMNS).mapInArrow(over, f"scene_id int, tile_r int, tile_c int, {name} double")
+
+
 def tile_entropy(px: DataFrame, side: int) -> DataFrame:
-    """User aggregate on fixed blocks: Shannon entropy of the grey levels, in nats.
+    """Shannon entropy of the grey levels of each block of ``side**2`` cells, in nats, by a user function on tiles.
 
-    A group is one block of ``side**2`` cells.
+    0 for a block of nodata. For scenes stored as tiles of that side call ``tile_value`` on them, without an exchange.
     """
 
-    @F.pandas_udf("double")
-    def entropy(dn: pd.Series) -> float:
+    def entropy(image) -> float:
         import numpy as np
 
-        _, n = np.unique(dn.dropna(), return_counts=True)
+        _, n = np.unique(image[~np.isnan(image)], return_counts=True)
         p = n / n.sum()
-        return float(abs(-(p * np.log(p)).sum()))
+        return abs(-(p * np.log(p)).sum())
 
-    return px.groupBy(
-        "scene_id", idiv("r", side).cast("int").alias("tile_r"), idiv("c", side).cast("int").alias("tile_c")
-    ).agg(F.round(entropy("dn"), 6).alias("entropy"))
+    return tile_value(pixels_to_tiles(px.select("scene_id", "r", "c", "dn"), side), entropy, "entropy").withColumn("entropy", F.round("entropy", 6))
 
 
 def register_tile_px(spark) -> None:
