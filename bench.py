@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from silvagrid.plans.staging import clear_staged  # noqa: E402
 from workload.queries import QUERIES  # noqa: E402
 
 HEADLINE = [
@@ -86,6 +87,7 @@ def main() -> None:
         seconds(spark, name, sf_dir)
         times[name] = round(statistics.median(seconds(spark, name, sf_dir) for _ in range(runs)), 3)
         print(f"{name} {times[name]}", file=sys.stderr, flush=True)
+    clear_staged(spark)
     line = {
         "metric": "headline queries, sum of medians",
         "value": round(sum(times.values()), 3),
