@@ -118,25 +118,63 @@ def interval_join(arrivals: DataFrame, first: str, then: str, within: int = HOUR
     return a.join(b, met).select(F.col("a_source").alias("source_id"), "first_id", "then_id", "first_ts", "then_ts")
 
 
-def zonal_totals(arrivals: DataFrame, name: str = "zonal") -> DataFrame:
-    """Running totals per zone. Every micro-batch overwrites its own partial, keyed
-    by batch id, so a repeated batch counts once; the reader adds the partials."""
-    spark = arrivals.sparkSession
-    out = new_path(spark, name)
+_TOTALS = "zone_id int, n long, total double"
+
+
+def _folders(spark: SparkSession, path: str) -> tuple[object, dict[int, object]]:
+    """The file system of a folder and its finished ``name=<number>`` folders by number."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [x.getPath() for x in store.listStatus(top)] if store.exists(top) else []
+    done = [x for x in found if "=" in x.getName() and store.exists(x.suffix("/_SUCCESS"))]
+    return store, {int(x.getName().split("=")[1]): x for x in done}
+
 
-    def write_partial(batch: DataFrame, batch_id: int) -> None:
-        part = batch.groupBy("zone_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
-        part.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+def _summed(spark: SparkSession, out: str) -> tuple[DataFrame, int]:
+    """The totals of a folder written by ``add_totals``, and the last batch that its compacted table holds."""
+    _, whole = _folders(spark, f"{out}/whole")
+    _, parts = _folders(spark, f"{out}/part")
+    last = max(whole, default=-1)
+    paths = [str(whole[last])] if whole else []
+    paths += [str(p) for k, p in parts.items() if k > last]
+    rows = spark.read.schema(_TOTALS).parquet(*paths) if paths else spark.createDataFrame([], _TOTALS)
+    return rows.groupBy("zone_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), last
 
+
+def add_totals(batch: DataFrame, batch_id: int, out: str, every: int) -> None:
+    """Add a micro-batch to the totals per zone in ``out``.
+
+    A batch overwrites its own partial, so that a repeated one counts once. Every ``every`` batches all partials and the last
+    compacted table become a new one, under the number of its last batch; only when that is complete are they deleted. A
+    batch that a compacted table holds already is passed over.
+    """
+    spark = batch.sparkSession
+    _, whole = _folders(spark, f"{out}/whole")
+    if batch_id <= max(whole, default=-1):
+        return
+    part = batch.groupBy("zone_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    part.write.mode("overwrite").parquet(f"{out}/part/batch={batch_id}")
+    if (batch_id + 1) % every == 0:
+        _summed(spark, out)[0].write.mode("overwrite").parquet(f"{out}/whole/upto={batch_id}")
+        for kind in ("whole", "part"):
+            store, found = _folders(spark, f"{out}/{kind}")
+            for k, path in found.items():
+                if k < batch_id or (kind == "part" and k == batch_id):
+                    store.delete(path, True)
+
+
+def zonal_totals(arrivals: DataFrame, name: str = "zonal", every: int = 64) -> DataFrame:
+    """Running totals per zone: the compacted table and at most ``every`` partials of micro-batches, added by the reader."""
+    spark = arrivals.sparkSession
+    out = new_path(spark, name)
     query = (
-        arrivals.writeStream.foreachBatch(write_partial)
+        arrivals.writeStream.foreachBatch(lambda batch, batch_id: add_totals(batch, batch_id, out, every))
         .option("checkpointLocation", new_path(spark, f"{name}-state"))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    partials = spark.read.schema("zone_id int, n long, total double, batch int").parquet(out)
-    return partials.groupBy("zone_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    return _summed(spark, out)[0]
 
 
 def late_rows(slices: list[DataFrame], schema: T.StructType, to_arrivals, delay: str = "1 hour") -> DataFrame:

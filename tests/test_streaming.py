@@ -77,3 +77,20 @@ def test_pairs_across_bucket_borders_meet_once(spark):
     stream = tables.arrivals_of(intake.read_arrivals(spark, folder, EVENTS))
     out = intake.run_now(intake.interval_join(stream, "click", "purchase"), "pairs")
     assert sorted((r["first_id"], r["then_id"]) for r in out.collect()) == [(1, 2), (1, 3)]
+
+
+def test_partial_totals_are_compacted_and_counted_once(spark, tmp_path):
+    import os
+
+    out, want = str(tmp_path), {}
+    for k in range(8):
+        batch = spark.createDataFrame([(z, float(z + k)) for z in range(k % 3 + 1)], "zone_id int, value double")
+        for z in range(k % 3 + 1):
+            n, total = want.get(z, (0, 0.0))
+            want[z] = n + 1, total + z + k
+        intake.add_totals(batch, k, out, 3)
+        intake.add_totals(batch, k, out, 3)  # a repeated batch
+        got = {r["zone_id"]: (r["n"], r["total"]) for r in intake._summed(spark, out)[0].collect()}
+        assert got == want
+        assert len(os.listdir(tmp_path / "part")) <= 3 and len(os.listdir(tmp_path / "whole")) <= 1 if k >= 2 else True
+    assert intake._summed(spark, str(tmp_path / "nothing"))[0].count() == 0
