@@ -1,4 +1,5 @@
 import hashlib
+import math
 import zlib
 
 import numpy as np
@@ -69,3 +70,36 @@ def test_query(spark, documents):
         assert out["tail_crc32"] == zlib.crc32(payload[-16:])
         assert out["media_sha256"] == hashlib.sha256(media.encode_png(payload)).hexdigest()
     assert not got
+
+
+def hash_by_loops(rows):
+    """Area means to a square, then the cosine sums of the lowest frequencies, one by one."""
+    h, w, side, low = rows.shape[0], rows.shape[1] // media.CHANNELS, media.SIDE, media.LOW
+    bright = [[sum(int(rows[y, media.CHANNELS * x + k]) for k in range(media.CHANNELS)) / media.CHANNELS for x in range(w)] for y in range(h)]
+
+    def weights(n):
+        out = []
+        for i in range(side):
+            lo, hi = i * n / side, (i + 1) * n / side
+            share = [max(0.0, min(hi, j + 1) - max(lo, j)) for j in range(n)]
+            out.append([(j, s / sum(share)) for j, s in enumerate(share) if s > 0])
+        return out
+
+    down, across = weights(h), weights(w)
+    small = [[sum(a * b * bright[y][x] for y, a in down[i] for x, b in across[j]) for j in range(side)] for i in range(side)]
+    waves = [[math.cos(math.pi * k * (2 * i + 1) / (2 * side)) for i in range(side)] for k in range(low)]
+    found = [sum(small[i][j] * waves[u][i] * waves[v][j] for i in range(side) for j in range(side)) for u in range(low) for v in range(low)]
+    middle = sorted(found)
+    return found, (middle[31] + middle[32]) / 2
+
+
+def test_hash_equals_cosine_sums_by_loops():
+    rng = np.random.default_rng(1)
+    for n in (1, 7, 45):
+        rows = rng.integers(0, 256, (n, media.ROW_BYTES)).astype(np.uint8)
+        found, cut = hash_by_loops(rows)
+        bits = np.unpackbits(np.frombuffer(media.cosine_hash(rows), np.uint8))
+        assert len(bits) == 64
+        for i in range(64):  # what lies on the median but for rounding is not compared
+            if abs(found[i] - cut) > 1e-6 * max(map(abs, found)):
+                assert bits[i] == (found[i] > cut)
