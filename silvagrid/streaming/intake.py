@@ -179,24 +179,26 @@ def zonal_totals(arrivals: DataFrame, name: str = "zonal", every: int = 64) -> D
 
 def late_rows(slices: list[DataFrame], schema: T.StructType, to_arrivals, delay: str = "1 hour") -> DataFrame:
     """Hourly counts of a stream whose ``slices`` land one after another, beside
-    what a batch over all landed files counts: ``w_start, w_end, n_kept, n_late``.
+    what has landed in all: ``w_start, w_end, n_kept, n_late``.
 
-    Each slice is written to the landing folder and processed by a run that goes
+    Each slice is counted once, as it lands; its counts are added up, landed files are not read again. It is written to the landing folder and processed by a run that goes
     on from the last checkpoint, so rows older than the watermark at their arrival
     are excluded by Spark and show up as the difference. Windows still open at the
     end are left out.
     """
     spark = slices[0].sparkSession
-    landing, out, state = (new_path(spark, f"late-{x}") for x in ("in", "out", "state"))
+    landing, out, state, landed = (new_path(spark, f"late-{x}") for x in ("in", "out", "state", "landed"))
     for part in slices:
         part.write.mode("append").parquet(landing)
+        arrived = to_arrivals(part).groupBy(F.window("ts", "1 hour").alias("window")).agg(F.count("*").alias("n_all"))
+        _flat(arrived).write.mode("append").parquet(landed)
         stream = to_arrivals(read_arrivals(spark, landing, schema))
         counts = _flat(stream.withWatermark("ts", delay).groupBy(F.window("ts", "1 hour").alias("window")).count())
         kept = run_now(counts, "late", state, out)
-    landed = to_arrivals(spark.read.schema(schema).parquet(landing))
-    every = landed.groupBy(F.window("ts", "1 hour").alias("window")).agg(F.count("*").alias("n_all"))
+    every = spark.read.schema("w_start timestamp, w_end timestamp, n_all long").parquet(landed)
+    every = every.groupBy("w_start", "w_end").agg(F.sum("n_all").alias("n_all"))
     newest = kept.agg(F.max("w_end")).first()[0]
-    sides = _flat(every).join(kept.select("w_start", F.col("count").alias("n_kept")), "w_start", "left")
+    sides = every.join(kept.select("w_start", F.col("count").alias("n_kept")), "w_start", "left")
     closed = sides.filter(F.col("w_end") <= F.lit(newest))
     n_kept = F.coalesce("n_kept", F.lit(0))
     return closed.select("w_start", "w_end", n_kept.alias("n_kept"), (F.col("n_all") - n_kept).alias("n_late"))
