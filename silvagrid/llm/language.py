@@ -141,6 +141,10 @@ def train_model(windows: np.ndarray, labels: np.ndarray, names: list[str], p: Re
     return Model(names, [low[0], low[3]], [low[1], low[4]], [low[2], low[5]], low[6])
 
 
+#: Languages up to which their table is broadcast; beyond that the documents are exchanged.
+BROADCAST_LANGUAGES = 10_000
+
+
 def training_windows(docs: DataFrame, key: str, text: str, lang: str, p: Recurrent) -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Windows of bytes from a bounded sample of labelled documents, their labels, the languages.
 
@@ -156,7 +160,9 @@ def training_windows(docs: DataFrame, key: str, text: str, lang: str, p: Recurre
         return empty
     share = F.pmod(F.xxhash64(F.lit(p.seed), key), F.lit(1_000_000))
     drawn = [(n, i, min(1_000_000, 1_000_000 * p.documents // c + 1)) for i, (n, c) in enumerate(counts)]
+    few = len(drawn) <= BROADCAST_LANGUAGES
     drawn = docs.sparkSession.createDataFrame(drawn, f"lang {dict(docs.dtypes)[lang]}, y int, upto long")
+    drawn = F.broadcast(drawn) if few else drawn  # a row per language; texts stay where they are
     rows = known.select(F.col(key).cast("string").alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"), share.alias("draw"))
     rows = rows.join(drawn, "lang").where("draw < upto").select("id", "text", "y", "draw")
 
