@@ -1,7 +1,7 @@
 """Neighbourhood operators on the block layout.
 
 A neighbourhood is the square of side ``2*radius + 1``, cut at the scene edge;
-missing and NULL neighbours are left out. Scenes are dense (see ``densify``).
+missing and NULL neighbours are left out; scenes may lack cells.
 A row window followed by a column window gives each square aggregate, both
 served by the one exchange of ``to_blocks``.
 """
