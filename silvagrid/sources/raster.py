@@ -16,6 +16,8 @@ FORMAT = "strip_images"
 SCHEMA = "scene_id int, r int, c int, dn int"
 #: Level that stands for nodata in files that are written; the file says so in its own nodata tag.
 NODATA = 65535
+#: A private tag lists the stretches of cells that a scene lacks, by first cell and length in row-major order; other
+#: readers see nodata there.
 
 
 def _tiff():
@@ -24,18 +26,20 @@ def _tiff():
 
     # Tags and field types of the format.
     width_, length_, bits_, packed_, light_, offsets_, samples_, rows_, counts_, nodata_ = (256, 257, 258, 259, 262, 273, 277, 278, 279, 42113)
+    absent_ = 65101
     short, long_, ascii_ = 3, 4, 2
     sizes = {1: 1, 2: 1, 3: 2, 4: 4}
 
-    def encode(image, rows_per_strip, nodata):
-        """A two-dimensional uint16 array as a file of strips."""
+    def encode(image, rows_per_strip, nodata, absent):
+        """A two-dimensional uint16 array as a file of strips. ``absent``: first cells and lengths in turn."""
         h, w = image.shape
         n = -(-h // rows_per_strip)
         text = f"{nodata}\0".encode()
-        entries = 10
+        entries = 10 + (len(absent) > 0)
         extra = 8 + 2 + 12 * entries + 4
         at = {offsets_: extra, counts_: extra + 4 * n, nodata_: extra + 8 * n}
-        data = extra + 8 * n + len(text) + (len(text) % 2)
+        gaps = extra + 8 * n + len(text) + (len(text) % 2)
+        data = gaps + 4 * len(absent)
         starts = [data + 2 * w * rows_per_strip * i for i in range(n)]
         lengths = [2 * w * min(rows_per_strip, h - rows_per_strip * i) for i in range(n)]
 
@@ -48,8 +52,10 @@ def _tiff():
         head = struct.pack("<2sHIH", b"II", 42, 8, entries)
         head += entry(width_, long_, 1, w) + entry(length_, long_, 1, h) + entry(bits_, short, 1, 16) + entry(packed_, short, 1, 1)
         head += entry(light_, short, 1, 1) + listed(offsets_, starts) + entry(samples_, short, 1, 1) + entry(rows_, long_, 1, rows_per_strip)
-        head += listed(counts_, lengths) + entry(nodata_, ascii_, len(text), at[nodata_]) + struct.pack("<I", 0)
+        head += listed(counts_, lengths) + entry(nodata_, ascii_, len(text), at[nodata_])
+        head += (entry(absent_, long_, len(absent), gaps) if len(absent) else b"") + struct.pack("<I", 0)
         head += struct.pack(f"<{n}I", *starts) + struct.pack(f"<{n}I", *lengths) + text + b"\0" * (len(text) % 2)
+        head += struct.pack(f"<{len(absent)}I", *absent)
         return head + image.astype("<u2").tobytes()
 
     def read_header(file):
@@ -75,6 +81,7 @@ def _tiff():
         return {
             "w": tags[width_][0], "h": tags[length_][0], "kind": f"{order}u{tags[bits_][0] // 8}", "rows": tags.get(rows_, tags[length_])[0],
             "offsets": tags[offsets_], "counts": tags[counts_], "nodata": float(level) if level else None,
+            "absent": tags.get(absent_, []),
         }
 
     def strips(file, head, first, last):
@@ -142,12 +149,18 @@ def _source():
             with store.open_input_file(piece.path) as file:
                 head = read_header(file)
                 n = len(head["offsets"])
+                begin, length = (np.array(head["absent"][k::2], np.int64) for k in (0, 1))
                 for row, image in strips(file, head, n * piece.part // piece.parts, n * (piece.part + 1) // piece.parts):
                     h, w = image.shape
                     level = image.ravel().astype(np.int32)
                     r = np.repeat(np.arange(row, row + h, dtype=np.int32) + np.int32(piece.row), w)
                     c = np.tile(np.arange(w, dtype=np.int32) + np.int32(piece.column), h)
                     gone = level == head["nodata"] if head["nodata"] is not None else np.zeros(len(level), bool)
+                    if len(begin):
+                        place = np.arange(row * w, (row + h) * w, dtype=np.int64)
+                        k = np.searchsorted(begin, place, "right") - 1
+                        there = (k < 0) | (place >= begin[k] + length[k])
+                        r, c, level, gone = r[there], c[there], level[there], gone[there]
                     columns = [pa.array(np.full(len(r), piece.scene, np.int32)), pa.array(r), pa.array(c), pa.array(level, mask=gone)]
                     yield pa.RecordBatch.from_arrays(columns, ["scene_id", "r", "c", "dn"])
 
@@ -182,7 +195,7 @@ def write_strips(px: DataFrame, path: str, rows: int = 1024, columns: int = 1638
 
     A file is a piece of at most ``rows`` x ``columns`` cells, written by one task under another name first, so that a
     repeated task leaves one whole file. Levels lie between 0 and 65,534, others raise. NULL becomes nodata, and so do cells that
-    are absent from the smallest rectangle around a piece's cells.
+    are absent from the smallest rectangle around a piece's cells; the file also lists these, and ``read_strips`` leaves them out.
     ``path`` is a folder that all workers have mounted.
     """
     at = [(floor_div(F.col(x), n) * n).cast("int").alias(f"_{x}") for x, n in (("r", rows), ("c", columns))]
@@ -207,10 +220,14 @@ def write_strips(px: DataFrame, path: str, rows: int = 1024, columns: int = 1638
             raise ValueError("levels must lie between 0 and 65534")
         image = np.full((r.max() - row + 1, c.max() - column + 1), nodata, np.uint16)
         image[r - row, c - column] = level
+        lacking = np.ones(image.shape, np.int8)
+        lacking[r - row, c - column] = 0
+        edges = np.flatnonzero(np.diff(lacking.ravel(), prepend=0, append=0))
+        absent = np.stack([edges[::2], edges[1::2] - edges[::2]], axis=1).ravel().tolist()
         os.makedirs(folder, exist_ok=True)
         part = os.path.join(folder, f".{uuid.uuid4().hex}")
         with open(part, "wb") as f:
-            f.write(encode(image, strip, nodata))
+            f.write(encode(image, strip, nodata, absent))
         os.replace(part, os.path.join(folder, f"scene-{scene}_r{row}_c{column}.tif"))
         return pa.table({n: pa.array([v], k) for n, v, k in (("scene_id", scene, pa.int32()), ("r", row, pa.int32()), ("c", column, pa.int32()), ("n_px", len(r), pa.int64()))})
 
