@@ -20,18 +20,30 @@ _SHIFTS = "scene_a int, scene_b int, tile_r int, tile_c int, dr int, dc int, sco
 def _correlator(reach: int):
     """Function that finds the best shift of one tile; self-contained for the workers."""
 
-    def best(a, b):
-        """``a`` (h, w) and ``b`` (h + 2 reach, w + 2 reach), NaN where nodata: (dr, dc, score, n) or None."""
+    def summed(layers):
+        """Number, sum and sum of squares of the levels of each cell over its layers, NaN where nodata; or None."""
         import numpy as np
 
-        shape = b.shape
-        has_a, has_b = ~np.isnan(a), ~np.isnan(b)
-        if not has_a.any() or not has_b.any():
+        has = [~np.isnan(x) for x in layers]
+        total = sum(x.sum() for x in has)
+        if not total:
             return None
         # a whole number off every level changes no correlation, but keeps the products small and exact
-        a, b = (np.where(has, x - np.round(x[has].mean()), 0.0) for x, has in ((a, has_a), (b, has_b)))
-        ones, level, square = (np.conj(np.fft.rfft2(x, shape)) for x in (has_a.astype(float), a, a * a))
-        ones_b, level_b, square_b = (np.fft.rfft2(x, shape) for x in (has_b.astype(float), b, b * b))
+        off = np.round(sum(x[k].sum() for x, k in zip(layers, has)) / total)
+        levels = [np.where(k, x - off, 0.0) for x, k in zip(layers, has)]
+        return sum(k.astype(float) for k in has), sum(levels), sum(x * x for x in levels)
+
+    def best(a, b):
+        """``a`` layers (h, w) and ``b`` layers (h + 2 reach, w + 2 reach), NaN where nodata: (dr, dc, score, n) or None."""
+        import numpy as np
+
+        shape = b[0].shape
+        a, b = summed(a), summed(b)
+        if a is None or b is None:
+            return None
+        cells = a[0].sum()
+        ones, level, square = (np.conj(np.fft.rfft2(x, shape)) for x in a)
+        ones_b, level_b, square_b = (np.fft.rfft2(x, shape) for x in b)
 
         def sums(x, y):
             return np.rint(np.fft.irfft2(x * y, shape)[: 2 * reach + 1, : 2 * reach + 1])
@@ -39,7 +51,7 @@ def _correlator(reach: int):
         n, sa, sb = sums(ones, ones_b), sums(level, ones_b), sums(ones, level_b)
         saa, sbb, sab = sums(square, ones_b), sums(ones, square_b), sums(level, level_b)
         spread = (n * saa - sa * sa) * (n * sbb - sb * sb)
-        enough = (2 * n >= has_a.sum()) & (spread > 0)
+        enough = (2 * n >= cells) & (spread > 0)
         if not enough.any():
             return None
         score = np.where(enough, (n * sab - sa * sb) / np.sqrt(np.where(spread > 0, spread, 1)), -2)
@@ -58,7 +70,8 @@ def tile_shifts(tiles: DataFrame, pairs: DataFrame, reach: int, size: int) -> Da
     tried. The score is the correlation coefficient over the ``n`` cells valid in both, at least half of the
     tile's valid cells; of equal scores the smallest shift is taken. Tiles without such a shift, because they
     are nodata or of one level, have no row. Levels are whole numbers. Only the last tile row and column of a
-    scene may be smaller than ``size``.
+    scene may be smaller than ``size``. A scene seen twice has several rows per tile, its layers: every cell of ``scene_a``
+    is compared with every cell of ``scene_b`` that lies there, and the counts are of such pairs.
 
     A tile and the nine pieces of the other scene around it meet by one exchange and one sort.
     """
@@ -81,15 +94,28 @@ def tile_shifts(tiles: DataFrame, pairs: DataFrame, reach: int, size: int) -> Da
         def judge(at, parts):
             if not parts or parts[-1][0] != 9:  # no tile of ours there
                 return None
-            _, h, w, own = parts[-1]
-            around = np.full((h + 2 * reach, w + 2 * reach), np.nan)
-            for side, _, width, cells in parts[:-1]:
+            mine = [p for p in parts if p[0] == 9]
+            h, w = max(p[1] for p in mine), max(p[2] for p in mine)
+
+            def sheet():
+                return np.full((h + 2 * reach, w + 2 * reach), np.nan)
+
+            own, around, used = [], [sheet()], {}
+            for side, height, width, cells in parts:
                 piece = cells.reshape(-1, width)
+                if side == 9:
+                    own.append(np.full((h, w), np.nan))
+                    own[-1][:height, :width] = piece
+                    continue
                 # ours may be smaller at its scene's edge; what lies beyond it and the border is cut off
                 y, x = ((0, reach, reach + size)[k] for k in (side // 3, side % 3))
-                piece = piece[: max(0, around.shape[0] - y), : max(0, around.shape[1] - x)]
-                around[y : y + piece.shape[0], x : x + piece.shape[1]] = piece
-            found = correlate(own.reshape(h, w), around)
+                piece = piece[: max(0, h + 2 * reach - y), : max(0, w + 2 * reach - x)]
+                # a side's next layer goes on the next sheet
+                k = used[side] = used.get(side, -1) + 1
+                if k == len(around):
+                    around.append(sheet())
+                around[k][y : y + piece.shape[0], x : x + piece.shape[1]] = piece
+            found = correlate(own, around)
             return found and (*at, *found)
 
         def table(rows):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from silvagrid.functions.grid import clamp, idiv
 from silvagrid.sources import schemas
-from silvagrid.sources.tiles import tiles_to_pixels
+from silvagrid.sources.tiles import pixels_to_tiles, tiles_to_pixels
 
 TILE = 8
 ZONES = 25
@@ -56,12 +56,23 @@ def with_date(df: DataFrame) -> DataFrame:
 
 def twins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every scene and, as scene 1000 + s, the same ground on other film: moved by ``s % 5 - 2`` rows and ``s % 3 - 1``
-    columns, of other gain and offset, dark cells nodata."""
+    columns, of other gain and offset, dark cells nodata. From 1,000 scenes on, such a number stands for both."""
     px = pixels(spark, sf_dir).select("scene_id", "r", "c", "dn")
+    return px.unionByName(moved_scenes(px, 1000))
+
+
+def moved_scenes(px: DataFrame, plus: int) -> DataFrame:
+    """The other film of every scene, as scene ``plus + s``."""
     s, dn = F.col("scene_id"), F.col("dn")
     level = F.when(dn >= 40, idiv(dn * 3, 4).cast("int") + 20)
-    moved = px.select((s + 1000).alias("scene_id"), (F.col("r") + s % 5 - 2).alias("r"), (F.col("c") + s % 3 - 1).alias("c"), level.alias("dn"))
-    return px.unionByName(moved.where("r >= 0 and c >= 0"))
+    moved = px.select((s + plus).cast("int").alias("scene_id"), (F.col("r") + s % 5 - 2).alias("r"), (F.col("c") + s % 3 - 1).alias("c"), level.alias("dn"))
+    return moved.where("r >= 0 and c >= 0")
+
+
+def twin_tiles(spark: SparkSession, sf_dir: str, size: int) -> DataFrame:
+    """``twins`` as tiles; where a number stands for two scenes, each has its own rows."""
+    px = pixels(spark, sf_dir).select("scene_id", "r", "c", "dn")
+    return pixels_to_tiles(px, size).unionByName(pixels_to_tiles(moved_scenes(px, 1000), size))
 
 
 def twin_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
