@@ -54,3 +54,12 @@ def test_cells_come_back(grid, connectivity):
 def test_nothing(grid):
     empty = grid([[0, None]], value="cls")
     assert rings.trace_rings(empty).count() == 0 and rings.fill_rings(rings.trace_rings(empty)).count() == 0
+
+
+def test_only_chains_are_ranked(spark, grid, tmp_path, monkeypatch):
+    """Rings inside one block are complete before any round."""
+    ranked = []
+    monkeypatch.setattr(rings, "_leaders", lambda chains, given=rings._leaders: ranked.append(chains.count()) or given(chains))
+    for block, chains in ((8, 0), (2, 12)):
+        assert rings.ring_stats(rings.trace_rings(grid(RING, value="cls"), 8, block)).count() == 2
+        assert (ranked[-1] == 0) == (chains == 0)
