@@ -49,7 +49,7 @@ def scene_grid(extent: DataFrame) -> DataFrame:
 def densify(px: DataFrame) -> DataFrame:
     """Add a NULL row for each absent cell of a scene's box.
 
-    Focal operators expect dense scenes: nodata is a NULL row, not an absent one.
+    For steps that take nodata as a NULL row; focal operators do without.
     """
     box = px.groupBy("scene_id").agg(
         F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1")
